@@ -18,26 +18,37 @@ from pyspark.sql import types as T
 SLICES = 64
 
 
-def add_slice(df: DataFrame, value: Column, name: str = "_slice", slices: int = SLICES) -> DataFrame:
-    """Number the range slice that holds ``value``; the bounds come from one sketch job."""
-    keyed = df.withColumn("_order", value.cast("double"))
+def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int = SLICES) -> list[list[float]]:
+    """Inner bounds of ``slices`` ranges of about equal row counts per column, from one sketch job."""
     probs = [i / slices for i in range(1, slices)]
-    bounds = sorted(set(keyed.approxQuantile("_order", probs, 0.25 / slices)))
+    found = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).approxQuantile(
+        list(columns), probs, 0.25 / slices
+    )
+    return [sorted(set(bounds)) for bounds in found]
+
+
+def with_slice(df: DataFrame, value: Column, bounds: Sequence[float], name: str = "_slice") -> DataFrame:
+    """Number the range that holds ``value``."""
     if not bounds:
-        return keyed.withColumn(name, F.lit(0.0)).drop("_order")
+        return df.withColumn(name, F.lit(0.0))
     cut = Bucketizer(
         splits=[float("-inf"), *bounds, float("inf")],
         inputCol="_order",
         outputCol=name,
         handleInvalid="keep",
     )
-    return cut.transform(keyed).drop("_order")
+    return cut.transform(df.withColumn("_order", value.cast("double"))).drop("_order")
+
 
+def histogram(df: DataFrame, column: str) -> DataFrame:
+    """(value, n) without nulls; partial counts form before the shuffle."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
 
-def cumulative_counts(histogram: DataFrame, value: str, n: str = "n", slices: int = SLICES) -> DataFrame:
+
+def cumulative_counts(counts: DataFrame, value: str, bounds: Sequence[float]) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` to a (value, n) histogram."""
-    sliced = add_slice(histogram, F.col(value), slices=slices)
-    sizes = sliced.groupBy("_slice").agg(F.sum(n).alias("_size"))
+    sliced = with_slice(counts, F.col(value), bounds)
+    sizes = sliced.groupBy("_slice").agg(F.sum("n").alias("_size"))
     everything = Window.orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
@@ -50,15 +61,14 @@ def cumulative_counts(histogram: DataFrame, value: str, n: str = "n", slices: in
     # At most `slices` + 1 offset rows: the broadcast has a fixed bound.
     return (
         sliced.join(F.broadcast(offsets), "_slice")
-        .withColumn("before", F.col("_shift") + F.sum(n).over(inside) - F.col(n))
+        .withColumn("before", F.col("_shift") + F.sum("n").over(inside) - F.col("n"))
         .drop("_slice", "_shift")
     )
 
 
-def percent_rank_table(df: DataFrame, column: str, name: str) -> DataFrame:
+def percent_rank_table(df: DataFrame, column: str, name: str, bounds: Sequence[float]) -> DataFrame:
     """One row per distinct value with its (rank_min - 1) / (n - 1), 0 when n <= 1."""
-    histogram = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    ranked = cumulative_counts(histogram, column)
+    ranked = cumulative_counts(histogram(df, column), column, bounds)
     share = F.col("before").cast("double") / (F.col("total") - 1)
     return ranked.select(
         column, F.when(F.col("total") > 1, share).otherwise(F.lit(0.0)).alias(name)
@@ -66,10 +76,13 @@ def percent_rank_table(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles as rows (prob, value); no rows for an empty input."""
-    histogram = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    """Linear-interpolated quantiles as rows (prob, value); no rows for an empty input.
+
+    Reads ``df`` twice, so it should be a stored table.
+    """
+    (bounds,) = slice_bounds(df, [column])
     spread = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    ranked = cumulative_counts(histogram, column).select("*", spread.alias("prob"))
+    ranked = cumulative_counts(histogram(df, column), column, bounds).select("*", spread.alias("prob"))
     position = F.col("prob") * (F.col("total") - 1)
     low, high = F.floor(position), F.ceil(position)
     first, last = F.col("before"), F.col("before") + F.col("n") - 1
@@ -106,7 +119,9 @@ def running_number(
     tasks; a slice holds about 1/``slices`` of the table.
     """
     group = list(group)
-    sliced = add_slice(df, _seconds(df, time), slices=slices)
+    seconds = _seconds(df, time)
+    (bounds,) = slice_bounds(df.select(seconds.alias("_at")), ["_at"], slices)
+    sliced = with_slice(df, seconds, bounds)
     sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
     ahead = Window.partitionBy(*group).orderBy("_slice")
     offsets = sizes.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.config import ColdStartConfig
-from shelfrank.functions.ordering import percent_rank_table, top_per_group
+from shelfrank.functions.ordering import percent_rank_table, slice_bounds, top_per_group
 from shelfrank.operators.interactions import book_counts
 from shelfrank.operators.joins import join_salted
 
@@ -74,8 +74,9 @@ def eligible_books(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFra
 def percent_ranks(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFrame:
     """Eligible books with the percent ranks of their purchase count and of their rating."""
     eligible = eligible_books(books, cfg)
-    purchases = percent_rank_table(eligible, "purchase_count", "purchase_rank")
-    ratings = percent_rank_table(eligible, "rating_avg", "rating_rank")
+    by_purchases, by_rating = slice_bounds(eligible, ["purchase_count", "rating_avg"])
+    purchases = percent_rank_table(eligible, "purchase_count", "purchase_rank", by_purchases)
+    ratings = percent_rank_table(eligible, "rating_avg", "rating_rank", by_rating)
     ranked = join_salted(eligible, purchases, ["purchase_count"], "inner", ["book_id"])
     return join_salted(ranked, ratings, ["rating_avg"], "inner", ["book_id"])
 
@@ -146,8 +147,10 @@ def hybrid_blend(
         F.coalesce("mf_score", F.lit(0.0)) * cfg.hybrid_mf_weight
         + F.coalesce("popularity_score", F.lit(0.0)) * cfg.hybrid_popularity_weight
     )
+    # Inputs have six decimals, so products end at the seventh: the inner rounding removes binary
+    # noise there and halves round up as in decimal arithmetic.
     blended = left.join(right, [*keys, "book_id"], "full_outer").select(
-        *keys, "book_id", F.round(score, 6).alias("hybrid_score")
+        *keys, "book_id", F.round(F.round(score, 9), 6).alias("hybrid_score")
     )
     return top_per_group(blended, keys, [F.desc("hybrid_score"), F.asc("book_id")], k)
 

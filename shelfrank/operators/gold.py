@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.ordering import dense_keys, running_number
 from shelfrank.functions.scalars import clean_text
-from shelfrank.operators.joins import join_measured
+from shelfrank.operators.joins import join_unique
 
 
 def book_purchase_count(sales: DataFrame) -> DataFrame:
@@ -99,9 +99,9 @@ def sales_with_keys(lines: DataFrame, products: DataFrame, sellers: DataFrame) -
     """
     books = key_lookup(products, "title", "book_id")
     shops = key_lookup(sellers, "seller_username", "seller_id")
-    known = join_measured(lines, books, ["title"], "inner")
+    known = join_unique(lines, books, ["title"], "inner")
     return (
-        join_measured(known, shops, ["seller_username"], "left")
+        join_unique(known, shops, ["seller_username"], "left")
         .withColumn("seller_id", F.coalesce("seller_id", F.lit(1).cast("long")))
         .withColumn("line_total", F.round(F.col("unit_price") * F.col("quantity"), 2))
         .withColumn("unit_price", F.round("unit_price", 2))

@@ -58,21 +58,29 @@ def join_salted(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def join_measured(
+def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a small-side table may be broadcast, by its measured size.
+
+    Costs a scan of ``df``: meant for stored tables, once for all joins with them.
+    """
+    return measured_bytes(df) <= limit_bytes
+
+
+def join_unique(
     long: DataFrame,
     unique: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     salt_by: Sequence[str] = (),
-    limit_bytes: int = BROADCAST_BYTES,
-    spread: int = SPREAD,
-    measure: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Broadcast ``unique`` if its measured size allows, else join with a salt.
+    """Broadcast ``unique`` if it was measured ``small``, else join with a salt.
 
-    Meant for tables that are cheap to measure (a dimension read from files). ``measure`` names a
-    stored table that bounds the size of a derived ``unique``.
+    ``small`` is the result of ``fits_broadcast`` on a table that bounds ``unique``; None measures
+    ``unique`` itself.
     """
-    if measured_bytes(unique if measure is None else measure) <= limit_bytes:
+    if small is None:
+        small = fits_broadcast(unique)
+    if small:
         return long.join(F.broadcast(unique), list(on), how)
-    return join_salted(long, unique.hint("merge"), on, how, salt_by, spread)
+    return join_salted(long, unique.hint("merge"), on, how, salt_by)

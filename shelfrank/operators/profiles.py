@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import joined_line
 from shelfrank.operators.interactions import completed, positive
-from shelfrank.operators.joins import join_measured
+from shelfrank.operators.joins import fits_broadcast, join_unique
 
 TOP_N = 3
 RECENT_N = 2
 PROFILE_HEADER = "User strongly prefers:"
 
 
-def attribute_weights(interactions: DataFrame, books: DataFrame) -> DataFrame:
+def attribute_weights(
+    interactions: DataFrame, books: DataFrame, small: bool | None = None
+) -> DataFrame:
     """(user_id, attribute, name, weight) for category and author, from one join and one shuffle."""
     attributes = books.select("book_id", "category_name", "author")
-    joined = join_measured(interactions, attributes, ["book_id"], "inner", ["user_id"])
+    joined = join_unique(interactions, attributes, ["book_id"], "inner", ["user_id"], small)
     named = F.array(
         F.struct(F.lit("category").alias("attribute"), F.col("category_name").alias("name")),
         F.struct(F.lit("author").alias("attribute"), F.col("author").alias("name")),
@@ -32,7 +34,7 @@ def attribute_weights(interactions: DataFrame, books: DataFrame) -> DataFrame:
 
 def single_weights(interactions: DataFrame, books: DataFrame, column: str) -> DataFrame:
     """(user_id, ``column``, weight) for one attribute of the books."""
-    joined = join_measured(
+    joined = join_unique(
         interactions, books.select("book_id", column), ["book_id"], "inner", ["user_id"]
     )
     return joined.groupBy("user_id", column).agg(
@@ -52,21 +54,30 @@ def top_names(weights: DataFrame, name: str, n: int = TOP_N) -> DataFrame:
     return top_per_group(weights, ["user_id"], [F.desc("weight"), F.asc(name)], n)
 
 
-def recent_purchases(sales: DataFrame, books: DataFrame, n: int = RECENT_N) -> DataFrame:
+def recent_purchases(
+    sales: DataFrame, books: DataFrame, n: int = RECENT_N, small: bool | None = None
+) -> DataFrame:
     """Titles of the last ``n`` completed purchases per user."""
-    known = join_measured(
+    known = join_unique(
         completed(sales).select(F.col("buyer_id").alias("user_id"), "book_id", "order_date"),
         books.select("book_id", "title"),
         ["book_id"],
         "inner",
         ["user_id"],
+        small,
     )
     return top_per_group(known, ["user_id"], [F.desc("order_date"), F.asc("book_id")], n)
 
 
-def high_rated(reviews: DataFrame, books: DataFrame, n: int = RECENT_N, threshold: float = 4.0) -> DataFrame:
+def high_rated(
+    reviews: DataFrame,
+    books: DataFrame,
+    n: int = RECENT_N,
+    threshold: float = 4.0,
+    small: bool | None = None,
+) -> DataFrame:
     """Titles of the ``n`` best-scored positive reviews per user."""
-    known = join_measured(
+    known = join_unique(
         positive(reviews, threshold).select(
             F.col("buyer_id").alias("user_id"), "book_id", "score", "snapshot_date"
         ),
@@ -74,6 +85,7 @@ def high_rated(reviews: DataFrame, books: DataFrame, n: int = RECENT_N, threshol
         ["book_id"],
         "inner",
         ["user_id"],
+        small,
     )
     order = [F.desc("score"), F.desc("snapshot_date"), F.asc("book_id")]
     return top_per_group(known, ["user_id"], order, n)
@@ -96,7 +108,8 @@ def user_profiles(
     def section(df: DataFrame, name: str, text: str) -> DataFrame:
         return df.select("user_id", F.lit(name).alias("section"), "rank", F.col(text).alias("text"))
 
-    weights = attribute_weights(interactions, books)
+    small = fits_broadcast(books.select("book_id", "title", "author", "category_name"))
+    weights = attribute_weights(interactions, books, small)
     tops = top_per_group(
         weights, ["user_id", "attribute"], [F.desc("weight"), F.asc("name")], TOP_N
     ).select("user_id", F.col("attribute").alias("section"), "rank", F.col("name").alias("text"))
@@ -106,9 +119,11 @@ def user_profiles(
         F.lit(0).alias("rank"),
         F.lit(None).cast("string").alias("text"),
     )
+    rated = high_rated(reviews, books, RECENT_N, threshold, small)
+    bought = recent_purchases(sales, books, RECENT_N, small)
     pieces = (
-        tops.unionByName(section(high_rated(reviews, books, RECENT_N, threshold), "rated", "title"))
-        .unionByName(section(recent_purchases(sales, books), "bought", "title"))
+        tops.unionByName(section(rated, "rated", "title"))
+        .unionByName(section(bought, "bought", "title"))
         .unionByName(anchors)
     )
 

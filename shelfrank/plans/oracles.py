@@ -117,11 +117,11 @@ PARTS: dict[str, str] = {
         WHERE rank <= 50""",
     "profile_words": """
         SELECT user_id, list_filter(list_distinct(string_split(
-            regexp_replace(lower(user_profile), '[^a-z0-9]+', ' ', 'g'), ' ')), x -> x <> '') AS a
+            regexp_replace(lower(user_profile), '[^a-z0-9]+', ' ', 'g'), ' ')), lambda x: x <> '') AS a
         FROM profiles""",
     "description_words": """
         SELECT book_id, list_filter(list_distinct(string_split(
-            regexp_replace(lower(item_description), '[^a-z0-9]+', ' ', 'g'), ' ')), x -> x <> '') AS b
+            regexp_replace(lower(item_description), '[^a-z0-9]+', ' ', 'g'), ' ')), lambda x: x <> '') AS b
         FROM descriptions""",
     "pairs": """
         SELECT c.*, len(list_intersect(a, b)) AS common, len(a) + len(b) AS both_n
@@ -167,8 +167,8 @@ PARTS: dict[str, str] = {
         SELECT DISTINCT user_id, CAST(coalesce(top_k, 5) AS BIGINT) AS top_k, user_group
         FROM requests JOIN groups USING (user_id)""",
     "blended": """
-        SELECT user_id, top_k, book_id, round(coalesce(mf_score, 0) * CAST(0.3 AS DOUBLE)
-            + coalesce(popularity_score, 0) * CAST(0.7 AS DOUBLE), 6) AS hybrid_score
+        SELECT user_id, top_k, book_id, CAST(round(CAST(coalesce(mf_score, 0) AS DECIMAL(18, 6)) * 0.3
+            + CAST(coalesce(popularity_score, 0) AS DECIMAL(18, 6)) * 0.7, 6) AS DOUBLE) AS hybrid_score
         FROM (SELECT user_id, top_k, book_id, mf_score FROM cands JOIN routes USING (user_id)
               WHERE user_group = 'hybrid')
         FULL JOIN (SELECT user_id, top_k, book_id, popularity_score FROM sample_all JOIN routes
@@ -255,8 +255,9 @@ def _needs(text: str, parts: dict[str, str]) -> list[str]:
     return out
 
 
-def build(text: str, train: bool = False) -> str:
-    parts = {**PARTS, **TRAIN} if train else PARTS
+def build(text: str, changed: dict[str, str] | None = None) -> str:
+    """The query with the parts it needs as common table expressions."""
+    parts = {**PARTS, **(changed or {})}
     heads = ",\n".join(f"{name} AS ({parts[name].strip()})" for name in _needs(text, parts))
     return f"WITH {heads}\n{text.strip()}" if heads else text.strip()
 
@@ -346,8 +347,8 @@ BODIES: dict[str, str] = {
         FROM sample_all JOIN groups USING (user_id) WHERE rank <= 5 AND user_group <> 'warm'""",
     "hybrid_blend": """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hybrid_score DESC, book_id) AS rank
-            FROM (SELECT user_id, book_id, round(coalesce(mf_score, 0) * CAST(0.3 AS DOUBLE)
-                      + coalesce(popularity_score, 0) * CAST(0.7 AS DOUBLE), 6) AS hybrid_score
+            FROM (SELECT user_id, book_id, CAST(round(CAST(coalesce(mf_score, 0) AS DECIMAL(18, 6)) * 0.3
+                      + CAST(coalesce(popularity_score, 0) AS DECIMAL(18, 6)) * 0.7, 6) AS DOUBLE) AS hybrid_score
                   FROM cands FULL JOIN (SELECT user_id, book_id, popularity_score FROM sample_all
                       WHERE rank <= 5 AND user_id IN (SELECT user_id FROM cands)) USING (user_id, book_id)))
         WHERE rank <= 5""",
@@ -436,7 +437,7 @@ BODIES: dict[str, str] = {
         SELECT user_id, username, 'Unknown' AS full_name, 'unknown@example.com' AS email,
                coalesce(nullif(role, 'HOUSEHOLD'), 'buyer') AS role, true AS is_active FROM dim_users""",
     "dim_date": """
-        SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+        SELECT CAST(date AS VARCHAR) AS date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
                CAST(day(date) AS INTEGER) AS day, dayname(date) AS day_of_week,
                CAST(quarter(date) AS INTEGER) AS quarter, dayofweek(date) IN (0, 6) AS is_weekend FROM dates""",
     "review_running_count": """
@@ -458,7 +459,7 @@ BODIES: dict[str, str] = {
     "snapshot_valid": "SELECT * FROM stored WHERE expires_at > TIMESTAMP '2024-01-31 12:00:00' AND model_version = 1",
     "changed_users": """
         SELECT user_id, max(ts) AS last_event FROM events WHERE event_type IN ('purchase', 'view') GROUP BY user_id""",
-    "daily_volume": "SELECT CAST(ts AS DATE) AS day, count(*) AS n_events FROM events GROUP BY CAST(ts AS DATE)",
+    "daily_volume": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events FROM events GROUP BY CAST(ts AS DATE)",
     "forward_decay": """
         SELECT user_id, book_id, round(sum(base_score * exp(CAST(-0.05 AS DOUBLE) * (CAST(date_diff('day',
             CAST(event_ts AS DATE), DATE '2024-02-01') AS DOUBLE) / CAST(30 AS DOUBLE)))), 6) AS interaction_score
@@ -476,6 +477,9 @@ STALE_USERS = """
     WHERE user_id IN (SELECT user_id FROM scores)
     GROUP BY user_id HAVING max(event_ts) > TIMESTAMP '2024-01-16'"""
 
+# Without requests every known user gets a list of five.
+ALL_ROUTES = {"routes": "SELECT user_id, CAST(5 AS BIGINT) AS top_k, user_group FROM groups"}
+
 # Queries over train-period lists.
 TRAIN_KEYS = {
     "relevant_retrieved",
@@ -492,4 +496,5 @@ TRAIN_KEYS = {
 
 def oracle_sql() -> dict[str, str]:
     bodies = {**BODIES, "stale_users": STALE_USERS}
-    return {name: build(body, name in TRAIN_KEYS) for name, body in bodies.items()}
+    changed = {name: TRAIN for name in TRAIN_KEYS} | {"recommendations": ALL_ROUTES}
+    return {name: build(body, changed.get(name)) for name, body in bodies.items()}

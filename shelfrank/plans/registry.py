@@ -25,7 +25,7 @@ from shelfrank.operators import (
     rerank,
     retrieval,
 )
-from shelfrank.operators.joins import join_measured
+from shelfrank.operators.joins import join_unique
 from shelfrank.plans.recommend import Inputs, recommend
 from shelfrank.session import fresh_path, materialise
 from shelfrank.sources import tables
@@ -367,7 +367,7 @@ def cold_recs(t: Retail) -> DataFrame:
 
 @query
 def hybrid_blend(t: Retail) -> DataFrame:
-    listed = as_ranked(candidates_of(t, scores(t)))
+    listed = materialise(as_ranked(candidates_of(t, scores(t))), "candidates")
     users = listed.select("user_id").distinct()
     popular = coldstart.sample_pool(users, coldstart.popularity_pool(t.dim_books))
     return coldstart.hybrid_blend(listed, popular).withColumn("rank", long("rank"))
@@ -714,7 +714,8 @@ def dim_users(t: Retail) -> DataFrame:
 
 @query
 def dim_date(t: Retail) -> DataFrame:
-    return gold.dim_date(gold.calendar_dates(t.fact_sales, t.fact_cart, t.fact_reviews))
+    dates = gold.dim_date(gold.calendar_dates(t.fact_sales, t.fact_cart, t.fact_reviews))
+    return dates.withColumn("date", F.col("date").cast("string"))
 
 
 @query
@@ -735,8 +736,8 @@ def sales_line_total(t: Retail) -> DataFrame:
         F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_username")
     )
     lines = t.sale_lines.select("order_id", "seller_id", "book_id", "quantity")
-    lines = join_measured(lines, titles, ["book_id"], "inner", ["order_id"])
-    lines = join_measured(lines, shops, ["seller_id"], "left", ["order_id"]).select(
+    lines = join_unique(lines, titles, ["book_id"], "inner", ["order_id"])
+    lines = join_unique(lines, shops, ["seller_id"], "left", ["order_id"]).select(
         "order_id", "title", "seller_username", "quantity", "unit_price"
     )
     keyed = gold.sales_with_keys(lines, titles, shops)
@@ -794,7 +795,7 @@ def changed_users(t: Retail) -> DataFrame:
 def daily_volume(t: Retail) -> DataFrame:
     volume = freshness.daily_volume(stream(t), STREAM_DELAY)
     return freshness.refresh_days(volume, 1).select(
-        F.to_date("day_start").alias("day"), "n_events"
+        F.to_date("day_start").cast("string").alias("day"), "n_events"
     )
 
 
