@@ -194,8 +194,9 @@ def content_vectors(books: DataFrame, dims: int = CONTENT_DIMS) -> DataFrame:
             lambda acc, t: acc + t["w"],
         ).cast("float")
 
-    return books.withColumn("_terms", terms).select(
-        F.col("book_id").alias("id"),
+    # The generator keeps the optimizer from copying the terms into each of the `dims` sums.
+    return books.select(F.col("book_id").alias("id"), F.explode(F.array(terms)).alias("_terms")).select(
+        "id",
         F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), total).alias("features"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import dot
+from shelfrank.functions.vectors import longs, pack, to_matrix
 from shelfrank.operators.grid import Grid, fit_grid
 from shelfrank.operators.joins import join_salted
 
@@ -36,19 +37,6 @@ def score_pairs(
     return joined.select(*pairs.columns, score.alias("mf_score"))
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as one float64 matrix."""
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    flat = np.asarray(lists.flatten(), dtype=np.float64)
-    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
-
-
-def _ints(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy().astype(np.int64)
-
-
 def _empty_best() -> pa.Table:
     return pa.table(
         {
@@ -61,23 +49,27 @@ def _empty_best() -> pa.Table:
     )
 
 
-def _best_in_cell(depth: int, skip_seen: bool):
-    """Cell function: the ``depth`` best books of the block for each user of the block."""
+def _best_in_cell(depth: int, skip_seen: bool, keep_unseen: int | None):
+    """Cell function: the ``depth`` best books of the block for each user of the block.
+
+    Seen books are flagged; ``skip_seen`` leaves them out before the cut at ``depth``, and
+    ``keep_unseen`` drops them after it and keeps that many of the rest.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         is_user = left.column("kind").to_numpy(zero_copy_only=False) == 0
         users = left.filter(pa.array(is_user))
         if users.num_rows == 0 or right.num_rows == 0:
             return _empty_best()
-        user_ids, item_ids = _ints(users, "user_id"), _ints(right, "book_id")
+        user_ids, item_ids = longs(users, "user_id"), longs(right, "book_id")
         # Ascending ids, so that a position doubles as the tie-break.
         by_user, by_item = np.argsort(user_ids), np.argsort(item_ids)
         user_ids, item_ids = user_ids[by_user], item_ids[by_item]
-        u = _matrix(users.column("features"))[by_user]
-        v = _matrix(right.column("features"))[by_item]
+        u = to_matrix(users.column("vec"))[by_user].astype(np.float64)
+        v = to_matrix(right.column("vec"))[by_item].astype(np.float64)
 
         marks = left.filter(pa.array(~is_user))
-        seen_u, seen_i = _ints(marks, "user_id"), _ints(marks, "book_id")
+        seen_u, seen_i = longs(marks, "user_id"), longs(marks, "book_id")
         pos_u = np.searchsorted(user_ids, seen_u)
         pos_i = np.searchsorted(item_ids, seen_i)
         known = (pos_u < len(user_ids)) & (pos_i < len(item_ids))
@@ -110,18 +102,21 @@ def _best_in_cell(depth: int, skip_seen: bool):
             )
             seen = np.zeros(rounded.shape, dtype=bool)
             seen[rows, cols] = True
-            flags = np.take_along_axis(seen, ranked, 1).ravel()
-            scores = np.take_along_axis(rounded, ranked, 1).ravel() / SCALE
-            columns = [
-                np.repeat(user_ids[start:stop], take),
-                item_ids[ranked.ravel()],
-                scores,
-                flags,
-                np.tile(np.arange(1, take + 1, dtype=np.int32), stop - start),
-            ]
-            if skip_seen:
-                columns = [c[~flags] for c in columns]
-            parts.append(pa.table(columns, names=["user_id", "book_id", "mf_score", "seen", "rank"]))
+            scores = np.take_along_axis(rounded, ranked, 1) / SCALE
+            flags = np.take_along_axis(seen, ranked, 1)
+            rank = np.tile(np.arange(1, take + 1, dtype=np.int32), (stop - start, 1))
+            wanted = ~flags if skip_seen else np.ones_like(flags)
+            if keep_unseen is not None:
+                rank = np.cumsum(~flags, axis=1, dtype=np.int32)
+                wanted = ~flags & (rank <= keep_unseen)
+            owner = np.broadcast_to(user_ids[start:stop, None], flags.shape)
+            columns = [owner, item_ids[ranked], scores, flags, rank]
+            parts.append(
+                pa.table(
+                    [c[wanted] for c in columns],
+                    names=["user_id", "book_id", "mf_score", "seen", "rank"],
+                )
+            )
         return pa.concat_tables(parts)
 
     return run
@@ -133,23 +128,25 @@ def best_scored(
     depth: int,
     seen: DataFrame | None = None,
     skip_seen: bool = False,
+    keep_unseen: int | None = None,
     grid: Grid | None = None,
 ) -> DataFrame:
     """The ``depth`` best books per user by dot product, exact, with ties by book id.
 
     Every cell of the user x book grid is one matrix product in one Arrow call; only ``depth`` rows
     per user and book block leave it. ``seen`` pairs travel with the user blocks: they are flagged,
-    or left out before the cut with ``skip_seen``. A second pass over users is needed only when
-    there is more than one book block.
+    or left out before the cut at ``depth`` with ``skip_seen``, or dropped after it with
+    ``keep_unseen``, which then limits the list. A second pass over users is needed only when there
+    is more than one book block.
     """
     grid = grid or fit_grid(user_factors, item_factors)
-    users = user_factors.select(
+    users = pack(user_factors).select(
         grid.user_block("id").alias("ub"),
         grid.each_item_block().alias("ib"),
         F.lit(0).alias("kind"),
         F.col("id").alias("user_id"),
         F.lit(None).cast("long").alias("book_id"),
-        F.col("features").cast("array<float>").alias("features"),
+        "vec",
     )
     if seen is not None:
         users = users.unionByName(
@@ -159,26 +156,31 @@ def best_scored(
                 F.lit(1).alias("kind"),
                 "user_id",
                 "book_id",
-                F.lit(None).cast("array<float>").alias("features"),
+                F.lit(None).cast("binary").alias("vec"),
             )
         )
-    items = item_factors.select(
+    items = pack(item_factors).select(
         grid.each_user_block().alias("ub"),
         grid.item_block("id").alias("ib"),
         F.col("id").alias("book_id"),
-        F.col("features").cast("array<float>").alias("features"),
+        "vec",
     )
     best = (
         grid.spread(users)
         .groupBy("ub", "ib")
         .cogroup(grid.spread(items).groupBy("ub", "ib"))
-        .applyInArrow(_best_in_cell(depth, skip_seen), BEST_SCHEMA)
+        .applyInArrow(
+            _best_in_cell(depth, skip_seen, keep_unseen if grid.item_blocks == 1 else None),
+            BEST_SCHEMA,
+        )
     )
     if grid.item_blocks == 1:
         return best
-    return top_per_group(
-        best.drop("rank"), ["user_id"], [F.desc("mf_score"), F.asc("book_id")], depth
-    )
+    best = top_per_group(best.drop("rank"), ["user_id"], by_score(), depth)
+    if keep_unseen is not None:
+        unseen = best.where(~F.col("seen")).drop("rank")
+        best = top_per_group(unseen, ["user_id"], by_score(), keep_unseen)
+    return best
 
 
 def generate_candidates(
@@ -198,14 +200,14 @@ def generate_candidates(
         interactions.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi"
     )
     grid = grid or fit_grid(user_factors, item_factors)
-    depth = k if overfetch is None else k * overfetch
-    best = best_scored(
-        active, item_factors, depth, interactions.select("user_id", "book_id"), overfetch is None, grid
+    seen = interactions.select("user_id", "book_id")
+    if overfetch is None:
+        best = best_scored(active, item_factors, k, seen, skip_seen=True, grid=grid)
+    else:
+        best = best_scored(active, item_factors, k * overfetch, seen, keep_unseen=k, grid=grid)
+    return best.select(
+        "user_id", F.col("book_id").alias("candidate_book_id"), "mf_score", "rank"
     )
-    unseen = best.where(~F.col("seen")).drop("seen")
-    if overfetch is not None:
-        unseen = top_per_group(unseen.drop("rank"), ["user_id"], by_score(), k)
-    return unseen.withColumnRenamed("book_id", "candidate_book_id")
 
 
 def by_score(score: str = "mf_score", book: str = "book_id") -> list[Column]:
