@@ -1,9 +1,10 @@
 """Exact ranks, quantiles, running counts and dense keys without a one-task global sort.
 
 A window without PARTITION BY sorts the whole table in one task. Here the order is cut into
-slices of about equal row counts: each slice is numbered on its own and then shifted by the size
-of the slices before it. Only the slice bounds (at most ``slices`` numbers) and the slice sizes
-(at most ``slices`` rows per group) are ever looked at as a whole.
+slices of about equal row counts, as many as the session has shuffle partitions: each slice is
+numbered on its own and then shifted by the size of the slices before it. Only the slice bounds and
+sizes (one number per slice and group) are ever looked at as a whole. Results do not depend on the
+number of slices.
 """
 
 from __future__ import annotations
@@ -15,11 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICES = 64
+MIN_SLICES, MAX_SLICES = 64, 10_000
 
 
-def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int = SLICES) -> list[list[float]]:
-    """Inner bounds of ``slices`` ranges of about equal row counts per column, from one sketch job."""
+def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> list[list[float]]:
+    """Inner bounds of ranges of about equal row counts per column, from one sketch job."""
+    if slices is None:
+        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = min(max(wanted, MIN_SLICES), MAX_SLICES)
     probs = [i / slices for i in range(1, slices)]
     found = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).approxQuantile(
         list(columns), probs, 0.25 / slices
@@ -58,7 +62,7 @@ def cumulative_counts(counts: DataFrame, value: str, bounds: Sequence[float]) ->
         F.sum("_size").over(everything).alias("total"),
     )
     inside = Window.partitionBy("_slice").orderBy(value)
-    # At most `slices` + 1 offset rows: the broadcast has a fixed bound.
+    # At most MAX_SLICES + 1 offset rows: the broadcast has a fixed bound.
     return (
         sliced.join(F.broadcast(offsets), "_slice")
         .withColumn("before", F.col("_shift") + F.sum("n").over(inside) - F.col("n"))
@@ -111,12 +115,12 @@ def running_number(
     time: str,
     ties: Sequence[str],
     name: str,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """1-based position of each row inside its group by (``time``, ``ties``).
 
     The group is cut along time, so that a group with a third of all rows is numbered by many
-    tasks; a slice holds about 1/``slices`` of the table.
+    tasks; a slice holds about one shuffle partition's share of the table.
     """
     group = list(group)
     seconds = _seconds(df, time)

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 USERS_PER_BLOCK = 20_000
 ITEMS_PER_BLOCK = 200_000
 MIN_USER_BLOCKS = 8
+# Every user block receives every book once, so beyond this many the blocks grow instead ...
+MANY_USER_BLOCKS = 10_000
+# ... up to this size.
+MAX_USERS_PER_BLOCK = 100_000
 # Tasks per cell-wise stage; a few per cell even out hash collisions.
 TASKS_PER_CELL = 2
 MAX_TASKS = 20_000
@@ -55,7 +59,12 @@ def fit_grid(
 ) -> Grid:
     """Block counts from row counts of the two factor tables, so from data and not the cluster."""
     if user_blocks is None:
-        user_blocks = max(MIN_USER_BLOCKS, math.ceil(users.count() / USERS_PER_BLOCK))
+        n_users = users.count()
+        user_blocks = max(
+            MIN_USER_BLOCKS,
+            min(math.ceil(n_users / USERS_PER_BLOCK), MANY_USER_BLOCKS),
+            math.ceil(n_users / MAX_USERS_PER_BLOCK),
+        )
     if item_blocks is None:
         item_blocks = max(1, math.ceil(items.count() / ITEMS_PER_BLOCK))
     return Grid(user_blocks, item_blocks)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,15 +26,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or a fresh local one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfrank-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder of ``spark.checkpoint.dir``; where unset, a fresh one, in local mode only."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfrank-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -54,6 +54,8 @@ class Retail:
             F.expr(f"o_orderdate + INTERVAL {ORDER_DATE_SHIFT_DAYS} DAYS").alias("order_date"),
             F.col("o_orderstatus").alias("order_overall_status"),
         )
+        # An order with very many lines is left to the skew handling of adaptive execution: it only
+        # copies the headers that need it, where a salt would copy all of them.
         return self.sale_lines.join(headers, "order_id")
 
     @cached_property

@@ -1,0 +1,57 @@
+"""Small frames and row helpers for tests."""
+
+import contextlib
+import datetime as dt
+import io
+
+AS_OF = dt.date(2024, 2, 1)
+
+
+def at(day, hour=12, month=1, year=2024):
+    return dt.datetime(year, month, day, hour)
+
+
+def sales(spark, rows):
+    return spark.createDataFrame(
+        rows, "buyer_id long, book_id long, order_date timestamp, item_status string"
+    )
+
+
+def carts(spark, rows=()):
+    return spark.createDataFrame(list(rows), "buyer_id long, book_id long, added_at timestamp")
+
+
+def reviews(spark, rows=()):
+    return spark.createDataFrame(
+        list(rows), "buyer_id long, book_id long, score double, snapshot_date timestamp"
+    )
+
+
+def scores(spark, rows):
+    return spark.createDataFrame(rows, "user_id long, book_id long, interaction_score double")
+
+
+def books(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "book_id long, title string, author string, category_name string, rating_avg double, "
+        "purchase_count long",
+    )
+
+
+def factors(spark, matrix, first=0):
+    rows = [(first + n, [float(x) for x in row]) for n, row in enumerate(matrix)]
+    return spark.createDataFrame(rows, "id long, features array<float>")
+
+
+def rows(df, *columns):
+    picked = df.select(*columns) if columns else df
+    return sorted(tuple(r) for r in picked.collect())
+
+
+def plan(df):
+    """The physical plan as text."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

@@ -1,0 +1,46 @@
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
+
+from shelfrank.operators import joins
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    # Key 0 owns a third of the long side; keys 40.. have no partner on either side.
+    long = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("long").alias("k"),
+        F.col("id").alias("v"),
+    )
+    unique = spark.range(0, 60, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    return long, unique
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_all_forms_agree_with_a_plain_join(sides, how):
+    long, unique = sides
+    want = rows(long.join(unique, "k", how).fillna(-1))
+    assert rows(joins.join_salted(long, unique, ["k"], how, ["v"]).fillna(-1)) == want
+    assert rows(joins.join_unique(long, unique, ["k"], how, ["v"], small=False).fillna(-1)) == want
+    assert rows(joins.join_unique(long, unique, ["k"], how, ["v"]).fillna(-1)) == want
+
+
+def test_a_large_side_is_not_broadcast(sides):
+    long, unique = sides
+    text = plan(joins.join_unique(long, unique, ["k"], small=False))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_salt_spreads_a_hot_key(sides):
+    long, _ = sides
+    salt = F.pmod(F.xxhash64("v"), F.lit(joins.SPREAD))
+    sizes = [r["count"] for r in long.where("k = 0").groupBy(salt).count().collect()]
+    assert len(sizes) == joins.SPREAD and max(sizes) < 3 * min(sizes)
+
+
+def test_measured_bytes_grows_with_the_text(spark):
+    short = spark.createDataFrame([(1, "a")], "k long, t string")
+    long = spark.createDataFrame([(1, "a" * 5000)], "k long, t string")
+    assert joins.measured_bytes(long) - joins.measured_bytes(short) == 4999
+    assert joins.fits_broadcast(short) and not joins.fits_broadcast(long, 1000)
+    assert joins.measured_bytes(short.limit(0)) == 0
