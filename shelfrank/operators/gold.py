@@ -99,9 +99,10 @@ def sales_with_keys(lines: DataFrame, products: DataFrame, sellers: DataFrame) -
     """
     books = key_lookup(products, "title", "book_id")
     shops = key_lookup(sellers, "seller_username", "seller_id")
-    known = join_unique(lines, books, ["title"], "inner")
+    salt = ["unit_price", "quantity"]
+    known = join_unique(lines, books, "title", "inner", ["seller_username", *salt])
     return (
-        join_unique(known, shops, ["seller_username"], "left")
+        join_unique(known, shops, "seller_username", "left", ["title", *salt], keys_from=lines)
         .withColumn("seller_id", F.coalesce("seller_id", F.lit(1).cast("long")))
         .withColumn("line_total", F.round(F.col("unit_price") * F.col("quantity"), 2))
         .withColumn("unit_price", F.round("unit_price", 2))

@@ -154,9 +154,9 @@ def of_users(interactions: DataFrame, users: DataFrame) -> DataFrame:
     return join_salted(interactions, wanted, ["user_id"], "left_semi", ["book_id"])
 
 
-def of_buyers(facts: DataFrame, buyers: DataFrame) -> DataFrame:
+def of_buyers(facts: DataFrame, buyers: DataFrame, ts: str) -> DataFrame:
     """Fact rows of the given buyers (buyer_id, distinct)."""
-    return join_salted(facts, buyers, ["buyer_id"], "left_semi", ["book_id"])
+    return join_salted(facts, buyers, ["buyer_id"], "left_semi", ["book_id", ts])
 
 
 def seen_pairs(interactions: DataFrame) -> DataFrame:

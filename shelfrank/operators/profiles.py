@@ -20,7 +20,7 @@ def attribute_weights(
 ) -> DataFrame:
     """(user_id, attribute, name, weight) for category and author, from one join and one shuffle."""
     attributes = books.select("book_id", "category_name", "author")
-    joined = join_unique(interactions, attributes, ["book_id"], "inner", ["user_id"], small)
+    joined = join_unique(interactions, attributes, "book_id", "inner", ["user_id"], small)
     named = F.array(
         F.struct(F.lit("category").alias("attribute"), F.col("category_name").alias("name")),
         F.struct(F.lit("author").alias("attribute"), F.col("author").alias("name")),
@@ -35,7 +35,7 @@ def attribute_weights(
 def single_weights(interactions: DataFrame, books: DataFrame, column: str) -> DataFrame:
     """(user_id, ``column``, weight) for one attribute of the books."""
     joined = join_unique(
-        interactions, books.select("book_id", column), ["book_id"], "inner", ["user_id"]
+        interactions, books.select("book_id", column), "book_id", "inner", ["user_id"]
     )
     return joined.groupBy("user_id", column).agg(
         F.round(F.sum("interaction_score"), 6).alias("weight")
@@ -61,9 +61,9 @@ def recent_purchases(
     known = join_unique(
         completed(sales).select(F.col("buyer_id").alias("user_id"), "book_id", "order_date"),
         books.select("book_id", "title"),
-        ["book_id"],
+        "book_id",
         "inner",
-        ["user_id"],
+        ["user_id", "order_date"],
         small,
     )
     return top_per_group(known, ["user_id"], [F.desc("order_date"), F.asc("book_id")], n)
@@ -82,9 +82,9 @@ def high_rated(
             F.col("buyer_id").alias("user_id"), "book_id", "score", "snapshot_date"
         ),
         books.select("book_id", "title"),
-        ["book_id"],
+        "book_id",
         "inner",
-        ["user_id"],
+        ["user_id", "snapshot_date"],
         small,
     )
     order = [F.desc("score"), F.desc("snapshot_date"), F.asc("book_id")]

@@ -11,7 +11,7 @@ from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import dot
 from shelfrank.functions.vectors import longs, pack, to_matrix
 from shelfrank.operators.grid import Grid, fit_grid
-from shelfrank.operators.joins import join_salted
+from shelfrank.operators.joins import frequent_keys, join_hot
 
 # Scores are compared at six decimals (fixed value).
 SCALE = 1_000_000
@@ -27,12 +27,16 @@ def score_pairs(
     item_factors: DataFrame,
     unknown: str = "zero",
 ) -> DataFrame:
-    """Dot product per (user_id, book_id); an id without factors scores 0.0 or drops its row."""
+    """Dot product per (user_id, book_id); an id without factors scores 0.0 or drops its row.
+
+    ``pairs`` is read twice, so it should be a stored table.
+    """
     how = "left" if unknown == "zero" else "inner"
     users = user_factors.select(F.col("id").alias("user_id"), F.col("features").alias("_u"))
     items = item_factors.select(F.col("id").alias("book_id"), F.col("features").alias("_v"))
-    joined = join_salted(pairs, users, ["user_id"], how, ["book_id"])
-    joined = join_salted(joined, items, ["book_id"], how, ["user_id"])
+    hot_users, hot_books = frequent_keys(pairs, ["user_id", "book_id"])
+    joined = join_hot(pairs, users, "user_id", how, ["book_id"], hot_users)
+    joined = join_hot(joined, items, "book_id", how, ["user_id"], hot_books)
     score = F.coalesce(dot(F.col("_u"), F.col("_v")), F.lit(0.0))
     return joined.select(*pairs.columns, score.alias("mf_score"))
 

@@ -460,7 +460,7 @@ def missing_books(t: Retail) -> DataFrame:
 
 @query
 def score_pairs(t: Retail) -> DataFrame:
-    pairs = scores(t).select("user_id", "book_id")
+    pairs = materialise(scores(t).select("user_id", "book_id"), "pairs")
     scored = retrieval.score_pairs(pairs, t.factors, t.factors)
     return scored.select("user_id", "book_id", (F.round("mf_score", 6) + 0.0).alias("mf_score"))
 
@@ -533,8 +533,9 @@ def pair_score(t: Retail) -> DataFrame:
     candidates = materialise(candidates_of(t, weights), "candidates")
     users = candidates.select("user_id").distinct()
     texts = profiles.user_profiles(users, weights, t.fact_sales, t.fact_reviews, t.catalogue)
-    pairs = as_ranked(candidates).join(texts, "user_id")
-    pairs = rerank.join_texts(pairs, profiles.item_descriptions(t.dim_books), t.dim_books)
+    listed = as_ranked(candidates)
+    descriptions = profiles.item_descriptions(t.dim_books)
+    pairs = rerank.join_texts(listed.join(texts, "user_id"), descriptions, t.dim_books, listed)
     scored = rerank.score_text_pairs(pairs, rerank.word_overlap_scorer)
     return scored.select("user_id", "book_id", r6("score"))
 
@@ -736,8 +737,8 @@ def sales_line_total(t: Retail) -> DataFrame:
         F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_username")
     )
     lines = t.sale_lines.select("order_id", "seller_id", "book_id", "quantity")
-    lines = join_unique(lines, titles, ["book_id"], "inner", ["order_id"])
-    lines = join_unique(lines, shops, ["seller_id"], "left", ["order_id"]).select(
+    lines = join_unique(lines, titles, "book_id", "inner", ["order_id", "quantity"])
+    lines = join_unique(lines, shops, "seller_id", "left", ["order_id", "quantity"]).select(
         "order_id", "title", "seller_username", "quantity", "unit_price"
     )
     keyed = gold.sales_with_keys(lines, titles, shops)

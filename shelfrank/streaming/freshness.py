@@ -14,6 +14,9 @@ from shelfrank.operators.interactions import completed
 from shelfrank.session import fresh_path
 
 DEFAULTS = CacheConfig()
+# Keeps streaming state on the executors' disks, so it may outgrow their memory.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+DISK_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
@@ -92,14 +95,19 @@ def run_available(
     def write(batch: DataFrame, batch_id: int) -> None:
         per_batch(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", progress)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, DISK_STATE_STORE)
+    try:
+        running = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", progress)
+            .foreachBatch(write)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    running.awaitTermination()
     return spark.read.schema(f"{schema_ddl(schema)}, batch_id BIGINT").parquet(sink)
 
 

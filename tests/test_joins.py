@@ -21,21 +21,30 @@ def test_all_forms_agree_with_a_plain_join(sides, how):
     long, unique = sides
     want = rows(long.join(unique, "k", how).fillna(-1))
     assert rows(joins.join_salted(long, unique, ["k"], how, ["v"]).fillna(-1)) == want
-    assert rows(joins.join_unique(long, unique, ["k"], how, ["v"], small=False).fillna(-1)) == want
-    assert rows(joins.join_unique(long, unique, ["k"], how, ["v"]).fillna(-1)) == want
+    assert rows(joins.join_unique(long, unique, "k", how, ["v"], small=False).fillna(-1)) == want
+    assert rows(joins.join_unique(long, unique, "k", how, ["v"]).fillna(-1)) == want
+    for hot in ([], [0], [0, 2, 999]):
+        assert rows(joins.join_hot(long, unique, "k", how, ["v"], hot, 5).fillna(-1)) == want
+
+
+def test_frequent_keys_holds_every_hot_key(sides):
+    long, _ = sides
+    (hot,) = joins.frequent_keys(long, ["k"], 0.1)
+    assert 0 in hot and len(hot) <= 10
+    assert joins.frequent_keys(long.limit(0), ["k", "v"]) == [[], []]
 
 
 def test_a_large_side_is_not_broadcast(sides):
     long, unique = sides
-    text = plan(joins.join_unique(long, unique, ["k"], small=False))
+    text = plan(joins.join_unique(long, unique, "k", "inner", ["v"], small=False))
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
 def test_salt_spreads_a_hot_key(sides):
     long, _ = sides
-    salt = F.pmod(F.xxhash64("v"), F.lit(joins.SPREAD))
+    salt = joins._salt(["v"], 16)
     sizes = [r["count"] for r in long.where("k = 0").groupBy(salt).count().collect()]
-    assert len(sizes) == joins.SPREAD and max(sizes) < 3 * min(sizes)
+    assert len(sizes) == 16 and max(sizes) < 3 * min(sizes)
 
 
 def test_measured_bytes_grows_with_the_text(spark):
