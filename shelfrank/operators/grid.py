@@ -20,6 +20,8 @@ MIN_USER_BLOCKS = 8
 MANY_USER_BLOCKS = 10_000
 # ... up to this size.
 MAX_USERS_PER_BLOCK = 100_000
+# Seen pairs that travel to one cell, on average.
+PAIRS_PER_CELL = 5_000_000
 # Tasks per cell-wise stage; a few per cell even out hash collisions.
 TASKS_PER_CELL = 2
 MAX_TASKS = 20_000
@@ -54,17 +56,20 @@ class Grid:
 def fit_grid(
     users: DataFrame,
     items: DataFrame,
-    user_blocks: int | None = None,
-    item_blocks: int | None = None,
+    pairs: DataFrame | None = None,
 ) -> Grid:
-    """Block counts from row counts of the two factor tables, so from data and not the cluster."""
-    if user_blocks is None:
-        n_users = users.count()
-        user_blocks = max(
-            MIN_USER_BLOCKS,
-            min(math.ceil(n_users / USERS_PER_BLOCK), MANY_USER_BLOCKS),
-            math.ceil(n_users / MAX_USERS_PER_BLOCK),
-        )
-    if item_blocks is None:
-        item_blocks = max(1, math.ceil(items.count() / ITEMS_PER_BLOCK))
+    """Block counts from row counts of the factor tables and of the pairs that travel along.
+
+    They follow the data and not the cluster. The tables should be stored ones, which are counted
+    from their file footers.
+    """
+    n_users = users.count()
+    item_blocks = max(1, math.ceil(items.count() / ITEMS_PER_BLOCK))
+    n_pairs = 0 if pairs is None else pairs.count()
+    user_blocks = max(
+        MIN_USER_BLOCKS,
+        min(math.ceil(n_users / USERS_PER_BLOCK), MANY_USER_BLOCKS),
+        math.ceil(n_users / MAX_USERS_PER_BLOCK),
+        math.ceil(n_pairs / (item_blocks * PAIRS_PER_CELL)),
+    )
     return Grid(user_blocks, item_blocks)

@@ -199,11 +199,12 @@ def generate_candidates(
 
     With ``overfetch`` the best ``k * overfetch`` books are taken before seen ones are dropped, so a
     heavy user may get fewer than ``k``; ``None`` drops seen books first and always fills the list.
+    ``interactions`` is read more than once, so it should be a stored table.
     """
     active = user_factors.join(
         interactions.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi"
     )
-    grid = grid or fit_grid(user_factors, item_factors)
+    grid = grid or fit_grid(user_factors, item_factors, interactions)
     seen = interactions.select("user_id", "book_id")
     if overfetch is None:
         best = best_scored(active, item_factors, k, seen, skip_seen=True, grid=grid)

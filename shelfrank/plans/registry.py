@@ -72,6 +72,10 @@ def scores(t: Retail) -> DataFrame:
     return interactions.interaction_scores(t.fact_sales, t.fact_cart, t.fact_reviews, AS_OF)
 
 
+def stored_scores(t: Retail) -> DataFrame:
+    return materialise(scores(t), "interactions")
+
+
 def train_facts(t: Retail) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         interactions.between(t.fact_sales, "order_date", end=CUT),
@@ -271,7 +275,7 @@ def quality_counts(t: Retail) -> DataFrame:
 @query
 def single_user(t: Retail) -> DataFrame:
     """Interactions of one user: the one with the highest total score."""
-    table = materialise(scores(t), "interactions")
+    table = stored_scores(t)
     total = F.round(F.sum("interaction_score"), 6).alias("total")
     best = table.groupBy("user_id").agg(total).orderBy(F.desc("total"), "user_id").limit(1)
     return interactions.of_users(table, best).select("user_id", "book_id", r6("interaction_score"))
@@ -316,7 +320,7 @@ def count_distribution(t: Retail) -> DataFrame:
 
 @query
 def warm_interactions(t: Retail) -> DataFrame:
-    kept, _ = coldstart.filter_cold_books(scores(t), MIN_BOOK_USERS)
+    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
     return kept.select("user_id", "book_id", r6("interaction_score"))
 
 
@@ -367,7 +371,7 @@ def cold_recs(t: Retail) -> DataFrame:
 
 @query
 def hybrid_blend(t: Retail) -> DataFrame:
-    listed = materialise(as_ranked(candidates_of(t, scores(t))), "candidates")
+    listed = materialise(as_ranked(candidates_of(t, stored_scores(t))), "candidates")
     users = listed.select("user_id").distinct()
     popular = coldstart.sample_pool(users, coldstart.popularity_pool(t.dim_books))
     return coldstart.hybrid_blend(listed, popular).withColumn("rank", long("rank"))
@@ -376,7 +380,7 @@ def hybrid_blend(t: Retail) -> DataFrame:
 @query
 def cold_book_similar(t: Retail) -> DataFrame:
     """The five most similar warm books of every cold book."""
-    table = materialise(scores(t), "interactions")
+    table = stored_scores(t)
     cold = coldstart.cold_books(table, MIN_BOOK_USERS).select("book_id")
     unsold = t.dim_books.join(interactions.book_counts(table), "book_id", "left_anti")
     cold = cold.unionByName(unsold.select("book_id"))
@@ -430,7 +434,7 @@ def high_rated(t: Retail) -> DataFrame:
 
 @query
 def user_profiles(t: Retail) -> DataFrame:
-    table = materialise(scores(t), "interactions")
+    table = stored_scores(t)
     kept, _ = coldstart.filter_cold_books(table, MIN_BOOK_USERS)
     return profiles.user_profiles(kept, table, t.fact_sales, t.fact_reviews, t.catalogue)
 
@@ -442,7 +446,7 @@ def item_descriptions(t: Retail) -> DataFrame:
 
 @query
 def candidate_books(t: Retail) -> DataFrame:
-    wanted = as_ranked(candidates_of(t, scores(t)))
+    wanted = as_ranked(candidates_of(t, stored_scores(t)))
     return profiles.candidate_books(t.dim_books, wanted).select(
         "book_id", "title", "author", "category_name", "rating_avg", "purchase_count"
     )
@@ -473,24 +477,24 @@ def dot_topk(t: Retail) -> DataFrame:
 
 @query
 def candidates_topk(t: Retail) -> DataFrame:
-    return candidates_of(t, scores(t)).withColumn("rank", long("rank"))
+    return candidates_of(t, stored_scores(t)).withColumn("rank", long("rank"))
 
 
 @query
 def candidate_lists(t: Retail) -> DataFrame:
-    lists = retrieval.as_lists(candidates_of(t, scores(t)), "candidate_book_id")
+    lists = retrieval.as_lists(candidates_of(t, stored_scores(t)), "candidate_book_id")
     return lists.select("user_id", F.array_join(F.col("books").cast("array<string>"), ",").alias("books"))
 
 
 @query
 def candidate_quality(t: Retail) -> DataFrame:
-    seen = materialise(scores(t), "interactions")
+    seen = stored_scores(t)
     return retrieval.quality(candidates_of(t, seen), seen)
 
 
 @query
 def warm_candidates(t: Retail) -> DataFrame:
-    table = materialise(scores(t), "interactions")
+    table = stored_scores(t)
     warm = coldstart.classify_users(table, t.dim_users).where(F.col("user_group") == "warm")
     listed = candidates_of(t, table).join(warm, "user_id", "left_semi")
     return listed.withColumn("rank", long("rank"))
@@ -520,7 +524,7 @@ def recommend_subset(t: Retail) -> DataFrame:
 
 @query
 def reranked(t: Retail) -> DataFrame:
-    weights = materialise(scores(t), "interactions")
+    weights = stored_scores(t)
     candidates = materialise(candidates_of(t, weights), "candidates")
     best = reranked_of(candidates, weights, t.fact_sales, t.fact_reviews, t.dim_books)
     return best.withColumn("rank", long("rank"))
@@ -529,7 +533,7 @@ def reranked(t: Retail) -> DataFrame:
 @query
 def pair_score(t: Retail) -> DataFrame:
     """Every candidate pair through the Arrow scorer with a word-overlap model."""
-    weights = materialise(scores(t), "interactions")
+    weights = stored_scores(t)
     candidates = materialise(candidates_of(t, weights), "candidates")
     users = candidates.select("user_id").distinct()
     texts = profiles.user_profiles(users, weights, t.fact_sales, t.fact_reviews, t.catalogue)
@@ -545,7 +549,7 @@ def pair_score(t: Retail) -> DataFrame:
 
 def trained(t: Retail, cfg: BprConfig = BprConfig()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept interactions, user factors, item factors)."""
-    kept, _ = coldstart.filter_cold_books(scores(t), MIN_BOOK_USERS)
+    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
     kept = materialise(kept, "warm-interactions")
     return kept, *factorization.train_bpr(kept, cfg)
 
@@ -560,12 +564,12 @@ def bpr_train(t: Retail) -> DataFrame:
 
 @query
 def negative_samples(t: Retail) -> DataFrame:
-    return factorization.negative_samples(materialise(scores(t), "interactions"))
+    return factorization.negative_samples(stored_scores(t))
 
 
 @query
 def als_candidates(t: Retail) -> DataFrame:
-    kept, _ = coldstart.filter_cold_books(scores(t), MIN_BOOK_USERS)
+    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
     kept = materialise(kept, "warm-interactions")
     users, items = factorization.train_als(kept, AlsConfig())
     return retrieval.generate_candidates(users, items, kept)
