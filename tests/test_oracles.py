@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from helpers import plan
 
 import __spark_entry__ as contract
 from compare import difference
@@ -32,7 +33,10 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
 def test_query(spark, con, name):
-    got = contract.queries()[name](spark, FOLDER).toPandas()
+    df = contract.queries()[name](spark, FOLDER)
+    text = plan(df)
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    got = df.toPandas()
     if name not in SQL:
         assert len(got)
         return
