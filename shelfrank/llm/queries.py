@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfrank.llm import exact
+from shelfrank.llm import exact, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,18 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents")).drop("n_points")
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents")).drop("row_no", "copies", "parts")
+
+
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
