@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfrank.llm import exact, licenses, mixing
+from shelfrank.llm import exact, licenses, mixing, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents")).drop("n_points")
 
@@ -28,6 +41,9 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_toxicity": op3_toxicity,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,

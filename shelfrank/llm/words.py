@@ -22,6 +22,10 @@ _blank = np.zeros(256, dtype=bool)
 _blank[list(BLANKS)] = True
 _lower = np.arange(1, 257, dtype=np.uint64)
 _lower[65:91] += np.uint64(32)
+_form = np.arange(1, 257, dtype=np.uint64)
+_form[97:123] = _form[128:] = 1
+_form[65:91] = 2
+_form[48:58] = 3
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -73,12 +77,30 @@ def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int,
         lo = hi
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all words, their first byte, the byte after the last, and the index of each row's first word."""
+class Prefixes:
+    """Running sums from which the hash of any stretch of the bytes follows at once."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        inverse = pow(int(BASE), -1, 1 << 64)
+        self.total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_lower[data] * _power("inverse", inverse, n), out=self.total[1:])
+        self.base = _power("base", int(BASE), n + 1)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[start]) * self.base[end])
+
+
+def stretch_hash(text: str) -> int:
+    """The hash that ``Prefixes`` gives the bytes of a text."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    return int(Prefixes(data).hashes(np.array([0]), np.array([len(data)]))[0])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _blank) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word and the byte after its last; rows end words."""
     n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    blank = _blank[data]
+    blank = blank[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     before, after = cut[:n].copy(), cut[1:].copy()
@@ -86,11 +108,36 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after[:-1] |= blank[1:]
     start = np.flatnonzero(~blank & before)
     end = np.flatnonzero(~blank & after) + 1
+    return start, end
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, their first byte, the byte after the last, and the index of each row's first word."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    start, end = word_spans(data, offsets)
+    return Prefixes(data).hashes(start, end), start, end, np.searchsorted(start, offsets)
+
+
+def word_forms(data: np.ndarray, start: np.ndarray, end: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of the words' forms: runs of small letters, capitals and digits count as one mark, other bytes stand for
+    themselves once a run, and a word equal to the one before it in its row has a form of its own."""
+    if not len(words):
+        return words
+    marks = _form[data]
+    new = np.ones(len(data), dtype=bool)
+    new[1:] = marks[1:] != marks[:-1]
+    new[start] = True
+    kept = np.flatnonzero(new & ~_blank[data])
+    lo, hi = np.searchsorted(kept, start), np.searchsorted(kept, end)
+    total = np.zeros(len(kept) + 1, dtype=np.uint64)
     inverse = pow(int(BASE), -1, 1 << 64)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_lower[data] * _power("inverse", inverse, n), out=total[1:])
-    hashes = (total[end] - total[start]) * _power("base", int(BASE), n + 1)[end]
-    return mix(hashes), start, end, np.searchsorted(start, offsets)
+    np.cumsum(marks[kept] * _power("inverse", inverse, len(kept)), out=total[1:])
+    forms = mix((total[hi] - total[lo]) * _power("base", int(BASE), len(kept) + 1)[hi])
+    again = np.zeros(len(words), dtype=bool)
+    again[1:] = words[1:] == words[:-1]
+    again[first[:-1][first[:-1] < len(words)]] = False
+    return np.where(again, np.uint64(1), forms)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
