@@ -37,9 +37,9 @@ FIXED = {
 }
 #: Weight of a fixed insult and of a threat; least weight (a log of odds) and rows for a learnt one.
 PRIOR = 2.0
-LEAST_WEIGHT = 3.0
+LEAST_WEIGHT = 3.5
 LEAST_ROWS = 4
-LEAST_SHARE = 0.005
+LEAST_SHARE = 0.015
 #: Bytes of the word beginnings that are tried.
 BEGINNINGS = (3, 4, 5, 6)
 #: Words that a negation or a target reaches, and factors.
