@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, licenses, mixing, packing, quality, toxicity
+from shelfrank.llm import exact, licenses, mixing, packing, quality, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,10 +29,27 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive of all pages against a second store in which known records are lost, cut short or have a byte changed."""
+    half = F.expr("substring(payload, 1, octet_length(payload) div 2)")
+    rest = F.expr("substring(payload, octet_length(payload) div 2 + 2)")
+    copy = (
+        F.when(F.col("page_id") % 97 == 5, F.concat(half, F.encode(F.lit("#"), "UTF-8"), rest))
+        .when(F.col("page_id") % 211 == 7, half)
+        .when(F.col("page_id") % 307 == 11, F.lit(None))
+        .otherwise(F.col("payload"))
+    )
+    return warc.fixity(_table(spark, folder, "pages"), copy)
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents")).drop("n_points")
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_passages(_table(spark, folder, "documents")).drop("row_no")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents")).drop("row_no", "copies", "parts")
 
@@ -44,12 +62,42 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_warc_fixity": op6_warc_fixity,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_warc_fixity": r"""
+        WITH records AS (
+          SELECT page_id, coalesce(url, '') AS url,
+                 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                 || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
+                 || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                 || 'Content-Type: text/html' || chr(13) || chr(10)
+                 || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+                 || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload
+          FROM pages),
+        sized AS (
+          SELECT page_id, url, strlen(payload)::BIGINT AS length, sha256(payload) AS sha256,
+                 substr(md5(coalesce(page_id::VARCHAR, '') || ' ' || url), 1, 8) AS key,
+                 encode(payload)[(strlen(payload) // 2 + 1):(strlen(payload) // 2 + 1)] AS middle
+          FROM records),
+        placed AS (
+          SELECT *, (('0x' || key)::BIGINT
+                     % greatest(1, ceil((SELECT sum(length) FROM sized) / 8388608.0)::BIGINT))::BIGINT AS segment
+          FROM sized)
+        SELECT page_id, segment,
+               (sum(length) OVER (PARTITION BY segment ORDER BY page_id, url, sha256
+                                  ROWS UNBOUNDED PRECEDING) - length)::BIGINT AS offset,
+               length, sha256,
+               CASE WHEN page_id % 97 = 5 THEN CASE WHEN middle = '#'::BLOB THEN 'ok' ELSE 'altered' END
+                    WHEN page_id % 211 = 7 THEN 'altered'
+                    WHEN page_id % 307 = 11 THEN 'missing' ELSE 'ok' END AS status
+        FROM placed
+    """,
     "op7_exact_dedup": r"""
         WITH rows AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,
