@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfrank.llm.tables import keep_rows, text_key
 from shelfrank.session import materialise
 
 #: A digest that more than this share of the rows have is a heavy hitter; the summary has at most 1 / SUPPORT entries,
@@ -30,7 +31,7 @@ def _best_first() -> Column:
 
 
 def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_points``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, text_key``.
 
     Rows whose texts are equal after their ASCII blanks are deleted form a group (null is an empty text). The row with
     the most code points stays, then the smallest doc_id, null last; of rows that also repeat the doc_id exactly one
@@ -42,6 +43,7 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
             F.monotonically_increasing_id().alias("row_no"),
             F.char_length(F.coalesce(F.col("text"), F.lit(""))).alias("n_points"),
             F.unhex(digest(F.col("text"))).alias("sha"),
+            text_key(F.col("text")).alias("text_key"),
         ),
         "exact-rows",
     )
@@ -69,29 +71,10 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
         "group_size",
         (F.col("best.row_no") == F.col("row_no")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
-        "n_points",
+        "text_key",
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; decisions as in ``exact_groups``.
-
-    A row is found again by doc_id, digest and length. Where rows repeat all three, one of them stays.
-    """
-    groups = materialise(exact_groups(docs), "exact-groups")
-    stays = groups.where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points")
-    )
-    same = (
-        docs["doc_id"].eqNullSafe(F.col("_id"))
-        & (digest(docs["text"]) == F.col("_sha"))
-        & (F.char_length(F.coalesce(docs["text"], F.lit(""))) == F.col("_points"))
-    )
-    out = docs.join(stays, same, "left_semi")
-    repeated = groups.groupBy("doc_id", "text_sha256", "n_points").count().where("count > 1")
-    if repeated.isEmpty():
-        return out
-    marked = out.withColumns(
-        {"_sha": digest(F.col("text")), "_points": F.char_length(F.coalesce(F.col("text"), F.lit("")))}
-    )
-    return marked.dropDuplicates(["doc_id", "_sha", "_points"]).drop("_sha", "_points")
+    """The rows of ``docs`` that stay, with all their columns; decisions as in ``exact_groups``."""
+    return keep_rows(docs, materialise(exact_groups(docs), "exact-groups"))

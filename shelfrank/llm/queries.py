@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, licenses, mixing, packing, quality, substring, toxicity, warc
+from shelfrank.llm import exact, jaccard, licenses, mixing, packing, quality, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_groups(_table(spark, folder, "documents")).drop("text_key")
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -43,7 +47,7 @@ def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact.exact_groups(_table(spark, folder, "documents")).drop("n_points")
+    return exact.exact_groups(_table(spark, folder, "documents")).drop("text_key")
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,6 +64,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_warc_fixity": op6_warc_fixity,
