@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, jaccard, licenses, mixing, packing, quality, substring, toxicity, warc
+from shelfrank.llm import exact, jaccard, licenses, mixing, neighbours, packing, quality, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op6_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """The archive of all pages against a second store in which known records are lost, cut short or have a byte changed."""
     half = F.expr("substring(payload, 1, octet_length(payload) div 2)")
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_warc_fixity": op6_warc_fixity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_substring_dedup": op8_substring_dedup,
