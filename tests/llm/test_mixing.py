@@ -1,0 +1,78 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from shelfrank.llm import mixing
+from tests.llm.frames import frame, odd_rows, prose, split
+
+
+def rows():
+    out = odd_rows()
+    for i in range(100, 400):
+        out.append((i, prose(i, i % 90), ["a", "b", "ü", "z", "", None][min(5, i % 9)]))
+    return out
+
+
+def seats_one_by_one(votes, seats, most):
+    held = [0] * len(votes)
+    for _ in range(seats):
+        open_ = [(-v / (2 * h + 1), i) for i, (v, h, m) in enumerate(zip(votes, held, most, strict=True)) if v > 0 and h < m]
+        if not open_:
+            break
+        held[min(open_)[1]] += 1
+    return held
+
+
+def test_apportionment_gives_seats_to_the_highest_quotients():
+    r = random.Random(3)
+    for _ in range(200):
+        votes = [r.choice([0, r.randint(1, 50), r.random() * 9]) for _ in range(r.randint(0, 7))]
+        seats = r.randint(0, 60)
+        most = [r.choice([1000, r.randint(0, 12)]) for _ in votes]
+        assert mixing.apportion(votes, seats, most) == seats_one_by_one(votes, seats, most)
+
+
+def test_targets_are_shared_until_none_is_above():
+    assert mixing.targets([100, 100, 100], [5, 2, 1]) == pytest.approx([200, 500 / 3, 250 / 3])
+    assert mixing.targets([10, 1000, 10], [5, 2, 1]) == pytest.approx([20, 1490, 20])
+    assert mixing.targets([], []) == [] and mixing.targets([0, 0], [5, 2]) == [0, 0]
+
+
+@pytest.mark.parametrize("shard_rows", [4096, 20])
+def test_mix(spark, shard_rows):
+    data = rows()
+    got = mixing.mix(frame(spark, data), shard_rows=shard_rows).collect()
+    assert len(got) == len(data)
+    sizes = defaultdict(int)
+    for _, text, *source in data:
+        sizes[(*source, "src")[0]] += len(split(text))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal = dict(zip(names, mixing.targets([sizes[s] for s in names], [[5, 2, 1][i % 3] for i in range(len(names))]), strict=True))
+    taken = defaultdict(int)
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(goal[r.source])
+        assert 0 <= r.taken <= 2 * r.size
+        assert r.taken == r.copies * r.size + sum(p.end - p.start for p in r.parts)
+        taken[r.source] += r.taken
+    for s in names:
+        assert abs(taken[s] - goal[s]) <= 2 * mixing.BLOCK + 32 * (shard_rows < 100)
+    again = mixing.mix(frame(spark, data[::-1]).repartition(5), shard_rows=shard_rows).collect()
+    key = lambda r: (str(r.doc_id), r.size, r.source or "", r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_mixed_documents(spark):
+    data = rows()
+    docs = frame(spark, data)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    words = defaultdict(int)
+    for r in out.collect():
+        words[r.source] += len(split(r.text))
+        assert r.n_chars == len(r.text)
+    taken = defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+    assert {s: n for s, n in taken.items() if n} == dict(words)
+    assert mixing.mix(frame(spark, [])).count() == 0 and mixing.mixed_documents(frame(spark, [])).count() == 0
