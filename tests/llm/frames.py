@@ -39,8 +39,8 @@ def odd_rows():
         (9, "word"),
         (10, prose(2, 30_000)),
         (10, prose(3, 20)),
-        (11, prose(4, 25), None),
-        (11, prose(4, 25), None),
+        (11, prose(4, 45), None),
+        (11, prose(4, 45), None),
         (None, prose(5, 30), ""),
         (None, None),
         (12, base),
