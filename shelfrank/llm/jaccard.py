@@ -294,8 +294,9 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
         .join(sets.select("row_no", "doc_id", "text_key"), "row_no"),
         "jaccard-needed",
     )
-    ids = small(rows.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (text_key(docs["text"]) == F.col("_key"))
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+    ids = small(materialise(rows.select("doc_id", "text_key").distinct(), "jaccard-ids"))
+    same = texts["doc_id"].eqNullSafe(ids["doc_id"]) & (texts["text_key"] == ids["text_key"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,8 +313,7 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = (
-        docs.join(ids, same, "left_semi")
-        .select("doc_id", text_key(F.col("text")).alias("_key"), "text")
+        texts.join(ids, same, "left_semi")
         .mapInArrow(whole, f"_id {kind}, _key long, tokens binary")
         .dropDuplicates(["_id", "_key"])
     )

@@ -11,11 +11,14 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfrank.llm.tables import spare
 from shelfrank.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -184,28 +187,27 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     the mix each: they are told apart by size and their order within it.
     """
     decided = materialise(mix(docs), "mix-decided")
-    same = Window.partitionBy("doc_id", "size").orderBy("row_no")
+    words, row, nth, part = (spare(docs, n) for n in ("words", "row", "nth", "part"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    left = docs.withColumns({"_size": size, "_row": F.monotonically_increasing_id()})
-    repeated = not decided.groupBy("doc_id").count().where("count > 1").isEmpty()
-    if repeated:
-        left = left.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_size").orderBy("_row")))
-        decided = decided.withColumn("_place", F.row_number().over(same))
+    left = docs.withColumns({words: size, row: F.monotonically_increasing_id()})
+    on = ["doc_id", "size"]
+    if not decided.groupBy("doc_id").count().where("count > 1").isEmpty():
+        left = left.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", words).orderBy(row)))
+        same = Window.partitionBy("doc_id", "size").orderBy("row_no")
+        decided = decided.withColumn("nth", F.row_number().over(same))
+        on.append("nth")
+    whole = F.array_repeat(F.lit(None).cast("struct<start:bigint,end:bigint>"), F.col("copies").cast("int"))
     chosen = decided.where("taken > 0").select(
-        F.col("doc_id").alias("_id"),
-        F.col("size").alias("_words"),
-        F.concat(F.array_repeat(F.lit(None).cast("struct<start:bigint,end:bigint>"), F.col("copies").cast("int")), "parts").alias("_parts"),
-        *(["_place"] if repeated else []),
+        *[F.col(c).alias(f"mix_{c}") for c in on], F.concat(whole, "parts").alias("mix_parts")
     )
-    on = left["doc_id"].eqNullSafe(F.col("_id")) & (left["_size"] == F.col("_words"))
-    if repeated:
-        on = on & (F.col("_nth") == F.col("_place"))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, (F.col("_part.start") + 1).cast("int"), (F.col("_part.end") - F.col("_part.start")).cast("int")), " ")
-    out = left.join(chosen, on).withColumn("_part", F.explode("_parts"))
-    out = out.withColumn("text", F.when(F.col("_part").isNull(), F.col("text")).otherwise(cut))
+    equal = [left[a].eqNullSafe(chosen[f"mix_{b}"]) for a, b in zip(["doc_id", words, nth], on, strict=False)]
+    out = left.join(chosen, reduce(and_, equal)).withColumn(part, F.explode(chosen["mix_parts"]))
+    taken = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    start, end = F.col(f"{part}.start"), F.col(f"{part}.end")
+    cut = F.array_join(F.slice(taken, (start + 1).cast("int"), (end - start).cast("int")), " ")
+    out = out.withColumn("text", F.when(F.col(part).isNull(), F.col("text")).otherwise(cut))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        kind = kind if isinstance(kind, T.NumericType) else T.LongType()
-        out = out.withColumn("n_chars", F.when(F.col("_part").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
+        n = F.char_length("text").cast(kind if isinstance(kind, T.NumericType) else "long")
+        out = out.withColumn("n_chars", F.when(F.col(part).isNull(), F.col("n_chars")).otherwise(n))
     return out.select(*docs.columns)

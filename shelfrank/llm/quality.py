@@ -99,8 +99,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most_rows: int
     if n > most_rows:
         usable = usable.where(F.pmod(key, F.lit(1_000_000)) < int(1_000_000 * most_rows / n))
     # bounded by ``most_rows``, so the texts are found without a shuffle
-    small = F.broadcast(usable.select(F.col("doc_id").alias("_id"), key.alias("_key"), "y"))
-    return docs.join(small, docs["doc_id"] == F.col("_id")).where(F.col("text").isNotNull()).select("_key", "text", "y")
+    drawn = F.broadcast(usable.select(F.col("doc_id").alias("_id"), key.alias("_key"), "y"))
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    return texts.join(drawn, F.col("doc_id") == F.col("_id")).select("_key", "text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = MOST_ROWS) -> np.ndarray:

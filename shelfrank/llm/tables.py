@@ -20,6 +20,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -29,12 +37,13 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
     Rows are found by doc_id (null equals null) and text; of rows that repeat both, one stays.
     """
-    chosen = decided.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (text_key(docs["text"]) == F.col("_key"))
+    chosen = decided.where("kept").select("doc_id", "text_key").distinct()
+    same = docs["doc_id"].eqNullSafe(chosen["doc_id"]) & (text_key(docs["text"]) == chosen["text_key"])
     out = docs.join(chosen, same, "left_semi")
     if decided.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
         return out
-    return out.withColumn("_key", text_key(F.col("text"))).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    key = spare(docs, "text_key")
+    return out.withColumn(key, text_key(F.col("text"))).dropDuplicates(["doc_id", key]).drop(key)
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
