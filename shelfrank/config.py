@@ -25,9 +25,9 @@ class BprConfig:
     num_negatives: int = 1
     num_candidates: int = 50
     seed: int = 42
-    # How the (user, book) grid is cut; None derives the count from the data.
-    user_blocks: int | None = None
-    item_blocks: int | None = None
+    # How users and books are cut into blocks; the caller raises them for larger data.
+    user_blocks: int = 8
+    item_blocks: int = 1
     batch_size: int = 256
     weighted: bool = False
     # Largest step one merged factor row may take in an epoch.

@@ -144,7 +144,9 @@ def dense_keys(df: DataFrame, natural_key: str, name: str) -> DataFrame:
 
     The first three hex digits cut the keys into 4,096 even parts whatever the keys look like.
     """
-    hashed = df.select(natural_key).distinct().withColumn("_hash", F.md5(natural_key))
+    hashed = df.select(natural_key).distinct().withColumn(
+        "_hash", F.md5(F.col(natural_key).cast("string"))
+    )
     parted = hashed.withColumn("_part", F.substring("_hash", 1, 3))
     sizes = parted.groupBy("_part").agg(F.count("*").alias("_size"))
     offsets = sizes.select(

@@ -19,6 +19,11 @@ def decayed(base: Column, months: Column, lambda_rate: float) -> Column:
     return base * F.exp(F.lit(-float(lambda_rate)) * months)
 
 
+def full_value(score: Column | str) -> Column:
+    """A score to rank by: all digits but the last few, in which equal sums differ by their order."""
+    return F.round(score, 12)
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

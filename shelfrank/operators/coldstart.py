@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.config import ColdStartConfig
 from shelfrank.functions.ordering import percent_rank_table, slice_bounds, top_per_group
+from shelfrank.functions.scalars import full_value
 from shelfrank.operators.interactions import book_counts
 from shelfrank.operators.joins import join_salted
 
@@ -83,7 +84,7 @@ def percent_ranks(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFram
 
 def popularity_scores(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFrame:
     score = F.col("purchase_rank") * cfg.purchase_weight + F.col("rating_rank") * cfg.rating_weight
-    return percent_ranks(books, cfg).withColumn("popularity_score", F.round(score, 6))
+    return percent_ranks(books, cfg).withColumn("popularity_score", full_value(score))
 
 
 def popularity_pool(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFrame:
@@ -93,6 +94,7 @@ def popularity_pool(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFr
         .select("book_id", "title", "popularity_score")
         .orderBy(F.desc("popularity_score"), "book_id")
         .limit(cfg.pool_size)
+        .withColumn("popularity_score", F.round("popularity_score", 6))
     )
 
 
@@ -147,17 +149,17 @@ def hybrid_blend(
         F.coalesce("mf_score", F.lit(0.0)) * cfg.hybrid_mf_weight
         + F.coalesce("popularity_score", F.lit(0.0)) * cfg.hybrid_popularity_weight
     )
-    # Inputs have six decimals, so products end at the seventh: the inner rounding removes binary
-    # noise there and halves round up as in decimal arithmetic.
     blended = left.join(right, [*keys, "book_id"], "full_outer").select(
-        *keys, "book_id", F.round(F.round(score, 9), 6).alias("hybrid_score")
+        *keys, "book_id", full_value(score).alias("hybrid_score")
     )
-    return top_per_group(blended, keys, [F.desc("hybrid_score"), F.asc("book_id")], k)
+    best = top_per_group(blended, keys, [F.desc("hybrid_score"), F.asc("book_id")], k)
+    return best.withColumn("hybrid_score", F.round("hybrid_score", 6))
 
 
 # ---- new books -------------------------------------------------------------------------------
 
-CONTENT_DIMS = 64
+# Slots of a content vector; of a few hundred different terms, few share one.
+CONTENT_DIMS = 1024
 
 
 def content_vectors(books: DataFrame, dims: int = CONTENT_DIMS) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import joined_line
-from shelfrank.operators.interactions import completed, positive
+from shelfrank.operators.interactions import completed, of_buyers, of_users, positive
 from shelfrank.operators.joins import fits_broadcast, join_unique
 
 TOP_N = 3
 RECENT_N = 2
+# Wording of the profile texts (fixed values).
 PROFILE_HEADER = "User strongly prefers:"
 
 
@@ -32,6 +33,14 @@ def attribute_weights(
     )
 
 
+def of_attribute(weights: DataFrame, attribute: str) -> DataFrame:
+    """The rows of ``attribute_weights`` for one attribute, as (user_id, category_name or author, weight)."""
+    name = {"category": "category_name", "author": "author"}[attribute]
+    return weights.where(F.col("attribute") == attribute).select(
+        "user_id", F.col("name").alias(name), "weight"
+    )
+
+
 def single_weights(interactions: DataFrame, books: DataFrame, column: str) -> DataFrame:
     """(user_id, ``column``, weight) for one attribute of the books."""
     joined = join_unique(
@@ -98,22 +107,29 @@ def user_profiles(
     reviews: DataFrame,
     books: DataFrame,
     threshold: float = 4.0,
+    weights: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, user_profile) for every row of ``users``.
 
-    The four sections are short per-user lists; they meet in one grouping by user, so each user
-    gathers ten strings at most.
+    The four sections are short per-user lists, made for the users asked for only; they meet in one
+    grouping by user, so each user gathers ten strings at most. ``weights`` is the table of
+    ``attribute_weights`` where the caller has it already.
     """
+    wanted = users.select("user_id").distinct()
+    buyers = wanted.withColumnRenamed("user_id", "buyer_id")
+    sales = of_buyers(sales, buyers, "order_date")
+    reviews = of_buyers(reviews, buyers, "snapshot_date")
 
     def section(df: DataFrame, name: str, text: str) -> DataFrame:
         return df.select("user_id", F.lit(name).alias("section"), "rank", F.col(text).alias("text"))
 
     small = fits_broadcast(books.select("book_id", "title", "author", "category_name"))
-    weights = attribute_weights(interactions, books, small)
+    if weights is None:
+        weights = attribute_weights(of_users(interactions, wanted), books, small)
     tops = top_per_group(
         weights, ["user_id", "attribute"], [F.desc("weight"), F.asc("name")], TOP_N
     ).select("user_id", F.col("attribute").alias("section"), "rank", F.col("name").alias("text"))
-    anchors = users.select("user_id").distinct().select(
+    anchors = wanted.select(
         "user_id",
         F.lit("user").alias("section"),
         F.lit(0).alias("rank"),

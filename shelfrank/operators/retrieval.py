@@ -13,8 +13,6 @@ from shelfrank.functions.vectors import longs, pack, to_matrix
 from shelfrank.operators.grid import Grid, fit_grid
 from shelfrank.operators.joins import frequent_keys, join_hot
 
-# Scores are compared at six decimals (fixed value).
-SCALE = 1_000_000
 # Floats of one user-chunk x book-block score matrix in a task.
 CHUNK_CELLS = 4_000_000
 
@@ -90,23 +88,22 @@ def _best_in_cell(depth: int, skip_seen: bool, keep_unseen: int | None):
         parts = []
         for start in range(0, len(user_ids), step):
             stop = min(start + step, len(user_ids))
-            rounded = np.rint((u[start:stop] @ v.T) * SCALE).astype(np.int64)
-            # One integer per (score, book): larger is better, no two are equal.
-            key = rounded * n + (n - 1 - np.arange(n))
+            # Full values but for the digits in which equal sums differ by their order.
+            score = np.nan_to_num(np.round(u[start:stop] @ v.T, 12), nan=-np.inf)
             lo, hi = np.searchsorted(pos_u, [start, stop])
             rows, cols = pos_u[lo:hi] - start, pos_i[lo:hi]
-            if skip_seen:
-                key[rows, cols] = np.iinfo(np.int64).min
-            if take < n:
-                top = np.argpartition(key, n - take, axis=1)[:, n - take :]
-            else:
-                top = np.tile(np.arange(n), (stop - start, 1))
-            ranked = np.take_along_axis(
-                top, np.argsort(np.take_along_axis(key, top, 1), axis=1)[:, ::-1], 1
-            )
-            seen = np.zeros(rounded.shape, dtype=bool)
+            seen = np.zeros(score.shape, dtype=bool)
             seen[rows, cols] = True
-            scores = np.take_along_axis(rounded, ranked, 1) / SCALE
+            key = np.where(seen, -np.inf, score) if skip_seen else score
+            # All books that reach the last place's score, then exactly as many as asked, ties by id.
+            last = np.partition(key, n - take, axis=1)[:, n - take, None]
+            at_user, at_book = np.nonzero(key >= last)
+            order = np.lexsort((at_book, -key[at_user, at_book], at_user))
+            at_user, at_book = at_user[order], at_book[order]
+            first = np.searchsorted(at_user, np.arange(stop - start))
+            place = np.arange(len(at_user)) - first[at_user]
+            ranked = at_book[place < take].reshape(stop - start, take)
+            scores = np.take_along_axis(score, ranked, 1)
             flags = np.take_along_axis(seen, ranked, 1)
             rank = np.tile(np.arange(1, take + 1, dtype=np.int32), (stop - start, 1))
             wanted = ~flags if skip_seen else np.ones_like(flags)
@@ -192,13 +189,14 @@ def generate_candidates(
     item_factors: DataFrame,
     interactions: DataFrame,
     k: int = 50,
-    overfetch: int | None = 2,
+    overfetch: int | None = None,
     grid: Grid | None = None,
 ) -> DataFrame:
     """Top ``k`` unseen books per interaction user: (user_id, candidate_book_id, mf_score, rank).
 
-    With ``overfetch`` the best ``k * overfetch`` books are taken before seen ones are dropped, so a
-    heavy user may get fewer than ``k``; ``None`` drops seen books first and always fills the list.
+    Seen books are dropped first, so every user with enough unseen books gets ``k``. With
+    ``overfetch`` the best ``k * overfetch`` books are taken before seen ones are dropped: a heavy
+    user may then get fewer.
     ``interactions`` is read more than once, so it should be a stored table.
     """
     active = user_factors.join(
@@ -229,15 +227,20 @@ def recommend_requests(
     requests: DataFrame,
     user_factors: DataFrame,
     item_factors: DataFrame,
-    max_top_k: int,
     default_top_k: int = 5,
     grid: Grid | None = None,
 ) -> DataFrame:
-    """Top books per request row (user_id, top_k); seen books stay, unknown users get no rows."""
-    wanted = requests.select(F.col("user_id").alias("id")).distinct()
+    """Top books per distinct request (user_id, top_k), as many as it asks for.
+
+    Seen books stay, unknown users get no rows.
+    """
+    limits = requests.select(
+        "user_id", F.coalesce("top_k", F.lit(default_top_k)).alias("top_k")
+    ).distinct()
+    wanted = limits.select(F.col("user_id").alias("id")).distinct()
+    longest = limits.agg(F.max("top_k")).first()[0] or default_top_k
     grid = grid or fit_grid(user_factors, item_factors)
-    best = best_scored(user_factors.join(wanted, "id", "left_semi"), item_factors, max_top_k, grid=grid)
-    limits = requests.select("user_id", F.coalesce("top_k", F.lit(default_top_k)).alias("top_k"))
+    best = best_scored(user_factors.join(wanted, "id", "left_semi"), item_factors, longest, grid=grid)
     return (
         best.join(limits, "user_id")
         .where(F.col("rank") <= F.col("top_k"))

@@ -48,19 +48,21 @@ PARTS: dict[str, str] = {
     "book_n": "SELECT book_id, count(*) AS n_users FROM scores GROUP BY book_id",
     "kept": """
         SELECT * FROM scores WHERE book_id NOT IN (SELECT book_id FROM book_n WHERE n_users < 8)""",
+    "kept_n": "SELECT user_id, count(*) AS n_books FROM kept GROUP BY user_id",
     "groups": """
         SELECT user_id, coalesce(n_books, 0) AS n_books,
                CASE WHEN coalesce(n_books, 0) = 0 THEN 'cold' WHEN n_books < 5 THEN 'hybrid'
                     ELSE 'warm' END AS user_group
-        FROM (SELECT user_id FROM dim_users UNION SELECT user_id FROM scores) LEFT JOIN user_n USING (user_id)""",
+        FROM (SELECT user_id FROM dim_users UNION SELECT user_id FROM kept) LEFT JOIN kept_n USING (user_id)""",
     "ranked_books": """
         SELECT *, percent_rank() OVER (ORDER BY purchase_count) AS purchase_rank,
                percent_rank() OVER (ORDER BY rating_avg) AS rating_rank
         FROM dim_books WHERE rating_avg >= 3.5""",
     "pool": """
-        SELECT book_id, title, round(purchase_rank * CAST(0.6 AS DOUBLE) + rating_rank * CAST(0.4 AS DOUBLE), 6)
-               AS popularity_score
-        FROM ranked_books ORDER BY popularity_score DESC, book_id LIMIT 10""",
+        SELECT book_id, title, round(full_score, 6) AS popularity_score
+        FROM (SELECT *, round(purchase_rank * CAST(0.6 AS DOUBLE) + rating_rank * CAST(0.4 AS DOUBLE), 12)
+                     AS full_score FROM ranked_books)
+        ORDER BY full_score DESC, book_id LIMIT 10""",
     "sample_all": """
         SELECT user_id, book_id, title, popularity_score,
                row_number() OVER (PARTITION BY user_id
@@ -103,7 +105,7 @@ PARTS: dict[str, str] = {
         FROM dim_books""",
     "vectors": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings",
     "dots": """
-        SELECT u.id AS user_id, v.id AS book_id, round(list_dot_product(u.f, v.f), 6) + 0.0 AS mf_score
+        SELECT u.id AS user_id, v.id AS book_id, round(list_dot_product(u.f, v.f), 12) + 0.0 AS mf_score
         FROM vectors u, vectors v""",
     "depth_100": """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
@@ -112,7 +114,7 @@ PARTS: dict[str, str] = {
     "cands": """
         SELECT user_id, book_id, mf_score, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY mf_score DESC, book_id) AS rank
-            FROM depth_100 d WHERE NOT EXISTS (
+            FROM dots d WHERE user_id IN (SELECT user_id FROM scores) AND NOT EXISTS (
                 SELECT 1 FROM scores s WHERE s.user_id = d.user_id AND s.book_id = d.book_id))
         WHERE rank <= 50""",
     "profile_words": """
@@ -130,7 +132,7 @@ PARTS: dict[str, str] = {
         SELECT p.user_id, p.book_id, p.mf_score, round(1 / (1 + exp(-(
             CAST(common AS DOUBLE) / (both_n - common) * 4
             + CASE WHEN t.user_id IS NOT NULL THEN 1 ELSE 0 END
-            + (rating_avg - 3) * CAST(0.2 AS DOUBLE) - 1))), 6) AS semantic_score
+            + (rating_avg - 3) * CAST(0.2 AS DOUBLE) - 1))), 12) AS semantic_score
         FROM pairs p JOIN dim_books USING (book_id)
         LEFT JOIN top_cat t ON t.user_id = p.user_id AND t.category_name = dim_books.category_name""",
     "reranked_all": """
@@ -163,25 +165,38 @@ PARTS: dict[str, str] = {
         LEFT JOIN (SELECT user_id, sum(1 / log2(rank + 1)) AS dcg, sum(running / rank) AS ap,
             CAST(min(rank) AS DOUBLE) AS first_rank FROM hit_rows GROUP BY user_id) USING (user_id)""",
     "requests": "SELECT c_custkey AS user_id, nullif(c_nationkey % 8, 0) AS top_k FROM customer",
+    "served": """
+        SELECT user_id, CASE WHEN user_group = 'warm' AND user_id NOT IN (SELECT user_id FROM cands)
+                             THEN 'cold' ELSE user_group END AS user_group FROM groups""",
     "routes": """
         SELECT DISTINCT user_id, CAST(coalesce(top_k, 5) AS BIGINT) AS top_k, user_group
-        FROM requests JOIN groups USING (user_id)""",
+        FROM requests JOIN served USING (user_id)""",
+    "places": """
+        SELECT book_id, row_number() OVER (ORDER BY md5(CAST(book_id AS VARCHAR))) - 1 AS place
+        FROM (SELECT DISTINCT book_id FROM scores)""",
+    "lacking": """
+        SELECT u.user_id, p.book_id, row_number() OVER (PARTITION BY u.user_id ORDER BY p.place) - 1 AS nth,
+               count(*) OVER (PARTITION BY u.user_id) AS n_free
+        FROM (SELECT DISTINCT user_id FROM scores) u CROSS JOIN places p
+        WHERE NOT EXISTS (SELECT 1 FROM scores s WHERE s.user_id = u.user_id AND s.book_id = p.book_id)""",
     "blended": """
-        SELECT user_id, top_k, book_id, CAST(round(CAST(coalesce(mf_score, 0) AS DECIMAL(18, 6)) * 0.3
-            + CAST(coalesce(popularity_score, 0) AS DECIMAL(18, 6)) * 0.7, 6) AS DOUBLE) AS hybrid_score
+        SELECT user_id, top_k, book_id, round(coalesce(mf_score, 0) * CAST(0.3 AS DOUBLE)
+            + coalesce(popularity_score, 0) * CAST(0.7 AS DOUBLE), 12) AS hybrid_score
         FROM (SELECT user_id, top_k, book_id, mf_score FROM cands JOIN routes USING (user_id)
               WHERE user_group = 'hybrid')
         FULL JOIN (SELECT user_id, top_k, book_id, popularity_score FROM sample_all JOIN routes
               USING (user_id) WHERE user_group = 'hybrid' AND rank <= top_k) USING (user_id, top_k, book_id)""",
     "routed": """
-        SELECT top_k, user_id, 'warm' AS source, rank, book_id, mf_score, semantic_score,
+        SELECT top_k, user_id, 'warm' AS source, rank, book_id, round(mf_score, 6) AS mf_score,
+               round(semantic_score, 6) AS semantic_score,
                CAST(NULL AS DOUBLE) AS popularity_score, CAST(NULL AS DOUBLE) AS hybrid_score
         FROM reranked_all JOIN routes USING (user_id) WHERE user_group = 'warm' AND rank <= top_k
         UNION ALL
         SELECT top_k, user_id, 'cold', rank, book_id, NULL, NULL, popularity_score, NULL
         FROM sample_all JOIN routes USING (user_id) WHERE user_group = 'cold' AND rank <= top_k
         UNION ALL
-        SELECT top_k, user_id, 'hybrid', rank, book_id, NULL, NULL, NULL, hybrid_score
+        SELECT top_k, user_id, 'hybrid', rank, book_id, NULL, NULL, NULL,
+               CAST(round(CAST(hybrid_score AS DECIMAL(20, 12)), 6) AS DOUBLE)
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id, top_k
               ORDER BY hybrid_score DESC, book_id) AS rank FROM blended) WHERE rank <= top_k""",
     "content_terms": """
@@ -191,7 +206,7 @@ PARTS: dict[str, str] = {
             1 / sqrt(len(string_split(lower(trim(title)), ' '))) FROM dim_books""",
     "content": """
         SELECT book_id, dim, CAST(CAST(sum(w) AS FLOAT) AS DOUBLE) AS w FROM (
-            SELECT book_id, CAST('0x' || substr(md5(term), 1, 7) AS BIGINT) % 63 + 1 AS dim, w
+            SELECT book_id, CAST('0x' || substr(md5(term), 1, 7) AS BIGINT) % 1023 + 1 AS dim, w
             FROM content_terms
             UNION ALL SELECT book_id, 0, (rating_avg - 3) / 4 FROM dim_books) GROUP BY book_id, dim""",
     "is_cold": """
@@ -199,18 +214,15 @@ PARTS: dict[str, str] = {
     "stored": """
         SELECT * EXCLUDE (made), made AS generated_at, made + INTERVAL 86400 SECOND AS expires_at,
                CAST(1 AS BIGINT) AS model_version
-        FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-                  ORDER BY interaction_score DESC, book_id) AS rank
-              FROM (SELECT user_id, book_id, round(interaction_score, 6) AS interaction_score FROM scores))
-        JOIN (SELECT user_id, max(event_ts) AS made FROM event_rows GROUP BY user_id) USING (user_id)
-        WHERE rank <= 5""",
+        FROM (SELECT user_id, source, rank, book_id FROM routed)
+        JOIN (SELECT user_id, max(event_ts) AS made FROM event_rows GROUP BY user_id) USING (user_id)""",
     "dates": """
         SELECT CAST(order_date AS DATE) AS date FROM fact_sales
         UNION SELECT CAST(added_at AS DATE) FROM fact_cart
         UNION SELECT CAST(snapshot_date AS DATE) FROM fact_reviews""",
     "sweep_w": """
         SELECT user_id, category_name, rate, sum(base_score * exp(-rate * (CAST(date_diff('day',
-            CAST(event_ts AS DATE), DATE '2024-01-16') AS DOUBLE) / CAST(30 AS DOUBLE)))) AS weight
+            CAST(event_ts AS DATE), DATE '2024-01-08') AS DOUBLE) / CAST(30 AS DOUBLE)))) AS weight
         FROM event_rows JOIN catalogue USING (book_id), rates GROUP BY user_id, category_name, rate""",
     "rates": "SELECT CAST(unnest([0.01, 0.05, 0.1, 0.5]) AS DOUBLE) AS rate",
     "sweep_ranked": """
@@ -313,7 +325,7 @@ BODIES: dict[str, str] = {
     "eval_period": """
         SELECT order_id, buyer_id, book_id, order_date FROM fact_sales
         WHERE item_status = 'completed' AND year(order_date) = 2024 AND month(order_date) = 1""",
-    "user_counts": "SELECT * FROM user_n",
+    "user_counts": "SELECT * FROM kept_n",
     "book_counts": "SELECT * FROM book_n",
     "interaction_stats": """
         SELECT count(*) AS row_count, count(DISTINCT user_id) AS n_users, count(DISTINCT book_id) AS n_books
@@ -332,7 +344,7 @@ BODIES: dict[str, str] = {
                coalesce(quantile_cont(n_books, 0.5), 0) AS median_n FROM user_n""",
     "warm_interactions": "SELECT user_id, book_id, round(interaction_score, 6) AS interaction_score FROM kept",
     "cold_books": "SELECT * FROM book_n WHERE n_users < 8",
-    "user_universe": "SELECT user_id FROM dim_users UNION SELECT user_id FROM scores",
+    "user_universe": "SELECT user_id FROM dim_users UNION SELECT user_id FROM kept",
     "user_groups": "SELECT * FROM groups",
     "group_sizes": "SELECT user_group, count(*) AS n_users FROM groups GROUP BY user_group",
     "percent_rank_pop": """
@@ -346,16 +358,17 @@ BODIES: dict[str, str] = {
         SELECT user_id, user_group, book_id, title, popularity_score, rank
         FROM sample_all JOIN groups USING (user_id) WHERE rank <= 5 AND user_group <> 'warm'""",
     "hybrid_blend": """
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hybrid_score DESC, book_id) AS rank
-            FROM (SELECT user_id, book_id, CAST(round(CAST(coalesce(mf_score, 0) AS DECIMAL(18, 6)) * 0.3
-                      + CAST(coalesce(popularity_score, 0) AS DECIMAL(18, 6)) * 0.7, 6) AS DOUBLE) AS hybrid_score
+        SELECT user_id, book_id, CAST(round(CAST(hybrid_score AS DECIMAL(20, 12)), 6) AS DOUBLE) AS hybrid_score, rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hybrid_score DESC, book_id) AS rank
+            FROM (SELECT user_id, book_id, round(coalesce(mf_score, 0) * CAST(0.3 AS DOUBLE)
+                      + coalesce(popularity_score, 0) * CAST(0.7 AS DOUBLE), 12) AS hybrid_score
                   FROM cands FULL JOIN (SELECT user_id, book_id, popularity_score FROM sample_all
                       WHERE rank <= 5 AND user_id IN (SELECT user_id FROM cands)) USING (user_id, book_id)))
         WHERE rank <= 5""",
     "cold_book_similar": """
-        SELECT book_id, similar_book_id, similarity, rank FROM (
+        SELECT book_id, similar_book_id, round(similarity, 6) + 0.0 AS similarity, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY similarity DESC, similar_book_id) AS rank
-            FROM (SELECT a.book_id, b.book_id AS similar_book_id, round(sum(a.w * b.w), 6) + 0.0 AS similarity
+            FROM (SELECT a.book_id, b.book_id AS similar_book_id, round(sum(a.w * b.w), 12) + 0.0 AS similarity
                   FROM content a JOIN content b USING (dim)
                   WHERE a.book_id IN (SELECT book_id FROM is_cold WHERE cold)
                     AND b.book_id IN (SELECT book_id FROM is_cold WHERE NOT cold)
@@ -378,26 +391,45 @@ BODIES: dict[str, str] = {
         SELECT user_id, book_id, coalesce(round(list_dot_product(u.f, v.f), 6), 0) + 0.0 AS mf_score
         FROM scores LEFT JOIN vectors u ON u.id = user_id LEFT JOIN vectors v ON v.id = book_id""",
     "dot_topk": """
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY mf_score DESC, book_id) AS rank
+        SELECT user_id, book_id, round(mf_score, 6) + 0.0 AS mf_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY mf_score DESC, book_id) AS rank
                        FROM dots) WHERE rank <= 50""",
-    "candidates_topk": "SELECT user_id, book_id AS candidate_book_id, mf_score, rank FROM cands",
+    "candidates_topk": """
+        SELECT user_id, book_id AS candidate_book_id, round(mf_score, 6) + 0.0 AS mf_score, rank FROM cands""",
+    "candidates_overfetch": """
+        SELECT user_id, book_id AS candidate_book_id, round(mf_score, 6) + 0.0 AS mf_score, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY mf_score DESC, book_id) AS rank
+            FROM depth_100 d WHERE NOT EXISTS (
+                SELECT 1 FROM scores s WHERE s.user_id = d.user_id AND s.book_id = d.book_id))
+        WHERE rank <= 50""",
+    "negative_samples": """
+        SELECT s.user_id, s.book_id, 0 AS draw, l.book_id AS negative_book_id
+        FROM scores s JOIN lacking l ON l.user_id = s.user_id
+            AND l.nth = CAST('0x' || substr(md5(concat('42:0:', s.user_id, ':', s.book_id, ':0')), 1, 12) AS BIGINT) % l.n_free""",
+    "als_factors": """
+        SELECT DISTINCT 'user' AS kind, user_id AS id, CAST(64 AS BIGINT) AS n_factors, true AS is_finite FROM kept
+        UNION ALL SELECT DISTINCT 'item', book_id, 64, true FROM kept""",
+    "bpr_factors": """
+        SELECT DISTINCT 'user' AS kind, user_id AS id, CAST(64 AS BIGINT) AS n_factors, true AS is_finite FROM kept
+        UNION ALL SELECT DISTINCT 'item', book_id, 64, true FROM kept""",
     "candidate_lists": """
         SELECT user_id, string_agg(CAST(book_id AS VARCHAR), ',' ORDER BY rank) AS books FROM cands GROUP BY user_id""",
     "candidate_quality": """
         SELECT count(*) AS candidate_rows, count(s.user_id) AS leaked_rows
         FROM cands LEFT JOIN scores s USING (user_id, book_id)""",
     "warm_candidates": """
-        SELECT user_id, book_id AS candidate_book_id, mf_score, rank FROM cands
+        SELECT user_id, book_id AS candidate_book_id, round(mf_score, 6) + 0.0 AS mf_score, rank FROM cands
         WHERE user_id IN (SELECT user_id FROM groups WHERE user_group = 'warm')""",
     "unseen_pairs": """
         SELECT buyer_id AS user_id, book_id FROM fact_cart
         EXCEPT SELECT buyer_id, book_id FROM fact_sales WHERE item_status = 'completed'""",
     "recommend_subset": """
-        SELECT user_id, CAST(coalesce(top_k, 5) AS BIGINT) AS top_k, book_id, mf_score, rank
+        SELECT user_id, CAST(coalesce(top_k, 5) AS BIGINT) AS top_k, book_id, round(mf_score, 6) + 0.0 AS mf_score, rank
         FROM requests JOIN (SELECT *, row_number() OVER (PARTITION BY user_id
             ORDER BY mf_score DESC, book_id) AS rank FROM dots) USING (user_id)
         WHERE rank <= coalesce(top_k, 5)""",
-    "reranked": "SELECT user_id, book_id, mf_score, semantic_score, rank FROM reranked_all WHERE rank <= 5",
+    "reranked": """
+        SELECT user_id, book_id, round(mf_score, 6) AS mf_score, round(semantic_score, 6) AS semantic_score, rank
+        FROM reranked_all WHERE rank <= 5""",
     "pair_score": """
         SELECT user_id, book_id, round(1 / (1 + exp(-(4 * CAST(common AS DOUBLE) / (both_n - common) - 1))), 6) AS score
         FROM pairs""",
@@ -459,13 +491,8 @@ BODIES: dict[str, str] = {
     "snapshot_valid": "SELECT * FROM stored WHERE expires_at > TIMESTAMP '2024-01-31 12:00:00' AND model_version = 1",
     "changed_users": """
         SELECT user_id, max(ts) AS last_event FROM events WHERE event_type IN ('purchase', 'view') GROUP BY user_id""",
-    "daily_volume": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events FROM events GROUP BY CAST(ts AS DATE)",
-    "forward_decay": """
-        SELECT user_id, book_id, round(sum(base_score * exp(CAST(-0.05 AS DOUBLE) * (CAST(date_diff('day',
-            CAST(event_ts AS DATE), DATE '2024-02-01') AS DOUBLE) / CAST(30 AS DOUBLE)))), 6) AS interaction_score
-        FROM (SELECT buyer_id AS user_id, book_id, added_at AS event_ts, CAST(3 AS DOUBLE) AS base_score FROM fact_cart
-              UNION ALL SELECT buyer_id, book_id, snapshot_date, CAST(5 AS DOUBLE) FROM fact_reviews WHERE score >= 4)
-        GROUP BY user_id, book_id""",
+    "daily_volume": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events FROM events GROUP BY CAST(ts AS DATE) HAVING count(*) >= 340",
+    "forward_decay": "SELECT user_id, book_id, round(interaction_score, 6) AS interaction_score FROM scores",
     "dedup_events": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }
 
@@ -477,8 +504,20 @@ STALE_USERS = """
     WHERE user_id IN (SELECT user_id FROM scores)
     GROUP BY user_id HAVING max(event_ts) > TIMESTAMP '2024-01-16'"""
 
+# In the routed flow only books that enough users know are candidates.
+FLOW = {
+    "cands": PARTS["cands"].replace(
+        "FROM dots d WHERE", "FROM dots d WHERE book_id IN (SELECT book_id FROM kept) AND"
+    )
+}
+
 # Without requests every known user gets a list of five.
-ALL_ROUTES = {"routes": "SELECT user_id, CAST(5 AS BIGINT) AS top_k, user_group FROM groups"}
+ALL_ROUTES = FLOW | {"routes": "SELECT user_id, CAST(5 AS BIGINT) AS top_k, user_group FROM served"}
+
+# The decay rate is chosen on the days before the test days.
+VALIDATION = {name: text.replace("2024-01-16", "2024-01-08") for name, text in TRAIN.items()} | {
+    "truth": PARTS["truth"].replace("2024-01-16", "2024-01-08").replace("2024-02-01", "2024-01-16")
+}
 
 # Queries over train-period lists.
 TRAIN_KEYS = {
@@ -489,12 +528,16 @@ TRAIN_KEYS = {
     "map_at_k",
     "mrr",
     "metric_report",
-    "lambda_sweep",
     "stale_users",
 }
 
 
 def oracle_sql() -> dict[str, str]:
     bodies = {**BODIES, "stale_users": STALE_USERS}
-    changed = {name: TRAIN for name in TRAIN_KEYS} | {"recommendations": ALL_ROUTES}
+    changed = {name: TRAIN for name in TRAIN_KEYS} | {
+        "recommendations": ALL_ROUTES,
+        "snapshot_valid": ALL_ROUTES,
+        "two_stage_batch": FLOW,
+        "lambda_sweep": VALIDATION,
+    }
     return {name: build(body, changed.get(name)) for name, body in bodies.items()}

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.config import AlsConfig, BprConfig, DecayConfig
+from shelfrank.config import AlsConfig, BprConfig, ColdStartConfig, DecayConfig
 from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import clean_text
 from shelfrank.operators import (
@@ -41,7 +41,10 @@ SNAPSHOT_TIME = dt.datetime(2024, 1, 31, 12)
 MODEL_VERSION = 1
 # The default threshold of 3 removes no book of these tables.
 MIN_BOOK_USERS = 8
+FLOW = ColdStartConfig(min_book_interactions=MIN_BOOK_USERS)
 RATES = (0.01, 0.05, 0.1, 0.5)
+# Events of a day from which a refresh is due.
+BUSY_DAY = 340
 STREAM_DELAY = "60 days"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +64,10 @@ def r6(column: str):
     return F.round(column, 6).alias(column)
 
 
+def mf6():
+    return (F.round("mf_score", 6) + 0.0).alias("mf_score")
+
+
 def long(column: str):
     return F.col(column).cast("long").alias(column)
 
@@ -69,27 +76,34 @@ def long(column: str):
 
 
 def scores(t: Retail) -> DataFrame:
-    return interactions.interaction_scores(t.fact_sales, t.fact_cart, t.fact_reviews, AS_OF)
+    sales = t.sales(end=AS_OF + dt.timedelta(days=1), completed=True)
+    return interactions.interaction_scores(sales, t.fact_cart, t.fact_reviews, AS_OF)
 
 
 def stored_scores(t: Retail) -> DataFrame:
     return materialise(scores(t), "interactions")
 
 
-def train_facts(t: Retail) -> tuple[DataFrame, DataFrame, DataFrame]:
+def stored_kept(t: Retail) -> DataFrame:
+    """Interactions with books that enough users know."""
+    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
+    return materialise(kept, "warm-interactions")
+
+
+def train_facts(t: Retail, end: dt.date = CUT) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
-        interactions.between(t.fact_sales, "order_date", end=CUT),
-        interactions.between(t.fact_cart, "added_at", end=CUT),
-        interactions.between(t.fact_reviews, "snapshot_date", end=CUT),
+        t.sales(end=end),
+        interactions.between(t.fact_cart, "added_at", end=end),
+        interactions.between(t.fact_reviews, "snapshot_date", end=end),
     )
 
 
-def train_scores(t: Retail) -> DataFrame:
-    return materialise(interactions.interaction_scores(*train_facts(t), CUT), "train-interactions")
+def train_scores(t: Retail, end: dt.date = CUT) -> DataFrame:
+    return materialise(interactions.interaction_scores(*train_facts(t, end), end), "train-interactions")
 
 
-def truth(t: Retail) -> DataFrame:
-    return evaluate.ground_truth(t.fact_sales, t.fact_reviews, CUT, TEST_END)
+def truth(t: Retail, start: dt.date = CUT, end: dt.date = TEST_END) -> DataFrame:
+    return evaluate.ground_truth(t.sales(start, end, completed=True), t.fact_reviews, start, end)
 
 
 def candidates_of(t: Retail, seen: DataFrame) -> DataFrame:
@@ -100,8 +114,11 @@ def reranked_of(
     candidates: DataFrame, weights: DataFrame, sales: DataFrame, reviews: DataFrame, books: DataFrame
 ) -> DataFrame:
     users = candidates.select("user_id").distinct()
-    texts = profiles.user_profiles(users, weights, sales, reviews, books)
-    liked = profiles.top_names(profiles.category_weights(weights, books), "category_name")
+    named = materialise(
+        profiles.attribute_weights(weights.join(users, "user_id", "left_semi"), books), "attribute-weights"
+    )
+    texts = profiles.user_profiles(users, weights, sales, reviews, books, weights=named)
+    liked = profiles.top_names(profiles.of_attribute(named, "category"), "category_name")
     wanted = profiles.candidate_books(
         books, candidates.select(F.col("candidate_book_id").alias("book_id"))
     )
@@ -284,13 +301,12 @@ def single_user(t: Retail) -> DataFrame:
 @query
 def eval_period(t: Retail) -> DataFrame:
     start, end = interactions.month_period(2024, 1)
-    sales = interactions.between(interactions.completed(t.fact_sales), "order_date", start, end)
-    return sales.select("order_id", "buyer_id", "book_id", "order_date")
+    return t.sales(start, end, completed=True).select("order_id", "buyer_id", "book_id", "order_date")
 
 
 @query
 def user_counts(t: Retail) -> DataFrame:
-    return interactions.user_counts(scores(t))
+    return interactions.user_counts(stored_kept(t))
 
 
 @query
@@ -331,12 +347,12 @@ def cold_books(t: Retail) -> DataFrame:
 
 @query
 def user_universe(t: Retail) -> DataFrame:
-    return coldstart.user_universe(scores(t), t.dim_users)
+    return coldstart.user_universe(stored_kept(t), t.dim_users)
 
 
 @query
 def user_groups(t: Retail) -> DataFrame:
-    return coldstart.classify_users(scores(t), t.dim_users)
+    return coldstart.classify_users(stored_kept(t), t.dim_users)
 
 
 @query
@@ -392,7 +408,7 @@ def cold_book_similar(t: Retail) -> DataFrame:
     return best.select(
         F.col("user_id").alias("book_id"),
         F.col("book_id").alias("similar_book_id"),
-        F.col("mf_score").alias("similarity"),
+        mf6().alias("similarity"),
         long("rank"),
     )
 
@@ -472,12 +488,20 @@ def score_pairs(t: Retail) -> DataFrame:
 @query
 def dot_topk(t: Retail) -> DataFrame:
     best = retrieval.best_scored(t.factors, t.factors, 50)
-    return best.select("user_id", "book_id", "mf_score", long("rank"))
+    return best.select("user_id", "book_id", mf6(), long("rank"))
 
 
 @query
 def candidates_topk(t: Retail) -> DataFrame:
-    return candidates_of(t, stored_scores(t)).withColumn("rank", long("rank"))
+    listed = candidates_of(t, stored_scores(t))
+    return listed.withColumn("rank", long("rank")).withColumn("mf_score", mf6())
+
+
+@query
+def candidates_overfetch(t: Retail) -> DataFrame:
+    """The best hundred books cut before seen ones are dropped: heavy users get shorter lists."""
+    listed = retrieval.generate_candidates(t.factors, t.factors, stored_scores(t), overfetch=2)
+    return listed.withColumn("rank", long("rank")).withColumn("mf_score", mf6())
 
 
 @query
@@ -495,9 +519,10 @@ def candidate_quality(t: Retail) -> DataFrame:
 @query
 def warm_candidates(t: Retail) -> DataFrame:
     table = stored_scores(t)
-    warm = coldstart.classify_users(table, t.dim_users).where(F.col("user_group") == "warm")
+    kept, _ = coldstart.filter_cold_books(table, MIN_BOOK_USERS)
+    warm = coldstart.classify_users(kept, t.dim_users).where(F.col("user_group") == "warm")
     listed = candidates_of(t, table).join(warm, "user_id", "left_semi")
-    return listed.withColumn("rank", long("rank"))
+    return listed.withColumn("rank", long("rank")).withColumn("mf_score", mf6())
 
 
 @query
@@ -518,8 +543,9 @@ def requests(t: Retail) -> DataFrame:
 
 @query
 def recommend_subset(t: Retail) -> DataFrame:
-    best = retrieval.recommend_requests(requests(t), t.factors, t.factors, max_top_k=7)
-    return best.withColumn("rank", long("rank")).withColumn("top_k", long("top_k"))
+    best = retrieval.recommend_requests(requests(t), t.factors, t.factors)
+    best = best.withColumn("rank", long("rank")).withColumn("mf_score", mf6())
+    return best.withColumn("top_k", long("top_k"))
 
 
 @query
@@ -539,7 +565,7 @@ def pair_score(t: Retail) -> DataFrame:
     texts = profiles.user_profiles(users, weights, t.fact_sales, t.fact_reviews, t.catalogue)
     listed = as_ranked(candidates)
     descriptions = profiles.item_descriptions(t.dim_books)
-    pairs = rerank.join_texts(listed.join(texts, "user_id"), descriptions, t.dim_books, listed)
+    pairs = rerank.join_texts(listed.join(texts, "user_id"), descriptions, listed)
     scored = rerank.score_text_pairs(pairs, rerank.word_overlap_scorer)
     return scored.select("user_id", "book_id", r6("score"))
 
@@ -549,8 +575,7 @@ def pair_score(t: Retail) -> DataFrame:
 
 def trained(t: Retail, cfg: BprConfig = BprConfig()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept interactions, user factors, item factors)."""
-    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
-    kept = materialise(kept, "warm-interactions")
+    kept = stored_kept(t)
     return kept, *factorization.train_bpr(kept, cfg)
 
 
@@ -567,12 +592,33 @@ def negative_samples(t: Retail) -> DataFrame:
     return factorization.negative_samples(stored_scores(t))
 
 
+@query
+def als_factors(t: Retail) -> DataFrame:
+    """What the trained factors have to be: one finite vector of the set length for every id."""
+    return factor_check(*factorization.train_als(stored_kept(t), AlsConfig()))
+
+
+@query
+def bpr_factors(t: Retail) -> DataFrame:
+    _, users, items = trained(t, BprConfig(epochs=5))
+    return factor_check(users, items)
+
+
+def factor_check(users: DataFrame, items: DataFrame) -> DataFrame:
+    both = users.select(F.lit("user").alias("kind"), "id", "features").unionByName(
+        items.select(F.lit("item").alias("kind"), "id", "features")
+    )
+    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return both.select(
+        "kind", "id", F.size("features").cast("long").alias("n_factors"), finite.alias("is_finite")
+    )
+
+
 @query
 def als_candidates(t: Retail) -> DataFrame:
-    kept, _ = coldstart.filter_cold_books(stored_scores(t), MIN_BOOK_USERS)
-    kept = materialise(kept, "warm-interactions")
+    kept = stored_kept(t)
     users, items = factorization.train_als(kept, AlsConfig())
-    return retrieval.generate_candidates(users, items, kept)
+    return retrieval.generate_candidates(users, items, kept).withColumn("mf_score", mf6())
 
 
 # ---- evaluation ------------------------------------------------------------------------------
@@ -639,9 +685,13 @@ def metric_report(t: Retail) -> DataFrame:
 
 @query
 def lambda_sweep(t: Retail) -> DataFrame:
-    candidates = materialise(candidates_of(t, train_scores(t)), "train-candidates")
-    weights = evaluate.sweep_weights(*train_facts(t), t.catalogue, RATES, CUT)
-    return evaluate.lambda_sweep(candidates, weights, t.catalogue, truth(t), RATES)
+    """Rates compared on the validation days; the test days are not looked at."""
+    seen = train_scores(t, VALIDATION_START)
+    candidates = materialise(candidates_of(t, seen), "train-candidates")
+    facts = train_facts(t, VALIDATION_START)
+    weights = evaluate.sweep_weights(*facts, t.catalogue, RATES, VALIDATION_START)
+    wanted = truth(t, VALIDATION_START, CUT)
+    return evaluate.lambda_sweep(candidates, weights, t.catalogue, wanted, RATES)
 
 
 # ---- routing ---------------------------------------------------------------------------------
@@ -664,12 +714,13 @@ RESULT = ["user_id", "source", "rank", "book_id", "mf_score", "semantic_score",
 
 @query
 def recommendations(t: Retail) -> DataFrame:
-    return recommend(inputs(t)).withColumn("rank", long("rank")).select(*RESULT)
+    routed = recommend(inputs(t), cold_cfg=FLOW)
+    return routed.withColumn("rank", long("rank")).select(*RESULT)
 
 
 @query
 def two_stage_batch(t: Retail) -> DataFrame:
-    routed = recommend(inputs(t), requests(t))
+    routed = recommend(inputs(t), requests(t), FLOW)
     return (
         routed.withColumn("rank", long("rank"))
         .withColumn("top_k", long("top_k"))
@@ -681,7 +732,16 @@ def two_stage_batch(t: Retail) -> DataFrame:
 def bpr_recommendations(t: Retail) -> DataFrame:
     """The whole flow with factors trained on the spot."""
     _, users, items = trained(t)
-    return recommend(inputs(t, users, items)).withColumn("rank", long("rank")).select(*RESULT)
+    routed = recommend(inputs(t, users, items), cold_cfg=FLOW)
+    return routed.withColumn("rank", long("rank")).select(*RESULT)
+
+
+@query
+def als_recommendations(t: Retail) -> DataFrame:
+    """The whole flow with alternating-least-squares factors, which every user of a kept book has."""
+    users, items = factorization.train_als(stored_kept(t), AlsConfig())
+    routed = recommend(inputs(t, users, items), cold_cfg=FLOW)
+    return routed.withColumn("rank", long("rank")).select(*RESULT)
 
 
 # ---- gold tables -----------------------------------------------------------------------------
@@ -763,12 +823,10 @@ def clean_texts(t: Retail) -> DataFrame:
 
 
 def stored_lists(t: Retail) -> DataFrame:
-    """Top five books per user by score, dated by the user's last cart, review or purchase."""
-    table = materialise(scores(t).select("user_id", "book_id", r6("interaction_score")), "interactions")
-    order = [F.desc("interaction_score"), F.asc("book_id")]
-    top = top_per_group(table, ["user_id"], order, 5)
+    """The recommendations of every user with an event, dated by the user's last event."""
+    listed = recommendations(t).select("user_id", "source", "rank", "book_id")
     made = event_union(t).groupBy("user_id").agg(F.max("event_ts").alias("made"))
-    dated = top.join(made, "user_id")
+    dated = listed.join(made, "user_id")
     return freshness.build_snapshot(dated, F.col("made"), MODEL_VERSION).drop("made")
 
 
@@ -799,14 +857,27 @@ def changed_users(t: Retail) -> DataFrame:
 @query
 def daily_volume(t: Retail) -> DataFrame:
     volume = freshness.daily_volume(stream(t), STREAM_DELAY)
-    return freshness.refresh_days(volume, 1).select(
+    return freshness.refresh_days(volume, BUSY_DAY).select(
         F.to_date("day_start").cast("string").alias("day"), "n_events"
     )
 
 
 @query
 def forward_decay(t: Retail) -> DataFrame:
-    running = freshness.running_scores(freshness.scored_events(stream(t)), AS_OF, DecayConfig())
+    """Scores kept up to date from two streams: carts and reviews, and the sales table as it grows."""
+    path = fresh_path(t.spark, "sales-feed")
+    sold = materialise(
+        t.sales(completed=True).select(
+            F.col("buyer_id").alias("user_id"), "book_id", F.col("order_date").alias("event_ts")
+        ),
+        "sales-feed",
+        path,
+    )
+    feed = t.spark.readStream.schema(sold.schema).parquet(path)
+    cfg = DecayConfig()
+    purchases = feed.withColumn("base_score", F.lit(cfg.purchase_score))
+    others = freshness.scored_events(stream(t), cfg)
+    running = freshness.running_scores([purchases, others], AS_OF, cfg)
     return running.select("user_id", "book_id", r6("interaction_score"))
 
 

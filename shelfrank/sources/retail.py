@@ -6,6 +6,7 @@ the parquet scans through these frames.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -33,10 +34,11 @@ class Retail:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @cached_property
-    def sale_lines(self) -> DataFrame:
-        """Sale lines without the order header: enough for per-book figures."""
-        return self.raw("lineitem").select(
+    def _lines(self, completed: bool = False) -> DataFrame:
+        lines = self.raw("lineitem")
+        if completed:
+            lines = lines.where(F.col("l_linestatus") == "F")
+        return lines.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_partkey").alias("book_id"),
@@ -47,8 +49,24 @@ class Retail:
         )
 
     @cached_property
-    def fact_sales(self) -> DataFrame:
-        headers = self.raw("orders").select(
+    def sale_lines(self) -> DataFrame:
+        """Sale lines without the order header: enough for per-book figures."""
+        return self._lines()
+
+    def sales(
+        self, start: dt.date | None = None, end: dt.date | None = None, completed: bool = False
+    ) -> DataFrame:
+        """Sales of [start, end), completed ones only if asked.
+
+        Both conditions stand on the stored columns, the dates moved back, so they reach the scans.
+        """
+        headers = self.raw("orders")
+        for bound, keep in ((start, "__ge__"), (end, "__lt__")):
+            if bound is not None:
+                stored = F.lit(bound - dt.timedelta(days=ORDER_DATE_SHIFT_DAYS))
+                kind = headers.schema["o_orderdate"].dataType
+                headers = headers.where(getattr(F.col("o_orderdate"), keep)(stored.cast(kind)))
+        headers = headers.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("buyer_id"),
             F.expr(f"o_orderdate + INTERVAL {ORDER_DATE_SHIFT_DAYS} DAYS").alias("order_date"),
@@ -56,7 +74,11 @@ class Retail:
         )
         # An order with very many lines is left to the skew handling of adaptive execution: it only
         # copies the headers that need it, where a salt would copy all of them.
-        return self.sale_lines.join(headers, "order_id")
+        return self._lines(completed).join(headers, "order_id")
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return self.sales()
 
     @cached_property
     def fact_cart(self) -> DataFrame:

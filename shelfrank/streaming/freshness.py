@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,10 +156,11 @@ def changed_users(stream: DataFrame, event_types: tuple[str, ...] = ("purchase",
 def forward_sums(
     scored: DataFrame, cfg: DecayConfig = DecayConfig(), origin: dt.date = DEFAULTS.decay_origin
 ) -> DataFrame:
-    """Per (user, book) sum of base x exp(rate x months since ``origin``): only ever added to."""
+    """Per (user, book, event day) sum of base x exp(rate x months since ``origin``): only ever added to."""
     since = F.datediff(F.col("event_ts"), F.lit(origin)).cast("double") / cfg.days_per_month
     grown = F.col("base_score") * F.exp(F.lit(cfg.lambda_rate) * since)
-    return scored.groupBy("user_id", "book_id").agg(F.sum(grown).alias("forward_sum"))
+    day = F.to_date("event_ts").alias("event_day")
+    return scored.groupBy("user_id", "book_id", day).agg(F.sum(grown).alias("forward_sum"))
 
 
 def read_forward(
@@ -167,21 +169,28 @@ def read_forward(
     cfg: DecayConfig = DecayConfig(),
     origin: dt.date = DEFAULTS.decay_origin,
 ) -> DataFrame:
-    """Interaction scores at ``as_of`` from partial forward sums of any number of batches."""
+    """Interaction scores at ``as_of`` from partial forward sums of any number of batches.
+
+    Events after that day are left out, as in a batch run.
+    """
     shrink = F.exp(F.lit(-cfg.lambda_rate) * age_in_months(F.lit(origin), F.lit(as_of), cfg.days_per_month))
-    return sums.groupBy("user_id", "book_id").agg(
+    return sums.where(F.col("event_day") <= F.lit(as_of)).groupBy("user_id", "book_id").agg(
         (F.sum("forward_sum") * shrink).alias("interaction_score")
     )
 
 
-def running_scores(stream: DataFrame, as_of: dt.date, cfg: DecayConfig = DecayConfig()) -> DataFrame:
-    """Decayed scores from a stream of (user_id, book_id, event_ts, base_score) rows.
+def running_scores(
+    streams: Sequence[DataFrame], as_of: dt.date, cfg: DecayConfig = DecayConfig()
+) -> DataFrame:
+    """Decayed scores from streams of (user_id, book_id, event_ts, base_score) rows.
 
     A batch writes its partial sums and keeps no state; reading adds them up, because decay to a
     later day is one common factor.
     """
-    parts = run_available(stream, "forward-decay", lambda b: forward_sums(b, cfg))
-    return read_forward(parts, as_of, cfg)
+    parts = [
+        run_available(s, "forward-decay", lambda b: forward_sums(b, cfg)).drop("batch_id") for s in streams
+    ]
+    return read_forward(reduce(DataFrame.unionByName, parts), as_of, cfg)
 
 
 def scored_events(stream: DataFrame, cfg: DecayConfig = DecayConfig()) -> DataFrame:
