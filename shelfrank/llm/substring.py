@@ -13,9 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.llm.tables import spare
 from shelfrank.llm.words import Prefixes, mix, steps, word_spans
 from shelfrank.session import materialise
 
@@ -68,37 +69,91 @@ def cut_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[first], start[first], end[after - 1], first - base, after - base
 
 
+def _packed(start: np.ndarray, stop: np.ndarray, word: np.ndarray, word_stop: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Places of the chunks of each row (``cuts`` bounds them) in few bytes: steps between starts and widths, in bytes
+    as two bytes each (eight in a row with longer ones), in words as one byte each, which they always fit."""
+    step, hop = start.copy(), word.copy()
+    inside = np.ones(len(start), dtype=bool)
+    inside[cuts[:-1][cuts[:-1] < len(start)]] = False
+    at = np.flatnonzero(inside)
+    step[at] -= start[at - 1]
+    hop[at] -= word[at - 1]
+    sizes = step, stop - start
+    wide = np.maximum(*sizes) >= 1 << 16
+    short = [v.astype("<u2").tobytes() for v in sizes]
+    words = [v.astype(np.uint8).tobytes() for v in (hop, word_stop - word)]
+    out = []
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if wide[i:j].any():
+            own = [b"\x08", *(v[i:j].astype("<u8").tobytes() for v in sizes)]
+        else:
+            own = [b"\x02", *(v[2 * i : 2 * j] for v in short)]
+        out.append(b"".join([*own, *(v[i:j] for v in words)]))
+    return pa.array(out, pa.binary())
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, ...]:
+    size = raw[0]
+    n = (len(raw) - 1) // (2 * size + 2)
+    start, width = np.frombuffer(raw, f"<u{size}", 2 * n, 1).astype(np.int64).reshape(2, n)
+    word, words = np.frombuffer(raw, np.uint8, 2 * n, 1 + 2 * size * n).astype(np.int64).reshape(2, n)
+    start, word = start.cumsum(), word.cumsum()
+    return start, start + width, word, word + words
+
+
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """Rows ``row_no, doc_id, start, stop, word, word_stop, digest`` of all chunks; places are bytes of the UTF-8 text
-    and words of it. Texts of fewer than ``CHUNK_WORDS`` words have none."""
+    """One row per row of ``docs``: ``row_no, doc_id, places, digest``, the last two over its chunks.
+
+    Places are bytes of the UTF-8 text and words of it. Texts of fewer than ``CHUNK_WORDS`` words have no chunks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, data, offsets in steps(batch.column(2)):
+            for lo, hi, data, offsets in steps(batch.column(2)):
                 row, start, stop, word, word_stop = cut_chunks(data, offsets)
-                if not len(row):
-                    continue
-                digest = Prefixes(data).hashes(start, stop)
-                of = pa.array(row + lo, pa.int64())
+                digest = Prefixes(data).hashes(start, stop).view(np.int64) if len(row) else start
+                cuts = np.searchsorted(row, np.arange(hi - lo + 1))
+                places = _packed(start - offsets[row], stop - offsets[row], word, word_stop, cuts)
+                digests = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(digest, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(of),
-                        batch.column(1).take(of),
-                        pa.array((start - offsets[row]).astype(np.int64)),
-                        pa.array((stop - offsets[row]).astype(np.int64)),
-                        pa.array(word.astype(np.int64)),
-                        pa.array(word_stop.astype(np.int64)),
-                        pa.array(digest.view(np.int64)),
-                    ],
-                    names=["row_no", "doc_id", "start", "stop", "word", "word_stop", "digest"],
+                    [batch.column(k).slice(lo, hi - lo) for k in range(2)]
+                    + [places, digests],
+                    names=["row_no", "doc_id", "places", "digest"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text").mapInArrow(
-        run, f"row_no long, doc_id {kind}, start long, stop long, word long, word_stop long, digest long"
+        run, f"row_no long, doc_id {kind}, places binary, digest array<long>"
     )
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches that a row's repeated chunks cover, from its places and ``found`` (nth, first row, places)."""
+    for batch in batches:
+        out = []
+        for row in range(batch.num_rows):
+            row_no = batch.column(0)[row].as_py()
+            start, stop, word, word_stop = _unpacked(batch.column(1)[row].as_py())
+            found = batch.column(2)[row].values
+            nth, first, n = (found.field(k).to_numpy() for k in range(3))
+            order = np.argsort(nth)
+            nth, first, n = nth[order], first[order], n[order]
+            opens = np.ones(len(nth), dtype=bool)
+            opens[1:] = word[nth[1:]] > np.maximum.accumulate(word_stop[nth])[:-1]
+            cut = np.flatnonzero(opens)
+            last = np.maximum.reduceat(word_stop[nth], cut)
+            ends = np.maximum.reduceat(stop[nth], cut)
+            kept = np.logical_and.reduceat(first == row_no, cut)
+            most = np.maximum.reduceat(n, cut)
+            for i, c in enumerate(cut):
+                begin = nth[c]
+                out.append((row_no, start[begin], ends[i], int(last[i]) - int(word[begin]), most[i], first[c], kept[i]))
+        names = ["row_no", "start", "stop", "n_words", "n_places", "first_row", "kept"]
+        kinds = [pa.int64()] * 6 + [pa.bool_()]
+        columns = zip(*out, strict=True) if out else [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per repeated passage and place: ``doc_id, start, stop, n_words, n_places, first_doc_id, kept, row_no``.
 
@@ -109,42 +164,41 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     different places. Texts that are null, empty or shorter have no passages; a null doc_id is returned as such; an
     empty table gives an empty table; further columns are ignored.
     """
-    chunks = materialise(chunk_table(docs), "chunks")
+    table = materialise(chunk_table(docs), "chunks")
+    chunks = table.select("row_no", F.posexplode("digest").alias("nth", "digest"))
+    # partial counts come first, so a chunk that very many rows have is no single task; Spark splits it in the join
     shared = (
         chunks.groupBy("digest")
-        .agg(
-            F.min(F.struct("row_no", "doc_id")).alias("first"), F.max("row_no").alias("last_row"), F.count("*").alias("n")
-        )
-        .where("first.row_no < last_row")
-        .select("digest", F.col("first.row_no").alias("first_row"), F.col("first.doc_id").alias("first_doc_id"), "n")
+        .agg(F.min("row_no").alias("first_row"), F.max("row_no").alias("last_row"), F.count("*").alias("n_places"))
+        .where("first_row < last_row")
+        .drop("last_row")
     )
-    before = Window.partitionBy("row_no").orderBy("word", "word_stop").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy("row_no").orderBy("word", "word_stop").rowsBetween(Window.unboundedPreceding, 0)
-    opens = (F.col("word") > F.coalesce(F.max("word_stop").over(before), F.lit(-1))).cast("int")
-    return (
+    found = (
         chunks.join(shared, "digest")
-        .withColumn("opens", opens)
-        .withColumn("run", F.sum("opens").over(so_far))
-        .groupBy("row_no", "doc_id", "run")
-        .agg(
-            F.min("start").alias("start"),
-            F.max("stop").alias("stop"),
-            (F.max("word_stop") - F.min("word")).alias("n_words"),
-            F.max("n").alias("n_places"),
-            F.min_by("first_doc_id", "word").alias("first_doc_id"),
-            (F.min((F.col("first_row") == F.col("row_no")).cast("int")) == 1).alias("kept"),
+        .groupBy(F.col("row_no").alias("found_no"))
+        .agg(F.collect_list(F.struct("nth", "first_row", "n_places")).alias("found"))
+    )
+    places = table.select("row_no", "places").join(found, F.col("row_no") == F.col("found_no"))
+    runs = (
+        places.drop("found_no")
+        .mapInArrow(
+            _stretches,
+            "row_no long, start long, stop long, n_words long, n_places long, first_row long, kept boolean",
         )
         .where(F.col("n_words") >= least_words)
+    )
+    ids = table.select("row_no", "doc_id")
+    return (
+        runs.join(ids, "row_no")
+        .join(ids.toDF("first_row", "first_doc_id"), "first_row")
         .select("doc_id", "start", "stop", "n_words", "n_places", "first_doc_id", "kept", "row_no")
     )
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """The documents with the passages that are not kept cut out of their texts; by doc_id, which has to be unique."""
-    cuts = (
-        passages.where(~F.col("kept"))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("_cuts"))
+    cuts = passages.where(~F.col("kept")).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(spare(docs, "cuts"))
     )
     at = docs.columns.index("text")
 
@@ -165,4 +219,4 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
             columns[at] = pa.array(out, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return docs.join(cuts, docs["doc_id"] == F.col("_id"), "left").drop("_id").mapInArrow(run, docs.schema)
+    return docs.join(cuts, docs["doc_id"] == cuts["doc_id"], "left").drop(cuts["doc_id"]).mapInArrow(run, docs.schema)

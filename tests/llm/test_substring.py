@@ -41,6 +41,20 @@ def test_rolling_hash_is_the_plain_one():
             at += 1
 
 
+def test_places_are_packed_and_unpacked():
+    import pyarrow as pa
+
+    texts = ["", prose(1, 300), "   " + prose(2, 9), "x" * 70_000 + " " + prose(3, 40), "few words", prose(4, 2000, 1)]
+    _, _, data, offsets = next(steps(pa.array(texts)))
+    row, *places = substring.cut_chunks(data, offsets)
+    places = [places[0] - offsets[row], places[1] - offsets[row], *places[2:]]
+    cuts_ = np.searchsorted(row, np.arange(len(texts) + 1))
+    packed = substring._packed(*places, cuts_).to_pylist()
+    for i, raw in enumerate(packed):
+        for got, want in zip(substring._unpacked(raw), places, strict=True):
+            assert got.tolist() == want[row == i].tolist()
+
+
 def planted(n=40):
     """Documents of their own words; every fourth holds one of two passages of 60 words, at different places."""
     passages = [prose(1000 + k, 60, 9999) for k in range(2)]
