@@ -11,7 +11,7 @@ from shelfrank.config import ColdStartConfig
 from shelfrank.functions.ordering import percent_rank_table, slice_bounds, top_per_group
 from shelfrank.functions.scalars import full_value
 from shelfrank.operators.interactions import book_counts
-from shelfrank.operators.joins import join_salted
+from shelfrank.operators.joins import join_listed
 
 DEFAULTS = ColdStartConfig()
 
@@ -61,7 +61,7 @@ def filter_cold_books(
 ) -> tuple[DataFrame, DataFrame]:
     """(interactions of books with enough users, the cold books)."""
     cold = cold_books(interactions, min_interactions)
-    kept = join_salted(interactions, cold.select("book_id"), ["book_id"], "left_anti", ["user_id"])
+    kept = join_listed(interactions, cold.select("book_id"), ["book_id"], "left_anti")
     return kept, cold
 
 
@@ -78,8 +78,8 @@ def percent_ranks(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFram
     by_purchases, by_rating = slice_bounds(eligible, ["purchase_count", "rating_avg"])
     purchases = percent_rank_table(eligible, "purchase_count", "purchase_rank", by_purchases)
     ratings = percent_rank_table(eligible, "rating_avg", "rating_rank", by_rating)
-    ranked = join_salted(eligible, purchases, ["purchase_count"], "inner", ["book_id"])
-    return join_salted(ranked, ratings, ["rating_avg"], "inner", ["book_id"])
+    ranked = join_listed(eligible, purchases, ["purchase_count"], "inner")
+    return join_listed(ranked, ratings, ["rating_avg"], "inner")
 
 
 def popularity_scores(books: DataFrame, cfg: ColdStartConfig = DEFAULTS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfrank.config import DecayConfig
 from shelfrank.functions.ordering import exact_quantiles
 from shelfrank.functions.scalars import age_in_months, decayed
-from shelfrank.operators.joins import join_salted
+from shelfrank.operators.joins import join_listed
 from shelfrank.sources.tables import require_columns
 
 PAIR = ["user_id", "book_id"]
@@ -151,12 +151,12 @@ def count_distribution(counts: DataFrame, column: str = "n_books") -> DataFrame:
 def of_users(interactions: DataFrame, users: DataFrame) -> DataFrame:
     """Interactions of the requested users."""
     wanted = users.select("user_id").distinct()
-    return join_salted(interactions, wanted, ["user_id"], "left_semi", ["book_id"])
+    return join_listed(interactions, wanted, ["user_id"], "left_semi")
 
 
-def of_buyers(facts: DataFrame, buyers: DataFrame, ts: str) -> DataFrame:
+def of_buyers(facts: DataFrame, buyers: DataFrame) -> DataFrame:
     """Fact rows of the given buyers (buyer_id, distinct)."""
-    return join_salted(facts, buyers, ["buyer_id"], "left_semi", ["book_id", ts])
+    return join_listed(facts, buyers, ["buyer_id"], "left_semi")
 
 
 def seen_pairs(interactions: DataFrame) -> DataFrame:

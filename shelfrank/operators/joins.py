@@ -7,7 +7,7 @@ would send a third of the data to one task. Three exact forms are used:
 * with a wide unique side (factors, a large catalogue) the frequent keys of the long side are found
   first, and only they are salted: their rows spread over ``spread`` tasks, and only their rows of
   the unique side are repeated;
-* with a thin unique side (a list of ids) every key is salted, which needs no look at the data.
+* with a thin unique side (a list of ids) adaptive execution splits what a hot key makes too large.
 
 A salt is a hash of the row, so a re-run of a lost task gives each row the salt it had before.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SPREAD, MAX_SPREAD = 64, 1000
+MIN_SPREAD, MAX_SPREAD = 64, 1000
 # Share of the long side from which a key counts as hot.
 SUPPORT = 0.001
 
@@ -74,7 +74,7 @@ def join_hot(
         return long.join(unique, on, how)
     if spread is None:
         wanted = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = min(max(wanted, SPREAD), MAX_SPREAD)
+        spread = min(max(wanted, MIN_SPREAD), MAX_SPREAD)
     is_hot = F.col(on).isin(list(hot))
     every = F.sequence(F.lit(0), F.lit(spread - 1))
     salted = long.withColumn("_salt", F.when(is_hot, _salt(salt_by, spread)).otherwise(F.lit(0)))
@@ -82,21 +82,13 @@ def join_hot(
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def join_salted(
-    long: DataFrame,
-    unique: DataFrame,
-    on: Sequence[str],
-    how: str,
-    salt_by: Sequence[str],
-    spread: int = SPREAD,
-) -> DataFrame:
-    """Equi-join with a salt for every key, for a ``unique`` side of ids and little else.
+def join_listed(long: DataFrame, unique: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join with a ``unique`` side of ids and little else.
 
-    Adaptive execution still broadcasts ``unique`` when its shuffled size turns out small.
+    Nothing is copied: adaptive execution broadcasts a side that turns out small, and cuts the
+    partitions of the long side that a hot key makes too large.
     """
-    salted = long.withColumn("_salt", _salt(salt_by, spread))
-    copies = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return long.join(unique, list(on), how)
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:

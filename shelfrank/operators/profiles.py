@@ -117,8 +117,8 @@ def user_profiles(
     """
     wanted = users.select("user_id").distinct()
     buyers = wanted.withColumnRenamed("user_id", "buyer_id")
-    sales = of_buyers(sales, buyers, "order_date")
-    reviews = of_buyers(reviews, buyers, "snapshot_date")
+    sales = of_buyers(sales, buyers)
+    reviews = of_buyers(reviews, buyers)
 
     def section(df: DataFrame, name: str, text: str) -> DataFrame:
         return df.select("user_id", F.lit(name).alias("section"), "rank", F.col(text).alias("text"))

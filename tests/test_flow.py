@@ -1,5 +1,6 @@
 """Routing, freshness, sources and the session folder."""
 
+import dataclasses
 import datetime as dt
 import json
 
@@ -8,6 +9,7 @@ import pytest
 from helpers import AS_OF, at, books, carts, factors, reviews, rows, sales, scores
 
 from shelfrank import session
+from shelfrank.config import ColdStartConfig
 from shelfrank.operators import gold
 from shelfrank.operators import interactions as ia
 from shelfrank.plans.recommend import Inputs, recommend
@@ -15,12 +17,13 @@ from shelfrank.sources import tables
 from shelfrank.streaming import freshness
 
 RNG = np.random.default_rng(4)
+ALL_BOOKS = ColdStartConfig(min_book_interactions=1)
 
 
 @pytest.fixture(scope="module")
 def shop(spark):
-    """Users 0..5: user 0 has no pairs, user 1 two, the others eight; 20 books."""
-    pairs = [(1, b) for b in (0, 1)] + [(u, (u + b) % 10) for u in range(2, 6) for b in range(8)]
+    """Users 0..5: user 0 has no pairs, user 1 two, the others eight of 13 known books; 20 books."""
+    pairs = [(1, b) for b in (0, 1)] + [(u, (u + b) % 14) for u in range(2, 6) for b in range(8)]
     shelf = books(
         spark,
         [(b, f"title {b}", f"author {b % 3}", f"cat {b % 4}", 3.0 + b / 10, b) for b in range(20)],
@@ -37,7 +40,7 @@ def shop(spark):
 
 
 def test_every_user_has_one_source_and_ranks_without_gaps(shop):
-    got = recommend(shop).toPandas()
+    got = recommend(shop, cold_cfg=ALL_BOOKS).toPandas()
     sources = got.groupby("user_id").source.unique()
     assert {u: list(s) for u, s in sources.items()} == {
         0: ["cold"], 1: ["hybrid"], 2: ["warm"], 3: ["warm"], 4: ["warm"], 5: ["warm"],
@@ -53,26 +56,53 @@ def test_every_user_has_one_source_and_ranks_without_gaps(shop):
 
 def test_requests_honour_length_and_unknown_users(spark, shop):
     asked = spark.createDataFrame([(2, 3), (2, 1), (1, None), (99, 2)], "user_id long, top_k int")
-    got = recommend(shop, asked).toPandas()
+    got = recommend(shop, asked, ALL_BOOKS).toPandas()
     sizes = got.groupby(["user_id", "top_k", "source"]).size().to_dict()
     assert sizes == {(2, 3, "warm"): 3, (2, 1, "warm"): 1, (1, 5, "hybrid"): 5, (99, 2, "cold"): 2}
-    whole = recommend(shop).toPandas()
+    whole = recommend(shop, cold_cfg=ALL_BOOKS).toPandas()
     full = whole[whole.user_id == 2].sort_values("rank").book_id.tolist()
     assert got[(got.user_id == 2) & (got.top_k == 3)].sort_values("rank").book_id.tolist() == full[:3]
 
 
+def test_bought_cold_books_and_books_nobody_knows_are_not_recommended(spark, shop):
+    """Book 13 is one user's alone: too few users know it, and its owner must not get it either."""
+    more = shop.interactions.unionByName(scores(spark, [(2, 13, 50.0)]))
+    shifted = [(u, [1.0]) for u in range(6)], [(b, [100.0 if b in (13, 19) else 1.0 - b / 99]) for b in range(20)]
+    sides = [spark.createDataFrame(rows_, "id long, features array<float>") for rows_ in shifted]
+    shop = dataclasses.replace(shop, interactions=more, user_factors=sides[0], item_factors=sides[1])
+    got = recommend(shop, cold_cfg=ColdStartConfig(min_book_interactions=2)).toPandas()
+    warm = got[got.source == "warm"]
+    assert len(warm) and not set(warm.book_id) & {13, 19}
+    got = recommend(shop, cold_cfg=ALL_BOOKS).toPandas()
+    assert 13 not in set(got[(got.user_id == 2) & (got.source == "warm")].book_id)
+
+
+def test_warm_users_without_vectors_get_popular_books(shop):
+    some = dataclasses.replace(shop, user_factors=shop.user_factors.where("id <> 3"))
+    got = recommend(some, cold_cfg=ALL_BOOKS).toPandas()
+    assert set(got.user_id) == set(range(6))
+    assert set(got[got.user_id == 3].source) == {"cold"} and (got.user_id == 3).sum() == 5
+
+
+def test_long_requests_are_answered_in_full(spark, shop):
+    asked = spark.createDataFrame([(0, 14), (2, 2)], "user_id long, top_k int")
+    got = recommend(shop, asked, ALL_BOOKS).toPandas()
+    # 15 of the 20 books are rated well enough to be popular
+    assert got.groupby("user_id").size().to_dict() == {0: 14, 2: 2}
+
+
 def test_a_pluggable_scorer_replaces_the_native_one(shop):
     def load():
         return lambda profile, description: np.zeros(len(profile))
 
-    got = recommend(shop, scorer=load).toPandas()
+    got = recommend(shop, scorer=load, cold_cfg=ALL_BOOKS).toPandas()
     assert set(got[got.source == "warm"].semantic_score) == {0.5}
 
 
 def test_missing_user_dimension_is_tolerated(shop):
     import dataclasses
 
-    got = recommend(dataclasses.replace(shop, dim_users=None)).toPandas()
+    got = recommend(dataclasses.replace(shop, dim_users=None), cold_cfg=ALL_BOOKS).toPandas()
     assert sorted(got.user_id.unique()) == [1, 2, 3, 4, 5]
 
 
@@ -105,11 +135,13 @@ def test_running_scores_equal_the_batch_formula(spark, tmp_path):
     folder = str(tmp_path / "in")
     event_files(spark, folder, [EVENTS[:50], EVENTS[50:130], EVENTS[130:]])
     stream = freshness.event_stream(spark, folder, files_per_batch=1)
-    got = freshness.running_scores(freshness.scored_events(stream), AS_OF)
     everything = spark.read.schema(freshness.EVENT_SCHEMA).parquet(folder)
-    batch = ia.decay(freshness.scored_events(everything), AS_OF).groupBy("user_id", "book_id")
-    want = {tuple(r)[:2]: r[2] for r in batch.sum("decayed_score").collect()}
-    assert {tuple(r)[:2]: r[2] for r in got.collect()} == pytest.approx(want)
+    for day in (AS_OF, dt.date(2024, 1, 9)):
+        feeds = [freshness.scored_events(stream), freshness.scored_events(stream)]
+        got = freshness.running_scores(feeds, day)
+        batch = ia.decay(freshness.scored_events(everything), day).groupBy("user_id", "book_id")
+        want = {tuple(r)[:2]: 2 * r[2] for r in batch.sum("decayed_score").collect()}
+        assert {tuple(r)[:2]: r[2] for r in got.collect()} == pytest.approx(want)
 
 
 def test_volume_and_changed_users(spark, tmp_path):

@@ -20,7 +20,7 @@ def sides(spark):
 def test_all_forms_agree_with_a_plain_join(sides, how):
     long, unique = sides
     want = rows(long.join(unique, "k", how).fillna(-1))
-    assert rows(joins.join_salted(long, unique, ["k"], how, ["v"]).fillna(-1)) == want
+    assert rows(joins.join_listed(long, unique, ["k"], how).fillna(-1)) == want
     assert rows(joins.join_unique(long, unique, "k", how, ["v"], small=False).fillna(-1)) == want
     assert rows(joins.join_unique(long, unique, "k", how, ["v"]).fillna(-1)) == want
     for hot in ([], [0], [0, 2, 999]):

@@ -17,7 +17,7 @@ GRIDS = [None, Grid(3, 1), Grid(2, 4)]
 
 
 def brute(user, depth):
-    score = (V.astype(np.float32).astype(float) @ U[user].astype(np.float32).astype(float)).round(6)
+    score = (V.astype(np.float32).astype(float) @ U[user].astype(np.float32).astype(float)).round(12)
     order = sorted(range(len(V)), key=lambda b: (-score[b], b))
     return [(b, score[b]) for b in order[:depth]]
 
@@ -56,7 +56,7 @@ def test_exact_mode_fills_the_list_of_a_heavy_user(spark):
     order = [b for b, _ in brute(3, 70)]
     seen = scores(spark, [(3, b, 1.0) for b in order[:60]])
     args = factors(spark, U), factors(spark, V), seen, 5
-    assert retrieval.generate_candidates(*args).count() == 0
+    assert retrieval.generate_candidates(*args, overfetch=2).count() == 0
     full = retrieval.generate_candidates(*args, overfetch=None)
     assert [r["candidate_book_id"] for r in full.orderBy("rank").collect()] == order[60:65]
 
@@ -77,8 +77,11 @@ def test_score_pairs_of_unknown_ids(spark):
 
 def test_requests_with_open_length_and_unknown_user(spark):
     asked = spark.createDataFrame([(0, None), (1, 2), (77, 3)], "user_id long, top_k int")
-    got = retrieval.recommend_requests(asked, factors(spark, U), factors(spark, V), 5).toPandas()
+    got = retrieval.recommend_requests(asked.union(asked), factors(spark, U), factors(spark, V)).toPandas()
     assert got.groupby("user_id").size().to_dict() == {0: 5, 1: 2}
+    long = spark.createDataFrame([(0, 33), (1, 2)], "user_id long, top_k int")
+    answered = retrieval.recommend_requests(long, factors(spark, U), factors(spark, V)).toPandas()
+    assert answered.groupby("user_id").size().to_dict() == {0: 33, 1: 2}
     first = got[got.user_id == 0].sort_values("rank").book_id.tolist()
     assert first == [b for b, _ in brute(0, 5)]
 
