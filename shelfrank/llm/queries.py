@@ -80,6 +80,30 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+              WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+          FROM words),
+        sizes AS (SELECT doc_id, count(s) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+        common AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+          FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (
+          SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+          WHERE 100 * c >= 75 * (a.n + b.n - c)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (
+          SELECT doc_id, doc_id AS other FROM sizes
+          UNION SELECT r.doc_id, l.y FROM reached r JOIN both_ways l ON l.x = r.other)
+        SELECT doc_id, n AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
     "op6_warc_fixity": r"""
         WITH records AS (
           SELECT page_id, coalesce(url, '') AS url,
@@ -108,6 +132,55 @@ ORACLES: dict[str, str] = {
                     WHEN page_id % 307 = 11 THEN 'missing' ELSE 'ok' END AS status
         FROM placed
     """,
+    "op9_mixing": r"""
+        WITH RECURSIVE sized AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+          FROM documents),
+        keyed AS (SELECT *, md5(concat('17:', coalesce(doc_id::VARCHAR, '-'), ':', size)) AS key FROM sized),
+        sources AS (
+          SELECT source, count(*) AS n, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+          FROM sized GROUP BY source),
+        filled AS (
+          SELECT 0 AS step, i, words, [5, 2, 1][i % 3 + 1] AS w, false AS full_, 0.0::DOUBLE AS target FROM sources
+          UNION ALL
+          SELECT step + 1, i, words, w, full_ OR share > 2.0 * words,
+                 CASE WHEN full_ OR share > 2.0 * words THEN 2.0::DOUBLE * words ELSE share END
+          FROM (SELECT *, (1.5::DOUBLE * sum(words) OVER () - coalesce(sum(CASE WHEN full_ THEN 2.0::DOUBLE * words END) OVER (), 0))
+                       * w / sum(CASE WHEN NOT full_ THEN w END) OVER () AS share
+                FROM filled WHERE step <= (SELECT count(*) FROM sources))),
+        goals AS (
+          SELECT s.*, f.target, least(4096, ceil(n / 4096.0))::BIGINT AS n_shards
+          FROM sources s JOIN filled f USING (i) WHERE step = (SELECT max(step) FROM filled)),
+        seats AS (
+          SELECT i, count(*) AS blocks FROM (
+            SELECT i, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, i) AS place
+            FROM (SELECT i, target, unnest(range(ceil(2 * words / 32.0)::BIGINT)) AS k FROM goals))
+          WHERE place <= round_even((SELECT sum(target) FROM goals) / 32, 0) GROUP BY i),
+        placed AS (
+          SELECT k.*, g.i, g.words AS source_size, g.target, ('0x' || substr(key, 1, 8))::BIGINT % n_shards AS shard
+          FROM keyed k JOIN goals g ON g.source IS NOT DISTINCT FROM k.source),
+        shards AS (SELECT i, source, shard, sum(size)::BIGINT AS line FROM placed GROUP BY i, source, shard),
+        quotas AS (
+          SELECT i, shard, count(*) AS q FROM (
+            SELECT i, shard, row_number() OVER (PARTITION BY i ORDER BY line::DOUBLE / (2 * k + 1) DESC, shard) AS place
+            FROM (SELECT i, shard, line, unnest(range(ceil(2 * line / 32.0)::BIGINT)) AS k FROM shards)) JOIN seats USING (i)
+          WHERE place <= blocks GROUP BY i, shard),
+        chosen AS (
+          SELECT i, shard, line, least(coalesce(q, 0) * 32, 2 * line) AS wanted,
+                 CASE WHEN line = 0 THEN 0 ELSE
+                   ('0x' || substr(md5(concat('17:', coalesce(source, 'None'), ':', shard)), 1, 12))::BIGINT
+                   % ceil(line / 32.0)::BIGINT * 32 END AS start
+          FROM shards LEFT JOIN quotas USING (i, shard)),
+        spread AS (
+          SELECT p.*, line, CASE WHEN line = 0 THEN 0 ELSE wanted // line END AS copies, start AS s,
+                 start + CASE WHEN line = 0 THEN 0 ELSE wanted % line END AS e,
+                 sum(size) OVER (PARTITION BY p.i, p.shard ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS b
+          FROM placed p JOIN chosen USING (i, shard))
+        SELECT doc_id, size, source_size, target, source,
+               (copies * size + greatest(0, least(b, e, line) - greatest(b - size, s))
+                + greatest(0, least(b, e - line) - (b - size)))::BIGINT AS taken
+        FROM spread
+    """,
     "op7_exact_dedup": r"""
         WITH rows AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,

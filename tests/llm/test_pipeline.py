@@ -28,3 +28,17 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert pieces.where("piece = 0").count() == mixed.count()
     whole = corpus_pipeline.run(spark, FOLDER)
     assert whole.agg({"length": "sum"}).first()[0] == pieces.agg({"length": "sum"}).first()[0]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_agree_with_their_sql(spark, name):
+    import duckdb
+
+    from compare import difference
+
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, FOLDER).toPandas()
+    assert difference(got, con.execute(queries.ORACLES[name]).df()) is None
