@@ -7,7 +7,10 @@ number of uses, and every piece then looks its place up by its rank among the pi
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,12 +25,18 @@ from shelfrank.session import materialise
 CAPACITY = 2048
 #: Partial fillings that one enumeration looks at before the best found so far is taken.
 NODES = 20_000
-#: Distinct words whose ids a task keeps at a time.
-WORDS_KEPT = 400_000
+#: Distinct words after which a worker forgets those it has not met for so long; it keeps twice as many at most.
+WORDS_KEPT = 500_000
 #: Pieces that are ranked in one task.
 RANKED_TOGETHER = 200_000
 #: Id that ends every document.
 END = 0
+#: Words that normalising changes in case only and that are one part with the marks behind them another; apostrophes
+#: have rules of their own. Byte-level models write a byte as a letter: itself where it prints, else one from 256 on.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != ord("'"))
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = dict(zip([b for b in range(256) if b not in _PRINTED], map(chr, range(256, 512)), strict=False))
 
 
 @dataclass(frozen=True)
@@ -161,25 +170,75 @@ class _Encoder:
         return cls.own[path]
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
+        # a worker is one task: threads of its own would only add memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept = Tokenizer.from_file(path), kept
+        self.model = Tokenizer(self.tokenizer.model)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        known = self.known
-        for text in texts:
-            words = text.split()
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > self.kept:
-                known.clear()
-                new = list(set(words))
-            for lo in range(0, len(new), 10_000):
-                part = new[lo : lo + 10_000]
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                for w, e in zip(part, found, strict=True):
-                    known[w] = np.array(e.ids, dtype="<u4").tobytes()
-            yield b"".join([known[w] for w in words])
+        """Ids of the texts in turn; the words that none of them was seen with before are encoded in one call."""
+        split = [text.split() for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        lacking = [(n, [i for i, ids in enumerate(own) if ids is None]) for n, own in enumerate(found) if None in own]
+        new = set()
+        for n, places in lacking:
+            words = split[n]
+            for i in places:
+                word = words[i]
+                ids = self.before.get(word)
+                if ids is None:
+                    new.add(word)
+                else:
+                    self.known[word] = ids
+        self._learn(new)
+        for n, places in lacking:
+            own, words = found[n], split[n]
+            for i in places:
+                own[i] = self.known[words[i]]
+        for own in found:
+            yield b"".join(own)
+        if len(self.known) > self.kept:
+            # words that were met since the last turn are kept, the others are forgotten
+            self.before, self.known = self.known, {}
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Put words and their ids among the known ones. A plain word is its letters and the marks behind them, which
+        the tokenizer splits off; letters go to its model at once, as the bytes' letters that its splitter would make."""
+        known, before = self.known, self.before
+        parts: list[tuple[bytes, bytes, bytes]] = []
+        heads, rest = set(), set()
+        for word in new:
+            head = word.rstrip(MARKS)
+            if not head.isalpha() and not PLAIN.fullmatch(head.decode()):
+                rest.add(word)
+                continue
+            tail = word[len(head) :]
+            head = head.lower() if head.isascii() else head.decode().lower().encode()
+            if head not in known:
+                ids = before.get(head)
+                if ids is None:
+                    heads.add(head)
+                else:
+                    known[head] = ids
+            if tail and tail not in known:
+                rest.add(tail)
+            if word != head:
+                parts.append((word, head, tail))
+        words = list(heads)
+        self._keep(words, self.model, [w.decode("latin-1").translate(BYTE_LETTERS) for w in words])
+        words = list(rest)
+        self._keep(words, self.tokenizer, [w.decode() for w in words])
+        for word, head, tail in parts:
+            known[word] = known[head] + known[tail] if tail else known[head]
+
+    def _keep(self, words: list[bytes], tokenizer, texts: list[str]) -> None:
+        for lo in range(0, len(words), 10_000):
+            encoded = tokenizer.encode_batch_fast(texts[lo : lo + 10_000], add_special_tokens=False)
+            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(words[lo : lo + 10_000], encoded, strict=True))
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
