@@ -285,6 +285,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'fact_cart', count(*) FROM fact_cart
         UNION ALL SELECT 'fact_reviews', count(*) FROM fact_reviews
         UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales""",
+    "preview_rows": "SELECT * FROM catalogue ORDER BY book_id LIMIT 5",
     "source_manifest": """
         SELECT 'lineitem' AS table_name, true AS present, count(*) AS row_count, CAST(11 AS BIGINT) AS column_count FROM lineitem
         UNION ALL SELECT 'orders', true, count(*), 6 FROM orders

@@ -169,6 +169,11 @@ def scan_tables(t: Retail) -> DataFrame:
     return tables.manifest(t.spark, frames).select("table_name", "row_count")
 
 
+@query
+def preview_rows(t: Retail) -> DataFrame:
+    return tables.preview(t.catalogue, ["book_id"])
+
+
 @query
 def source_manifest(t: Retail) -> DataFrame:
     names = ["lineitem", "orders", "part", "customer", "supplier", "events", "embeddings"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -59,6 +59,11 @@ def query(spark: SparkSession, sql: str, params: Mapping | None = None, **frames
     return spark.sql(sql, args=dict(params or {}), **frames)
 
 
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in an order; every task hands on ``n`` rows at most."""
+    return df.orderBy(*order).limit(n)
+
+
 def read_csv(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return (
         spark.read.schema(SCHEMAS[table])
