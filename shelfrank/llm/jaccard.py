@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.tables import components, groups, keep_rows, small, text_key
+from shelfrank.llm.tables import Scratch, components, groups, keep_rows, small, text_key
 from shelfrank.llm.words import mix, shingle_hashes, steps, word_hashes
 from shelfrank.session import materialise
 
 WORDS = 5
 #: Similarity, as a fraction, from which two sets link.
 LEAST = (3, 4)
-#: Bits of a set's signature, and children of a node.
+#: Bits of a signature in the trees, and children of a node. Pairs that the trees leave are looked at with signatures
+#: of two bits an element or more, so that those of large sets do not fill up.
 BITS = 1024
 FANOUT = 8
 #: Shingles that are put last in the common order: at most so many, from lists of so many that tasks give for every run
@@ -80,14 +81,26 @@ def first_shingles(n: int) -> int:
     return n - -(-LEAST[0] * n // LEAST[1]) + 1
 
 
+def width(n: int) -> int:
+    """Bits of the wide signature of a set of n: a power of two, ``BITS`` at least."""
+    return max(BITS, 1 << (2 * n - 1).bit_length())
+
+
 def signature(tokens: np.ndarray, bits: int = BITS) -> bytes:
+    """A bit for every element; the widths are powers of two, so halves laid over each other are the narrower one."""
     marks = np.zeros(bits, dtype=bool)
-    marks[(mix(tokens) % np.uint64(bits)).astype(np.int64)] = True
+    marks[(mix(tokens) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(marks).tobytes()
 
 
+def folded(raw: bytes, bits: int) -> np.ndarray:
+    """A signature narrowed to so many bits."""
+    return np.bitwise_or.reduce(np.frombuffer(raw, np.uint64).reshape(-1, bits // 64), axis=0)
+
+
 def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Rows ``row_no, doc_id, text_key, n, digest, rare, often, bits``: a row's set, its first shingles, its signature."""
+    """Rows ``row_no, doc_id, text_key, n, digest, rare, often, bits, wide``: a row's set, its first shingles, and its
+    signatures."""
     order = np.argsort(frequent)
     kept = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
 
@@ -96,7 +109,7 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for batch in batches:
             row = 0
             for part in _unique(batch.column(3)):
-                size, digest, rare, often, bits = [], [], [], [], []
+                size, digest, rare, often, bits, wide = [], [], [], [], [], []
                 for tokens in part:
                     first = first_shingles(len(tokens)) if len(tokens) else 0
                     a = b = tokens[:0]
@@ -112,7 +125,8 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     digest.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                     rare.append(a.view(np.int64))
                     often.append(b.view(np.int64))
-                    bits.append(signature(tokens))
+                    wide.append(signature(tokens, width(len(tokens))))
+                    bits.append(folded(wide[-1], BITS).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(row, len(part)) for k in range(3)),
@@ -121,8 +135,9 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array(rare, pa.list_(pa.int64())),
                         pa.array(often, pa.list_(pa.int64())),
                         pa.array(bits, pa.binary()),
+                        pa.array(wide, pa.binary()),
                     ],
-                    names=["row_no", "doc_id", "text_key", "n", "digest", "rare", "often", "bits"],
+                    names=["row_no", "doc_id", "text_key", "n", "digest", "rare", "often", "bits", "wide"],
                 )
                 row += len(part)
 
@@ -131,7 +146,8 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         F.monotonically_increasing_id().alias("row_no"), "doc_id", text_key(F.col("text")).alias("text_key"), "text"
     ).mapInArrow(
         run,
-        f"row_no long, doc_id {kind}, text_key long, n long, digest binary, rare array<long>, often array<long>, bits binary",
+        f"row_no long, doc_id {kind}, text_key long, n long, digest binary, rare array<long>, often array<long>, "
+        "bits binary, wide binary",
     )
 
 
@@ -270,32 +286,40 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose signatures allow enough overlap."""
-    own = sets.select("row_no", "n", "bits")
+    """The pairs ``a, b`` whose sizes and wide signatures, at the narrower one's width, allow enough overlap."""
+    own = sets.select("row_no", "n", "wide")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                n_a, n_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-                x, y = (_bits(batch.column(k)) for k in (3, 5))
-                good = _enough(overlap_bound(x, n_a, y, n_b), n_a + n_b)
-                yield batch.select([0, 1]).filter(pa.array(good))
+            good = []
+            n_a, n_b = (batch.column(k).to_numpy().tolist() for k in (2, 4))
+            for m, n, x, y in zip(n_a, n_b, batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                bits = 8 * min(len(x), len(y))
+                most = overlap_bound(folded(x, bits), m, folded(y, bits), n)
+                good.append(bool(_enough(most, m + n)))
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    joined = pairs.join(own.toDF("a", "n_a", "bits_a"), "a").join(own.toDF("b", "n_b", "bits_b"), "b")
-    return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
+    alike = (LEAST[1] * F.col("n_a") >= LEAST[0] * F.col("n_b")) & (LEAST[1] * F.col("n_b") >= LEAST[0] * F.col("n_a"))
+    sizes = sets.select("row_no", "n")
+    pairs = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").where(alike).select("a", "b")
+    joined = pairs.join(own.toDF("a", "n_a", "wide_a"), "a").join(own.toDF("b", "n_b", "wide_b"), "b")
+    return joined.select("a", "b", "n_a", "wide_a", "n_b", "wide_b").mapInArrow(run, "a long, b long")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar, counted on the whole sets, which are taken anew from the texts needed."""
-    rows = materialise(
+    """The pairs ``a, b`` whose sets are similar, counted on the whole sets, which are taken anew from the texts needed.
+
+    The result is stored.
+    """
+    work = Scratch(docs.sparkSession, "jaccard-whole-sets")
+    rows = work.keep(
         pairs.select(F.col("a").alias("row_no"))
         .unionByName(pairs.select(F.col("b").alias("row_no")))
         .distinct()
-        .join(sets.select("row_no", "doc_id", "text_key"), "row_no"),
-        "jaccard-needed",
+        .join(sets.select("row_no", "doc_id", "text_key"), "row_no")
     )
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    ids = small(materialise(rows.select("doc_id", "text_key").distinct(), "jaccard-ids"))
+    ids = small(work.keep(rows.select("doc_id", "text_key").distinct()))
     same = texts["doc_id"].eqNullSafe(ids["doc_id"]) & (texts["text_key"] == ids["text_key"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,11 +341,10 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
         .mapInArrow(whole, f"_id {kind}, _key long, tokens binary")
         .dropDuplicates(["_id", "_key"])
     )
-    tokens = materialise(
+    tokens = work.keep(
         rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select(
             "row_no", "tokens"
-        ),
-        "jaccard-tokens",
+        )
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +357,9 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     joined = pairs.join(tokens.toDF("a", "x"), "a").join(tokens.toDF("b", "y"), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(count, "a long, b long")
+    out = materialise(joined.select("a", "b", "x", "y").mapInArrow(count, "a long, b long"), "jaccard-links")
+    work.drop()
+    return out
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -347,15 +372,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
     component, that of the smallest doc_id. Repeated rows are rows of one component; an empty table gives an empty
     table; further columns are ignored.
     """
-    sets = materialise(set_table(docs, frequent_shingles(docs)), "jaccard-sets")
+    work = Scratch(docs.sparkSession, "jaccard")
+    sets = work.keep(set_table(docs, frequent_shingles(docs)))
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("row_no").alias("class"), F.count("*").alias("n_rows"))
-    copies = materialise(
+    copies = work.keep(
         sets.where("n > 0")
         .select("row_no", "digest")
         .join(classes.where("n_rows > 1"), "digest")
         .where(F.col("row_no") != F.col("class"))
-        .select("row_no", "class"),
-        "jaccard-copies",
+        .select("row_no", "class")
     )
     distinct = sets.where("n > 0").join(small(copies.select("row_no")), "row_no", "left_anti")
     # frequent shingles are few by their list's bound: counted with partial sums, then broadcast
@@ -366,17 +391,17 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rare = distinct.select("row_no", F.explode("rare").alias("token")).repartition("token")
     ends = rare.groupBy("token").agg(F.min("row_no").alias("first"), F.max("row_no").alias("last")).where("first < last")
     cold = rare.join(ends.hint("merge"), "token")
-    blocks = materialise(hot.select("token", "row_no", "first").unionByName(cold.select("token", "row_no", "first")), "blocks")
+    blocks = work.keep(hot.select("token", "row_no", "first").unionByName(cold.select("token", "row_no", "first")))
 
     starts = blocks.where("first < row_no").groupBy(F.col("row_no").alias("b")).agg(F.min("first").alias("a"))
-    near = materialise(possible(starts.select("a", "b"), distinct), "jaccard-starts")
-    links = materialise(linked(near, distinct, docs), "jaccard-links")
-    known = materialise(components(links, "jaccard-first"), "jaccard-known")
+    near = work.keep(possible(starts.select("a", "b"), distinct))
+    links = linked(near, distinct, docs)
+    known = components(links, "jaccard-first")
 
     grouped = blocks.join(known, F.col("row_no") == F.col("node"), "left").select(
         "token", "row_no", F.coalesce("component", "row_no").alias("component")
     )
-    grouped = materialise(grouped, "jaccard-grouped")
+    grouped = work.keep(grouped)
     # blocks within one group are settled, and of blocks with the same rows one is enough
     open_ = (
         grouped.groupBy("token")
@@ -393,8 +418,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .select("token", "n_rows")
     )
     members = grouped.join(open_, "token").join(distinct.select("row_no", "n", "bits"), "row_no")
-    pairs = materialise(tree_pairs(members), "jaccard-pairs")
-    more = materialise(linked(pairs, distinct, docs), "jaccard-more")
+    left = work.keep(tree_pairs(members))
+    pairs = work.keep(possible(left, distinct))
+    more = linked(pairs, distinct, docs)
     whole = components(links.unionByName(more), "jaccard-all")
 
     node = F.coalesce("class", "row_no")
@@ -406,6 +432,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .select("row_no", "doc_id", "text_key", "n", F.coalesce("component", "set_no").alias("component"))
     )
     rows = materialise(rows, "jaccard-rows")
+    work.drop()
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no"))
     least = rows.groupBy("component").agg(F.min(order).alias("best"))
     return rows.join(least, "component").select(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.tables import components, groups
+from shelfrank.llm.tables import Scratch, components, groups
 from shelfrank.session import materialise
 
 LEAST = 0.9
@@ -214,13 +214,14 @@ def audit(points: DataFrame, counts: DataFrame, size: int, least: float = LEAST,
 
 def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFrame, DataFrame]:
     """Links ``a, b`` that connect all components, and ``row_no, n`` links of every vector to others than its copies."""
-    lists = materialise(best_lists(tree_neighbours(points, size, n)), "nn-lists")
+    work = Scratch(points.sparkSession, "nn-rounds")
+    lists = work.keep(best_lists(tree_neighbours(points, size, n)))
     for turn in range(1, MOST_ROUNDS + 1):
-        lists = materialise(descend(lists, points, size), "nn-lists")
+        lists = work.keep(descend(lists, points, size))
         if turn < ROUNDS:
             continue
         links = materialise(exact_links(lists, points, size, least), "nn-links")
-        known = materialise(components(links, "nn"), "nn-known")
+        known = components(links, "nn")
         full = (
             lists.where(F.col("s") >= least - MARGIN).groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") >= ENLARGED)
         )
@@ -241,6 +242,7 @@ def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFram
         logging.getLogger(__name__).info("recall after %d rounds: %.4f", turn, recall)
         if recall >= RECALL:
             break
+    work.drop()
     return links, counts
 
 

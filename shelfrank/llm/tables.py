@@ -6,15 +6,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.session import materialise
+from shelfrank.session import fresh_path, materialise
 
 #: Rows of a few numbers that may be broadcast; larger tables are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
+class Scratch:
+    """A folder of stored steps in the shared folder, removed as soon as what follows from them is stored itself."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.stored = spark, fresh_path(spark, name), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.stored += 1
+        return materialise(df, "step", f"{self.folder}/{self.stored}")
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A stored table marked for broadcast if its rows, which are counted, are few; else as it is."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -47,14 +62,15 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
-    """``node, component`` (the smallest node reachable) of all nodes of the links ``a, b`` (two longs).
+    """``node, component`` (the smallest node reachable) of all nodes of the links ``a, b`` (two longs), stored.
 
     Large-star and small-star steps alternate: nodes hand their larger, then their smaller neighbours to the smallest one
     they know. The minima are aggregated before they are shuffled and joined back, so a node with very many links is no
     single task; every round is written, and rounds grow with the logarithm of the longest path.
     """
     pairs = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi > lo").distinct()
-    pairs = materialise(pairs, f"{name}-pairs")
+    work = Scratch(links.sparkSession, f"{name}-rounds")
+    pairs = work.keep(pairs)
     seen = None
     while True:
         both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
@@ -64,18 +80,20 @@ def components(links: DataFrame, name: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = large.join(least, "hi")
-        pairs = materialise(
+        pairs = work.keep(
             moved.select("hi", F.col("m").alias("lo"))
             .unionByName(moved.where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-            .distinct(),
-            f"{name}-pairs",
+            .distinct()
         )
         now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
         if now == seen:
             break
         seen = now
     stars = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+    whole = stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+    out = materialise(whole, name)
+    work.drop()
+    return out
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
