@@ -1,4 +1,7 @@
-"""Arguments of every stage, grouped, with their default values."""
+"""Arguments of every stage, grouped, with their default values.
+
+The defaults of scores, thresholds, weights, targets and training are fixed values.
+"""
 
 from __future__ import annotations
 

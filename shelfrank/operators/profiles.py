@@ -154,6 +154,7 @@ def user_profiles(
         items("rated").alias("_rated"),
         items("bought").alias("_bought"),
     )
+    # Wording of the profile's lines (fixed values).
     profile = F.concat_ws(
         "\n",
         F.lit(PROFILE_HEADER),
@@ -177,6 +178,7 @@ def missing_books(wanted: DataFrame, books: DataFrame) -> DataFrame:
 
 def item_descriptions(books: DataFrame) -> DataFrame:
     """(book_id, item_description): five labelled lines per book."""
+    # Wording of the description's lines (fixed values).
     text = F.concat(
         F.lit("Title: "),
         F.col("title"),
