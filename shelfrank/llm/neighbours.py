@@ -2,8 +2,9 @@
 
 Equal vectors become one. Random-projection trees give every vector a first list of neighbours; then neighbours of
 neighbours meet: the members of a vector's list and of the lists it is in are compared with each other, and every member
-keeps its best. A list that is full of links is enlarged; where even the enlarged list is full, all vectors of the
-component are compared block by block, so no link of a dense group is lost. The recall is audited on a drawn sample against
+keeps its best and one possible link more. Where a vector has more possible links than a list, all vectors of its
+component are compared block by block, so no link of a dense group is lost; a spanning forest of every meeting that left
+out possible links keeps the components whole. The recall is audited on a drawn sample against
 all vectors, and rounds go on until it is high enough. Rounds use vectors rounded to bytes; the edges that may reach the
 threshold are decided in double precision.
 """
@@ -22,8 +23,8 @@ from shelfrank.llm.tables import Scratch, components, groups
 from shelfrank.session import materialise
 
 LEAST = 0.9
-#: Neighbours of a list, and of an enlarged one; similarity from which neighbours are kept at all; what rounding to bytes
-#: may take from a similarity.
+#: Neighbours of a list, and of an enlarged one, which holds possible links only; similarity from which neighbours are
+#: kept at all; what rounding to bytes may take from a similarity.
 LIST, ENLARGED = 10, 40
 FLOOR, MARGIN = 0.5, 0.03
 #: Projection trees, vectors of a tree's leaf, and vectors that are compared together in a crowded leaf.
@@ -50,23 +51,51 @@ def _unit(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _codes(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, size).astype(np.float32) / 127
+    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, size).astype(np.float32)
 
 
-def _best(rows: np.ndarray, near: np.ndarray, most: int) -> pa.RecordBatch:
-    """The best neighbours of each of a few vectors among themselves, as rows ``a, b, s``."""
+def _forest(near: np.ndarray, floor: float) -> np.ndarray:
+    """Edges of a maximum spanning forest: above any similarity from ``floor`` on it connects what all pairs connect."""
+    best, via = near[0].copy(), np.zeros(len(near), np.int64)
+    free = np.arange(len(near)) > 0
+    edges = []
+    for _ in range(len(near) - 1):
+        j = int(np.where(free, best, -2).argmax())
+        if best[j] >= floor:
+            edges.append((via[j], j))
+        free[j] = False
+        closer = near[j] > best
+        best[closer], via[closer] = near[j][closer], j
+    return np.array(edges, np.int64).reshape(-1, 2)
+
+
+def _best(rows: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
+    """Neighbours of each of a few vectors among themselves, as rows ``a, b, s, tie``.
+
+    The best ``LIST`` and the next one if it may be a link, so a list that is short of possible links shows. Where more
+    are left out, the ties are the meeting's spanning forest.
+    """
+    # sums of whole numbers are exact, so a pair has the same similarity in every meeting
+    near = code @ code.T / np.float32(127 * 127)
     np.fill_diagonal(near, -1)
-    k = min(most, len(rows) - 1)
-    at = np.argpartition(-near, k - 1, axis=1)[:, :k] if k else np.zeros((len(rows), 0), np.int64)
+    k = min(LIST + 1, len(rows) - 1)
+    at = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    at = np.take_along_axis(at, np.argsort(-np.take_along_axis(near, at, axis=1), axis=1), axis=1)
     s = np.take_along_axis(near, at, axis=1)
-    i, j = np.nonzero(s >= FLOOR)
+    i, j = np.nonzero((s >= LEAST - MARGIN) | ((s >= FLOOR) & (np.arange(k) < LIST)))
+    a, b = i, at[i, j]
+    tie = np.zeros(len(a), bool)
+    if ((near >= LEAST - MARGIN).sum(axis=1) > k).any():
+        forest = _forest(near, LEAST - MARGIN)
+        a, b = np.append(a, forest[:, 0]), np.append(b, forest[:, 1])
+        tie = np.append(tie, np.ones(len(forest), bool))
     return pa.RecordBatch.from_arrays(
-        [pa.array(rows[i]), pa.array(rows[at[i, j]]), pa.array(s[i, j].astype(np.float32))], names=["a", "b", "s"]
+        [pa.array(rows[a]), pa.array(rows[b]), pa.array(near[a, b]), pa.array(tie)], names=["a", "b", "s", "tie"]
     )
 
 
 def tree_neighbours(points: DataFrame, size: int, n: int, trees: int = TREES) -> DataFrame:
-    """Rows ``a, b, s``: best neighbours within the leaves of random-projection trees over ``row_no, unit, code``.
+    """Rows ``a, b, s, tie``: best neighbours within the leaves of random-projection trees over ``row_no, unit, code``.
 
     A leaf is a sign pattern of projections; a crowded one is cut into slices along a further projection.
     """
@@ -92,32 +121,33 @@ def tree_neighbours(points: DataFrame, size: int, n: int, trees: int = TREES) ->
             for lo in range(0, len(rows), SLICE):
                 part = slice(lo, lo + SLICE)
                 if len(rows[part]) > 1:
-                    code = _codes(table["code"][part], size)
-                    yield _best(rows[part], code @ code.T, LIST)
+                    yield _best(rows[part], _codes(table["code"][part], size))
 
     leaves = points.select("row_no", "unit", "code").mapInArrow(place, "leaf long, along double, row_no long, code binary")
     # ranges of leaf and projection, so a crowded leaf is spread over tasks
     return leaves.repartitionByRange("leaf", "along").sortWithinPartitions("leaf", "along").mapInArrow(
-        meet, "a long, b long, s float"
+        meet, "a long, b long, s float, tie boolean"
     )
 
 
 def best_lists(edges: DataFrame) -> DataFrame:
-    """Rows ``a, b, s``: the best ``LIST`` neighbours of every vector, and all possible links up to ``ENLARGED``."""
-    ranked = F.reverse(F.array_sort(F.array_distinct(F.collect_list(F.struct("s", "b")))))
-    wide = F.slice("near", 1, ENLARGED)
-    kept = F.filter(wide, lambda x, i: (i < LIST) | (x["s"] >= LEAST - MARGIN))
-    lists = edges.groupBy("a").agg(ranked.alias("near")).select("a", F.explode(kept).alias("x"))
-    return lists.select("a", F.col("x.b").alias("b"), F.col("x.s").alias("s"))
+    """Rows ``a, b, s, tie, listed``: the best ``LIST`` neighbours of every vector, and all possible links up to
+    ``ENLARGED``, are listed; ties stay beyond that, for the components, but meet no one."""
+    pairs = edges.groupBy("a", "b").agg(F.max("s").alias("s"), F.max("tie").alias("tie"))
+    ranked = F.reverse(F.array_sort(F.collect_list(F.struct("s", "b", "tie"))))
+    lists = pairs.groupBy("a").agg(ranked.alias("near")).select("a", F.posexplode("near").alias("i", "x"))
+    listed = (F.col("i") < LIST) | ((F.col("i") < ENLARGED) & (F.col("x.s") >= LEAST - MARGIN))
+    return lists.select("a", "x.b", "x.s", "x.tie", listed.alias("listed")).where("listed OR tie")
 
 
 def descend(lists: DataFrame, points: DataFrame, size: int) -> DataFrame:
     """One round: the members of every vector's list and of the lists it is in are compared with each other."""
-    back = best_lists(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+    near = lists.where("listed")
+    back = best_lists(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", F.lit(False).alias("tie")))
     members = (
-        lists.select(F.col("a").alias("v"), F.col("b").alias("u"))
+        near.select(F.col("a").alias("v"), F.col("b").alias("u"))
         .unionByName(back.select(F.col("a").alias("v"), F.col("b").alias("u")))
-        .unionByName(lists.select(F.col("a").alias("v"), F.col("a").alias("u")))
+        .unionByName(near.select(F.col("a").alias("v"), F.col("a").alias("u")))
         .distinct()
         .join(points.select(F.col("row_no").alias("u"), "code"), "u")
     )
@@ -125,15 +155,14 @@ def descend(lists: DataFrame, points: DataFrame, size: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, 1):
             if table.num_rows > 1:
-                code = _codes(table["code"], size)
-                yield _best(table["u"].to_numpy(), code @ code.T, LIST)
+                yield _best(table["u"].to_numpy(), _codes(table["code"], size))
 
     found = (
         members.select("v", "u", "code").repartition("v").sortWithinPartitions("v", "u").mapInArrow(
-            meet, "a long, b long, s float"
+            meet, "a long, b long, s float, tie boolean"
         )
     )
-    return best_lists(found.unionByName(lists))
+    return best_lists(found.unionByName(lists.drop("listed")))
 
 
 def exact_links(lists: DataFrame, points: DataFrame, size: int, least: float = LEAST) -> DataFrame:
@@ -222,9 +251,8 @@ def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFram
             continue
         links = materialise(exact_links(lists, points, size, least), "nn-links")
         known = components(links, "nn")
-        full = (
-            lists.where(F.col("s") >= least - MARGIN).groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") >= ENLARGED)
-        )
+        # more possible links than a list holds: a meeting may have left some out
+        full = lists.where(F.col("s") >= least - MARGIN).groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > LIST)
         dense = known.join(full, F.col("node") == F.col("a"), "left_semi").select("component").distinct()
         dense = known.groupBy("component").agg((F.count("*")).alias("n")).join(dense, "component")
         members = known.join(dense, "component").join(points, F.col("node") == F.col("row_no"))

@@ -81,3 +81,43 @@ def test_audit_measures_recall(spark):
     points = spark.createDataFrame([(i, [1.0, i / 1000], 1) for i in range(10)], "row_no long, unit array<double>, copies long")
     counts = spark.createDataFrame([(i, 9 if i < 5 else 0) for i in range(10)], "row_no long, n long")
     assert neighbours.audit(points, counts, 2) == pytest.approx(0.5)
+
+
+def clusters(sizes, seed=3, size=24, spread=0.05):
+    """Tight groups around centres far apart."""
+    r = np.random.default_rng(seed)
+    out = []
+    for n in sizes:
+        middle = r.standard_normal(size)
+        out += [middle + spread * r.standard_normal(size) for _ in range(n)]
+    return list(enumerate(out))
+
+
+def test_tight_groups_keep_all_links(spark):
+    rows = clusters([15, 30, 38, 60] * 3)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in neighbours.near_vectors(frame(spark, rows)).collect())
+    assert got == brute(rows)
+
+
+def test_forest_joins_groups_of_a_meeting():
+    r = np.random.default_rng(5)
+    x, y = np.linalg.qr(r.standard_normal((64, 2)))[0].T
+    # two groups of 20 whose only link is the one between their last members
+    unit = np.array([x] * 19 + [x + 0.1 * y] + [y] * 19 + [y + 0.1 * x])
+    unit[[19, 39]] = [x * 0.88 + y * 0.47, x * 0.62 + y * 0.78]
+    unit = unit + 0.002 * r.standard_normal(unit.shape)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    code = np.rint(unit * 127).astype(np.float32)
+    out = neighbours._best(np.arange(40), code).to_pydict()
+    ties = {(min(a, b), max(a, b)) for a, b, t in zip(out["a"], out["b"], out["tie"], strict=True) if t}
+    near = unit @ unit.T >= neighbours.LEAST
+
+    def parts(edges):
+        label = list(range(40))
+        for _ in range(40):
+            for i, j in edges:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    every = [(i, j) for i in range(40) for j in range(i) if near[i, j]]
+    assert parts([e for e in ties if near[e]]) == parts(every)
