@@ -1,7 +1,7 @@
 """Embedding near-duplicates by NN-descent.
 
-Equal vectors become one. Random-projection trees give every vector a first list of neighbours; then neighbours of
-neighbours meet: the members of a vector's list and of the lists it is in are compared with each other, and every member
+Equal vectors become one. Random-projection trees give every vector a first list of neighbours, and each round brings
+fresh trees, whose number follows their depth, for pairs that no neighbour leads to; then neighbours of neighbours meet: the members of a vector's list and of the lists it is in are compared with each other, and every member
 keeps its best and one possible link more. Where a vector has more possible links than a list, all vectors of its
 component are compared block by block, so no link of a dense group is lost; a spanning forest of every meeting that left
 out possible links keeps the components whole. The recall is audited on a drawn sample against
@@ -23,11 +23,11 @@ from shelfrank.llm.tables import Scratch, components, groups
 from shelfrank.session import materialise
 
 LEAST = 0.9
-#: Neighbours of a list, and of an enlarged one, which holds possible links only; similarity from which neighbours are
-#: kept at all; what rounding to bytes may take from a similarity.
+#: Neighbours of a list, and of an enlarged one, which holds possible links only; what rounding to bytes may take from a
+#: similarity.
 LIST, ENLARGED = 10, 40
-FLOOR, MARGIN = 0.5, 0.03
-#: Projection trees, vectors of a tree's leaf, and vectors that are compared together in a crowded leaf.
+MARGIN = 0.03
+#: Projection trees of a round at least, vectors of a tree's leaf, and vectors that are compared together in a crowded leaf.
 TREES, LEAF, SLICE = 8, 32, 128
 #: Rounds at least and at most, vectors of the audit, and the recall that ends the rounds.
 ROUNDS, MOST_ROUNDS = 2, 5
@@ -69,11 +69,11 @@ def _forest(near: np.ndarray, floor: float) -> np.ndarray:
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def _best(rows: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
+def _best(rows: np.ndarray, code: np.ndarray, most: int = LIST) -> pa.RecordBatch:
     """Neighbours of each of a few vectors among themselves, as rows ``a, b, s, tie``.
 
-    The best ``LIST`` and the next one if it may be a link, so a list that is short of possible links shows. Where more
-    are left out, the ties are the meeting's spanning forest.
+    The best ``most`` and, up to one more than ``LIST``, further possible links, so a list that is short of them shows.
+    Where more are left out, the ties are the meeting's spanning forest.
     """
     # sums of whole numbers are exact, so a pair has the same similarity in every meeting
     near = code @ code.T / np.float32(127 * 127)
@@ -82,7 +82,7 @@ def _best(rows: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
     at = np.argpartition(-near, k - 1, axis=1)[:, :k]
     at = np.take_along_axis(at, np.argsort(-np.take_along_axis(near, at, axis=1), axis=1), axis=1)
     s = np.take_along_axis(near, at, axis=1)
-    i, j = np.nonzero((s >= LEAST - MARGIN) | ((s >= FLOOR) & (np.arange(k) < LIST)))
+    i, j = np.nonzero((s >= LEAST - MARGIN) | (np.arange(k) < most))
     a, b = i, at[i, j]
     tie = np.zeros(len(a), bool)
     if ((near >= LEAST - MARGIN).sum(axis=1) > k).any():
@@ -94,13 +94,37 @@ def _best(rows: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def tree_neighbours(points: DataFrame, size: int, n: int, trees: int = TREES) -> DataFrame:
-    """Rows ``a, b, s, tie``: best neighbours within the leaves of random-projection trees over ``row_no, unit, code``.
+def _depth(n: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
 
-    A leaf is a sign pattern of projections; a crowded one is cut into slices along a further projection.
+
+def tree_count(n: int) -> int:
+    """Trees of a round, so that by the least number of rounds the share ``RECALL`` of pairs at the threshold has met: two
+    vectors have the same sign of a projection with a chance of one less their angle over pi."""
+    same = min(0.9, (1 - np.arccos(LEAST) / np.pi) ** _depth(n))
+    return max(TREES, int(np.ceil(np.log(1 - RECALL) / np.log(1 - same) / (ROUNDS + 1))))
+
+
+def _filled(leaves: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """Leaves that follow each other in a tree, put together until they have ``LEAF`` vectors."""
+    held: list[pa.Table] = []
+    for leaf in leaves:
+        if held and (sum(x.num_rows for x in held) >= LEAF or held[0]["leaf"][0].as_py() >> 48 != leaf["leaf"][0].as_py() >> 48):
+            yield pa.concat_tables(held)
+            held = []
+        held.append(leaf)
+    if held:
+        yield pa.concat_tables(held)
+
+
+def tree_neighbours(points: DataFrame, size: int, n: int, turn: int = 0) -> DataFrame:
+    """Rows ``a, b, s, tie``: neighbours within the leaves of a round's random-projection trees over ``row_no, unit, code``.
+
+    A leaf is a sign pattern of projections; small ones are put together, a crowded one is cut into slices along a
+    further projection. The first trees give the best neighbours whatever their similarity, later ones possible links.
     """
-    depth = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
-    normals = np.random.default_rng(SEED + size).standard_normal((trees, depth + 1, size))
+    depth, trees, most = _depth(n), tree_count(n), 0 if turn else LIST
+    normals = np.random.default_rng([SEED, size, turn]).standard_normal((trees, depth + 1, size))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,12 +140,12 @@ def tree_neighbours(points: DataFrame, size: int, n: int, trees: int = TREES) ->
                 )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, 1):
+        for table in _filled(groups(batches, 1)):
             rows = table["row_no"].to_numpy()
-            for lo in range(0, len(rows), SLICE):
-                part = slice(lo, lo + SLICE)
-                if len(rows[part]) > 1:
-                    yield _best(rows[part], _codes(table["code"][part], size))
+            cuts = np.linspace(0, len(rows), -(-len(rows) // SLICE) + 1).astype(int).tolist()
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi - lo > 1:
+                    yield _best(rows[lo:hi], _codes(table["code"][lo:hi], size), most)
 
     leaves = points.select("row_no", "unit", "code").mapInArrow(place, "leaf long, along double, row_no long, code binary")
     # ranges of leaf and projection, so a crowded leaf is spread over tasks
@@ -140,8 +164,9 @@ def best_lists(edges: DataFrame) -> DataFrame:
     return lists.select("a", "x.b", "x.s", "x.tie", listed.alias("listed")).where("listed OR tie")
 
 
-def descend(lists: DataFrame, points: DataFrame, size: int) -> DataFrame:
-    """One round: the members of every vector's list and of the lists it is in are compared with each other."""
+def descend(lists: DataFrame, points: DataFrame, size: int, fresh: DataFrame) -> DataFrame:
+    """One round: the members of every vector's list and of the lists it is in are compared with each other, and the
+    possible links of fresh trees come in."""
     near = lists.where("listed")
     back = best_lists(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", F.lit(False).alias("tie")))
     members = (
@@ -162,7 +187,7 @@ def descend(lists: DataFrame, points: DataFrame, size: int) -> DataFrame:
             meet, "a long, b long, s float, tie boolean"
         )
     )
-    return best_lists(found.unionByName(lists.drop("listed")))
+    return best_lists(found.unionByName(fresh).unionByName(lists.drop("listed")))
 
 
 def exact_links(lists: DataFrame, points: DataFrame, size: int, least: float = LEAST) -> DataFrame:
@@ -246,7 +271,7 @@ def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFram
     work = Scratch(points.sparkSession, "nn-rounds")
     lists = work.keep(best_lists(tree_neighbours(points, size, n)))
     for turn in range(1, MOST_ROUNDS + 1):
-        lists = work.keep(descend(lists, points, size))
+        lists = work.keep(descend(lists, points, size, tree_neighbours(points, size, n, turn)))
         if turn < ROUNDS:
             continue
         links = materialise(exact_links(lists, points, size, least), "nn-links")

@@ -121,3 +121,20 @@ def test_forest_joins_groups_of_a_meeting():
 
     every = [(i, j) for i in range(40) for j in range(i) if near[i, j]]
     assert parts([e for e in ties if near[e]]) == parts(every)
+
+
+def test_isolated_pairs_are_found_in_deep_trees(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 4)
+    r = np.random.default_rng(8)
+    out = r.standard_normal((1800, 64))
+    out[1500:] = out[:300] + 0.45 * out[1500:]
+    rows = list(enumerate(out))
+    got = sum(x.n_links for x in neighbours.near_vectors(frame(spark, rows)).collect())
+    want = sum(x[1] for x in brute(rows))
+    assert want > 300 and 0.97 * want <= got <= want
+
+
+def test_trees_follow_their_depth():
+    assert neighbours.tree_count(1000) == neighbours.TREES
+    same = (1 - np.arccos(0.9) / np.pi) ** 17
+    assert 1 - (1 - same) ** (neighbours.tree_count(3_000_000) * (neighbours.ROUNDS + 1)) >= neighbours.RECALL
