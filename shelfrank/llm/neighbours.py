@@ -4,9 +4,10 @@ Equal vectors become one. Random-projection trees give every vector a first list
 fresh trees, whose number follows their depth, for pairs that no neighbour leads to; then neighbours of neighbours meet: the members of a vector's list and of the lists it is in are compared with each other, and every member
 keeps its best and one possible link more. Where a vector has more possible links than a list, all vectors of its
 component are compared block by block, so no link of a dense group is lost; a spanning forest of every meeting that left
-out possible links keeps the components whole. The recall is audited on a drawn sample against
-all vectors, and rounds go on until it is high enough. Rounds use vectors rounded to bytes; the edges that may reach the
-threshold are decided in double precision.
+out possible links keeps the components whole. The recall is audited on
+drawn vectors against all, each vector counting alike, once among all and once among those outside components that are
+counted exactly. Rounds go on until it is high enough; if it never is, all vectors are compared block by block. Rounds use
+vectors rounded to bytes; the edges that may reach the threshold are decided in double precision.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ LIST, ENLARGED = 10, 40
 MARGIN = 0.03
 #: Projection trees of a round at least, vectors of a tree's leaf, and vectors that are compared together in a crowded leaf.
 TREES, LEAF, SLICE = 8, 32, 128
-#: Rounds at least and at most, vectors of the audit, and the recall that ends the rounds.
+#: Rounds at least, and before all vectors are compared; vectors of an audit, and the recall that ends the rounds.
 ROUNDS, MOST_ROUNDS = 2, 5
-AUDITED, RECALL = 512, 0.98
+AUDITED, RECALL = 2048, 0.98
 #: Vectors of a dense component that one task compares with each other.
 BLOCK = 1024
 SEED = 29
@@ -209,10 +210,11 @@ def exact_links(lists: DataFrame, points: DataFrame, size: int, least: float = L
     return joined.select("a", "b", "x", "y").mapInArrow(decide, "a long, b long")
 
 
-def block_counts(members: DataFrame, size: int, least: float = LEAST) -> DataFrame:
-    """``row_no, n``: links, weighted by copies, of all vectors of dense components ``component, row_no, copies, unit, n``.
+def _block_pairs(members: DataFrame, size: int, least: float, links: bool) -> DataFrame:
+    """``row_no, n, other`` from comparing all vectors of each component ``component, row_no, copies, unit, n``: counts of
+    links, weighted by copies, in parts and without other; and, if asked for, links that connect what links connect.
 
-    A component is cut into blocks, and every pair of blocks is one matrix product; only counts leave it.
+    A component is cut into blocks, and every pair of blocks is one matrix product; only counts and few links leave it.
     """
     slices = F.ceil(F.col("n") / BLOCK).cast("long")
     cells = (
@@ -232,18 +234,47 @@ def block_counts(members: DataFrame, size: int, least: float = LEAST) -> DataFra
             near = unit[x] @ unit[y].T >= least
             if left == right:
                 np.fill_diagonal(near, False)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[x]), pa.array(near @ copies[y])], names=["row_no", "n"])
+            yield out(rows[x], near @ copies[y])
             if left != right:
-                yield pa.RecordBatch.from_arrays([pa.array(rows[y]), pa.array(near.T @ copies[x])], names=["row_no", "n"])
+                yield out(rows[y], near.T @ copies[x])
+            if links:
+                i, j = np.nonzero(near)
+                a, b = rows[x][i], rows[y][j]
+                if len(a) > 2 * len(rows):
+                    ids, at = np.unique(np.append(a, b), return_inverse=True)
+                    joined = np.zeros((len(ids), len(ids)), np.float32)
+                    joined[at[: len(a)], at[len(a) :]] = joined[at[len(a) :], at[: len(a)]] = 1
+                    a, b = ids[_forest(joined, 1)].T
+                yield out(a, np.zeros(len(a), np.int64), b)
+
+    def out(row: np.ndarray, n: np.ndarray, other: np.ndarray | None = None) -> pa.RecordBatch:
+        other = pa.nulls(len(row), pa.int64()) if other is None else pa.array(other)
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(n), other], names=["row_no", "n", "other"])
 
     key = ["component", "left", "right"]
-    counted = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(count, "row_no long, n long")
-    return counted.groupBy("row_no").agg(F.sum("n").alias("n"))
+    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(count, "row_no long, n long, other long")
+
+
+def block_counts(members: DataFrame, size: int, least: float = LEAST) -> DataFrame:
+    """``row_no, n``: links of all vectors of dense components ``component, row_no, copies, unit, n``."""
+    return _block_pairs(members, size, least, False).groupBy("row_no").agg(F.sum("n").alias("n"))
 
 
-def audit(points: DataFrame, counts: DataFrame, size: int, least: float = LEAST, sample: int = AUDITED) -> float:
-    """Share of the links of a drawn sample that were found, by comparing the sample with all vectors."""
-    drawn = points.orderBy(F.xxhash64("row_no", F.lit(SEED)), "row_no").limit(sample).select("row_no", "unit").collect()
+def all_pairs(points: DataFrame, size: int, n: int, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` that connect all components, and ``row_no, n``, by comparing all vectors: exact, quadratic."""
+    members = points.select(F.lit(0).cast("long").alias("component"), "row_no", "copies", "unit", F.lit(n).cast("long").alias("n"))
+    pairs = materialise(_block_pairs(members, size, least, True), "nn-pairs")
+    links = pairs.where("other IS NOT NULL").select(F.col("row_no").alias("a"), F.col("other").alias("b"))
+    return links, pairs.where("other IS NULL").groupBy("row_no").agg(F.sum("n").alias("n"))
+
+
+def audit(
+    points: DataFrame, counts: DataFrame, size: int, least: float = LEAST, sample: int = AUDITED, among: DataFrame | None = None
+) -> float:
+    """Share of its links that was found for a vector that has some, on average over a sample drawn from ``among`` (all
+    vectors, if not given), by comparing the sample with all vectors."""
+    drawn = points if among is None else among
+    drawn = drawn.orderBy(F.xxhash64("row_no", F.lit(SEED)), "row_no").limit(sample).select("row_no", "unit").collect()
     if not drawn:
         return 1.0
     rows = np.array([r.row_no for r in drawn])
@@ -252,18 +283,19 @@ def audit(points: DataFrame, counts: DataFrame, size: int, least: float = LEAST,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(rows), dtype=np.int64)
         for batch in batches:
-            if batch.num_rows:
-                near = queries @ _unit(batch.column(1), size).T >= least
-                near &= rows[:, None] != batch.column(0).to_numpy()[None, :]
-                total += near @ batch.column(2).to_numpy()
+            for lo in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(lo, BLOCK)
+                near = queries @ _unit(part.column(1), size).T >= least
+                near &= rows[:, None] != part.column(0).to_numpy()[None, :]
+                total += near @ part.column(2).to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(total)], names=["row_no", "n"])
 
     # the sample's size bounds what is broadcast with the function and what comes back
     true = points.select("row_no", "unit", "copies").mapInArrow(count, "row_no long, n long")
     true = true.groupBy("row_no").agg(F.sum("n").alias("true"))
     both = true.join(counts.select("row_no", F.col("n").alias("found")), "row_no", "left")
-    total = both.agg(F.sum("true").alias("true"), F.sum(F.least("true", F.coalesce("found", F.lit(0)))).alias("found")).first()
-    return total.found / total.true if total.true else 1.0
+    share = F.least("true", F.coalesce("found", F.lit(0))) / F.col("true")
+    return both.where(F.col("true") > 0).agg(F.coalesce(F.avg(share), F.lit(1.0)).alias("recall")).first().recall
 
 
 def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFrame, DataFrame]:
@@ -291,10 +323,13 @@ def _links(points: DataFrame, size: int, n: int, least: float) -> tuple[DataFram
             .agg(F.sum("copies").alias("n"))
         )
         counts = materialise(counted.unionByName(listed), "nn-counts")
-        recall = audit(points, counts, size, least)
+        outside = points.join(inside, F.col("row_no") == F.col("node"), "left_anti")
+        recall = min(audit(points, counts, size, least), audit(points, counts, size, least, among=outside))
         logging.getLogger(__name__).info("recall after %d rounds: %.4f", turn, recall)
         if recall >= RECALL:
             break
+    else:
+        links, counts = all_pairs(points, size, n, least)
     work.drop()
     return links, counts
 

@@ -138,3 +138,23 @@ def test_trees_follow_their_depth():
     assert neighbours.tree_count(1000) == neighbours.TREES
     same = (1 - np.arccos(0.9) / np.pi) ** 17
     assert 1 - (1 - same) ** (neighbours.tree_count(3_000_000) * (neighbours.ROUNDS + 1)) >= neighbours.RECALL
+
+
+def test_short_rounds_end_in_comparing_all(spark, monkeypatch):
+    for name, value in {"LEAF": 4, "TREES": 1, "ROUNDS": 1, "MOST_ROUNDS": 1, "RECALL": 0.99999, "BLOCK": 100}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    monkeypatch.setattr(neighbours, "tree_count", lambda n: 1, raising=False)
+    rows = crowd()
+    got = neighbours.near_vectors(frame(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted(brute(rows))
+
+
+def test_audit_counts_vectors_alike(spark):
+    # a group of 200 that is found, ten pairs that are not
+    rows = [(i, [1.0, 0.0], 1) for i in range(200)]
+    rows += [(200 + i, [0.0] * (2 + i // 2) + [1.0] + [0.0] * (9 - i // 2), 1) for i in range(20)]
+    rows = [(i, u + [0.0] * (12 - len(u)), c) for i, u, c in rows]
+    points = spark.createDataFrame(rows, "row_no long, unit array<double>, copies long")
+    counts = spark.createDataFrame([(i, 199) for i in range(200)], "row_no long, n long")
+    assert neighbours.audit(points, counts, 12) == pytest.approx(200 / 220)
+    assert neighbours.audit(points, counts, 12, among=points.where("row_no >= 200")) == 0
