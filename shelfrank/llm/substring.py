@@ -138,29 +138,46 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nth, first, n = (found.field(k).to_numpy() for k in range(3))
             order = np.argsort(nth)
             nth, first, n = nth[order], first[order], n[order]
+            own = first == row_no
+            far = np.maximum.accumulate(word_stop[nth])
             opens = np.ones(len(nth), dtype=bool)
-            opens[1:] = word[nth[1:]] > np.maximum.accumulate(word_stop[nth])[:-1]
+            opens[1:] = word[nth[1:]] > far[:-1]
+            stretch = np.cumsum(opens)
             cut = np.flatnonzero(opens)
-            last = np.maximum.reduceat(word_stop[nth], cut)
-            ends = np.maximum.reduceat(stop[nth], cut)
-            kept = np.logical_and.reduceat(first == row_no, cut)
-            most = np.maximum.reduceat(n, cut)
-            for i, c in enumerate(cut):
-                begin = nth[c]
-                out.append((row_no, start[begin], ends[i], int(last[i]) - int(word[begin]), most[i], first[c], kept[i]))
-        names = ["row_no", "start", "stop", "n_words", "n_places", "first_row", "kept"]
-        kinds = [pa.int64()] * 6 + [pa.bool_()]
-        columns = zip(*out, strict=True) if out else [[]] * 7
+            size = (np.maximum.reduceat(word_stop[nth], cut) - word[nth[cut]])[stretch - 1]
+            # within a stretch, chunks that stand here first and those that do not take turns: what the first ones cover
+            # stays, and the others have the rest
+            opens[1:] |= own[1:] != own[:-1]
+            cut = np.flatnonzero(opens)
+            ends = np.append(cut[1:], len(nth))
+            parts = [
+                (own[c], stretch[c], start[nth[c]], stop[nth[c:e]].max(), word[nth[c]], word_stop[nth[c:e]].max(), n[c:e].max(), first[c], size[c])
+                for c, e in zip(cut, ends, strict=True)
+            ]
+            for i, (keeps, group, begin, end, w, w_end, most, head, whole) in enumerate(parts):
+                if not keeps:
+                    after = i > 0 and parts[i - 1][1] == group
+                    if after:
+                        begin, w = max(begin, parts[i - 1][3]), max(w, parts[i - 1][5])
+                    if i + 1 < len(parts) and parts[i + 1][1] == group and parts[i + 1][2] <= end + 1:
+                        # a blank stays between what is left on both sides
+                        end, w_end = parts[i + 1][2] - after, min(w_end, parts[i + 1][4])
+                if w < w_end:
+                    out.append((row_no, begin, end, w_end - w, most, head, keeps, whole))
+        names = ["row_no", "start", "stop", "n_words", "n_places", "first_row", "kept", "whole"]
+        kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64()]
+        columns = zip(*out, strict=True) if out else [[]] * 8
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per repeated passage and place: ``doc_id, start, stop, n_words, n_places, first_doc_id, kept, row_no``.
 
-    A passage is a stretch of at least ``least_words`` words covered by chunks that each stand in another row too;
-    ``start`` and ``stop`` are bytes of the UTF-8 text. ``n_places`` counts the places of the most frequent of its
+    A passage is a stretch of at least ``least_words`` words covered by chunks that each stand in another row too, or the
+    parts of one that this row has first (of as many words themselves, else they just stay) and that it has not; ``start`` and ``stop`` are bytes of the UTF-8 text. ``n_places`` counts the places of the most frequent of its
     chunks, ``first_doc_id`` is the document of the earliest row that has the passage's first chunk, and ``kept`` is
-    true where this row is the earliest for all its chunks, so the others can go. Rows that repeat a doc_id are
+    true where this row is the earliest for all its chunks. Others have nothing of those, so they can go and every chunk
+    still stands where it was first. Rows that repeat a doc_id are
     different places. Texts that are null, empty or shorter have no passages; a null doc_id is returned as such; an
     empty table gives an empty table; further columns are ignored.
     """
@@ -183,9 +200,10 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
         places.drop("found_no")
         .mapInArrow(
             _stretches,
-            "row_no long, start long, stop long, n_words long, n_places long, first_row long, kept boolean",
+            "row_no long, start long, stop long, n_words long, n_places long, first_row long, kept boolean, whole long",
         )
-        .where(F.col("n_words") >= least_words)
+        .where(F.col("whole") >= least_words)
+        .where(~F.col("kept") | (F.col("n_words") >= least_words))
     )
     ids = table.select("row_no", "doc_id")
     return (

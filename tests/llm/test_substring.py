@@ -103,3 +103,29 @@ def test_passages_are_cut_out(spark):
             assert passages[i // 4 % 2] not in texts[i] and len(texts[i].split()) >= 80
     assert sum(p in t for t in texts.values() for p in passages) == 2
     assert np.mean([len(t.split()) for t in texts.values()]) < 90
+
+
+def test_every_chunk_keeps_its_first_place(spark):
+    own = [prose(50 + i, 40, 9999) for i in range(9)]
+    a, b, c, d = (prose(2000 + k, 60, 9999) for k in range(4))
+    late = " ".join(d.split()[:40])
+    rows = [
+        (0, f"{own[0]} {b} {d}"),
+        (1, f"{own[1]} {a} {b} {own[2]}"),
+        (2, f"{a} {own[3]}"),
+        (3, f"{own[4]} {b} {c} {late} {own[5]}"),
+        (4, f"{own[6]} {c} {a}"),
+        (5, f"{' '.join(c.split()[30:])} {own[7]}"),
+        (6, f"{own[8]} {b} {c} {b} {a}"),
+    ]
+    docs = frame(spark, rows).coalesce(1)
+    left = {r.doc_id: r.text for r in substring.remove_passages(docs, substring.repeated_passages(docs)).collect()}
+    holders = {}
+    for i, text in rows:
+        for lo, hi in cuts(text):
+            holders.setdefault(text.encode()[lo:hi].decode(), set()).add(i)
+    shared = [piece for piece, where in holders.items() if len(where) > 1]
+    assert len(shared) > 30 and [p for p in shared if not any(p in text for text in left.values())] == []
+    assert a in left[1] and c in left[3] and b in left[0]
+    assert sum(len(text.split()) for text in left.values()) < 800
+    assert all(set(left[i].split()) <= set(text.split()) for i, text in rows)
