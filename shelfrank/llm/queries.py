@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, jaccard, licenses, mixing, neighbours, packing, quality, substring, toxicity, warc
+from shelfrank.llm import exact, importance, jaccard, licenses, mixing, neighbours, packing, quality, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.draw(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
@@ -190,4 +196,46 @@ ORACLES: dict[str, str] = {
                row_number() OVER best = 1 AS kept, sha AS text_sha256
         FROM rows WINDOW best AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
     """,
+    "op13_importance_resampling": r"""
+        WITH RECURSIVE bytes AS (
+          SELECT 0 AS step, b, b::BIGINT AS c FROM range(256) t(b)
+          UNION ALL
+          SELECT step + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bytes WHERE step < 8),
+        crcs AS (SELECT list(c ORDER BY b) AS tab FROM bytes WHERE step = 8),
+        texts AS (
+          SELECT true AS own, row_number() OVER () AS row_no, doc_id, text FROM documents
+          UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
+        words AS (
+          SELECT own, row_no, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+        features AS (
+          SELECT own, row_no, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+          FROM words),
+        hexes AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+        hashed AS (
+          SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT],
+                     list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+                     lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+          FROM hexes, crcs),
+        counted AS (
+          SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+          FROM features JOIN hashed USING (f) GROUP BY bucket),
+        gains AS (
+          SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                   / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM counted),
+        weights AS (
+          SELECT row_no, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+          FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE own GROUP BY row_no),
+        scored AS (
+          SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, len(w) >= 20 AS able,
+                 (coalesce(weight, 0) + floor(-1000 * ln(-ln((
+                   ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+          FROM words LEFT JOIN weights USING (row_no) WHERE own)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN able AND place <= 25 * n // 100 THEN place END::BIGINT AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST) AS place,
+                     count(*) OVER (PARTITION BY able) AS n FROM scored)
+    """,
 }
