@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, importance, jaccard, licenses, mixing, neighbours, packing, quality, substring, toxicity, warc
+from shelfrank.llm import exact, importance, jaccard, licenses, mixing, neighbours, packing, quality, repair, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,27 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns of which some are lost, emptied, cut short, said twice or given to the user, by a hash of conversation and turn.
+
+    A null conversation or turn counts as one space in the hash; a null role or text is one space."""
+    blank = F.lit(" ")
+    fault = F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    return conversations.where(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations")
+    return repair.digests(repair.repair(damaged(conversations), conversations))
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     drawn = importance.draw(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -82,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -196,6 +218,79 @@ ORACLES: dict[str, str] = {
                row_number() OVER best = 1 AS kept, sha AS text_sha256
         FROM rows WINDOW best AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
     """,
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE bytes AS (
+          SELECT 0 AS step, b, b::BIGINT AS c FROM range(256) t(b)
+          UNION ALL
+          SELECT step + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bytes WHERE step < 8),
+        crcs AS (SELECT list(c ORDER BY b) AS tab FROM bytes WHERE step = 8),
+        hexes AS (
+          SELECT *, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations),
+        faults AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 xor(list_reduce(list_concat([4294967295::BIGINT],
+                   list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+          FROM hexes, crcs),
+        damaged AS (
+          SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                 CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+          FROM faults WHERE fault <> 0),
+        placed AS (
+          SELECT *, row_number() OVER same AS i, substr(role, 1, 1) AS initial,
+                 lag(substr(role, 1, 1)) OVER same AS initial_before,
+                 row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+          FROM damaged WINDOW same AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(role || chr(0) || text), copy)),
+        coded AS (
+          SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+                         WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS kind
+          FROM placed),
+        counted AS (
+          SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'duplicate') AS duplicate,
+                 count(*) FILTER (kind = 'truncated') AS truncated,
+                 count(*) FILTER (initial_before || initial NOT IN ('su', 'ua', 'au')
+                                  OR i > 1 AND (initial = '' OR initial_before = '')) AS illegal
+          FROM coded GROUP BY conv_id),
+        known AS (SELECT d.conv_id, coalesce(n, 0) AS n FROM (SELECT DISTINCT conv_id FROM conversations) d
+                  LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id),
+        inserts(q, p, c, a, line) AS (
+          VALUES (0, 0, 0, '', NULL), (1, 1, 0, '', NULL), (2, 2, 0, '', NULL), (3, 3, 0, '', NULL),
+                 (0, 2, 5, 'I', 'user:'), (1, 2, 5, 'I', 'user:'), (3, 2, 5, 'I', 'user:'), (2, 3, 5, 'I', 'assistant:')),
+        edits(p, q, c, a, initial, role) AS (
+          VALUES (0, 0, 2, 'D', NULL, NULL), (1, 1, 2, 'D', NULL, NULL), (2, 2, 2, 'D', NULL, NULL), (3, 3, 2, 'D', NULL, NULL),
+                 (0, 1, 0, 'K', 's', NULL), (0, 2, 0, 'K', 'u', NULL), (1, 2, 0, 'K', 'u', NULL), (3, 2, 0, 'K', 'u', NULL),
+                 (2, 3, 0, 'K', 'a', NULL), (0, 2, 1, 'R', NULL, 'user'), (1, 2, 1, 'R', NULL, 'user'),
+                 (3, 2, 1, 'R', NULL, 'user'), (2, 3, 1, 'R', NULL, 'assistant')),
+        tails(q, c, a, lines) AS (
+          VALUES (0, 0, '', []), (3, 0, '', []), (2, 5, 'I', ['assistant:']), (1, 10, 'II', ['user:', 'assistant:'])),
+        best AS (
+          SELECT conv_id, n, 0::BIGINT AS i, 0 AS q, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM known
+          UNION ALL
+          SELECT conv_id, n, i, q, cost, audit, lines FROM (
+            SELECT b.conv_id, b.n, r.i, e.q,
+                   b.cost + s.c + e.c + CASE WHEN e.a <> 'D' AND r.kind = 'truncated' THEN 5 ELSE 0 END AS cost,
+                   b.audit || s.a || e.a AS audit,
+                   list_concat(b.lines, CASE WHEN s.a = '' THEN [] ELSE [s.line] END,
+                               CASE WHEN e.a = 'D' THEN [] ELSE [coalesce(e.role, r.role) || ':' || r.text] END) AS lines,
+                   row_number() OVER (PARTITION BY b.conv_id, e.q
+                     ORDER BY b.cost + s.c + e.c + CASE WHEN e.a <> 'D' AND r.kind = 'truncated' THEN 5 ELSE 0 END,
+                              b.audit || s.a || e.a) AS place
+            FROM best b JOIN coded r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+            JOIN inserts s ON s.q = b.q
+            JOIN edits e ON e.p = s.p AND (e.initial IS NULL OR e.initial = r.initial)
+                        AND (e.a = 'D' OR r.kind NOT IN ('blank', 'duplicate')))
+          WHERE place = 1),
+        ended AS (
+          SELECT b.conv_id, b.cost + t.c AS cost, b.audit || t.a AS audit, list_concat(b.lines, t.lines) AS lines,
+                 row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + t.c, b.audit || t.a) AS place
+          FROM best b JOIN tails t USING (q) WHERE i = n)
+        SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost::BIGINT AS cost, audit,
+               sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+        FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE place = 1
+    """,
     "op13_importance_resampling": r"""
         WITH RECURSIVE bytes AS (
           SELECT 0 AS step, b, b::BIGINT AS c FROM range(256) t(b)
