@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import exact, importance, jaccard, licenses, mixing, neighbours, packing, quality, repair, substring, toxicity, warc
+from shelfrank.llm import exact, importance, jaccard, licenses, mixing, neighbours, packing, pii, quality, repair, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.digests(repair.repair(damaged(conversations), conversations))
 
 
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pii.digests(pii.find_spans(docs, pii.fit(docs)))
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     drawn = importance.draw(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_pii": op12_pii,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
