@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from shelfrank.session import materialise
 
 MIN_SLICES, MAX_SLICES = 64, 10_000
 
@@ -100,13 +101,40 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     )
 
 
-def _seconds(df: DataFrame, time: str) -> Column:
-    """A number that never falls as ``time`` rises, in any session time zone."""
-    ts = F.col(time)
-    if isinstance(df.schema[time].dataType, T.TimestampNTZType):
-        days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
-        return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.unix_seconds(ts.cast("timestamp"))
+def prefix_scan(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    value: str | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """Add ``name``: the running sum of ``value`` (None counts rows) inside each group by ``order``, own row included.
+
+    Rows are dealt out by ranges of (group, order) and not by group, so a group with a third of all rows, or a group all of
+    whose rows agree in the first columns of the order, is summed by many tasks: only rows that agree in all columns of
+    group and order stay together, and those are interchangeable. What a group holds in the ranges before is added last;
+    no more groups than there are ranges begin before their range, so those offsets are few. Nulls are values of their own
+    and come first. ``parts`` is the number of ranges; None leaves it to the session and to adaptive execution.
+    """
+    keys = [*group, *order]
+    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    # stored, so that sums and rows see the same ranges
+    at = F.monotonically_increasing_id()
+    stored = materialise(ranged.sortWithinPartitions(*keys).withColumn("_at", at), "ranges")
+    # the upper bits of the id number the range
+    stored = stored.withColumn("_range", F.shiftright("_at", 33))
+    one = F.lit(1).cast("long") if value is None else F.col(value)
+    sums = stored.groupBy(*group, "_range").agg(F.sum(one).alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(*group).orderBy("_range")) - F.col("_sum")
+    offsets = sums.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(group)], F.col("_range").alias("_r"), before.alias("_ahead"))
+    inside = Window.partitionBy("_range", *group).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = stored.withColumn(name, F.sum(one).over(inside))
+    same = F.col("_range") == F.col("_r")
+    for n, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{n}"))
+    joined = local.join(F.broadcast(offsets.where(F.col("_ahead") != 0)), same, "left")
+    return joined.select(*df.columns, (F.col(name) + F.coalesce("_ahead", F.lit(0))).alias(name))
 
 
 def running_number(
@@ -117,26 +145,8 @@ def running_number(
     name: str,
     slices: int | None = None,
 ) -> DataFrame:
-    """1-based position of each row inside its group by (``time``, ``ties``).
-
-    The group is cut along time, so that a group with a third of all rows is numbered by many
-    tasks; a slice holds about one shuffle partition's share of the table.
-    """
-    group = list(group)
-    seconds = _seconds(df, time)
-    (bounds,) = slice_bounds(df.select(seconds.alias("_at")), ["_at"], slices)
-    sliced = with_slice(df, seconds, bounds)
-    sizes = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_size"))
-    ahead = Window.partitionBy(*group).orderBy("_slice")
-    offsets = sizes.select(
-        *group, "_slice", (F.sum("_size").over(ahead) - F.col("_size")).alias("_shift")
-    )
-    inside = Window.partitionBy(*group, "_slice").orderBy(time, *ties)
-    return (
-        sliced.join(offsets, [*group, "_slice"])
-        .withColumn(name, F.row_number().over(inside) + F.col("_shift"))
-        .drop("_slice", "_shift")
-    )
+    """1-based position of each row inside its group by (``time``, ``ties``), cut across equal times as well."""
+    return prefix_scan(df, group, [time, *ties], name, parts=slices)
 
 
 def dense_keys(df: DataFrame, natural_key: str, name: str) -> DataFrame:

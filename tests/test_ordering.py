@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 from helpers import plan
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from shelfrank.functions import ordering
 
@@ -60,6 +62,39 @@ def test_running_number_of_a_hot_group(spark, kind):
     assert {r["id"]: r["nth"] for r in got.collect()} == dict(zip(frame["id"], frame["nth"]))
 
 
+def test_running_number_of_one_group_with_one_time(spark):
+    """All rows agree in group and time; the ties alone cut them, and no task has more than a slice."""
+    at = dt.datetime(2024, 1, 1)
+    df = spark.range(4000).selectExpr("7L AS g", f"timestamp_ntz'{at}' AS ts", "pmod(id * 37, 4000) AS id")
+    got = ordering.running_number(df, ["g"], "ts", ["id"], "nth", slices=16)
+    assert [(r["id"], r["nth"]) for r in got.orderBy("id").collect()] == [(n, n + 1) for n in range(4000)]
+    sizes = [r["count"] for r in df.repartitionByRange(16, "g", "ts", "id").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 600
+    text = plan(got)
+    assert "Window" in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("parts", [None, 1, 7, 64])
+def test_prefix_scan_equals_the_window(spark, parts):
+    rng = np.random.default_rng(4)
+    rows = [
+        (
+            None if n % 11 == 0 else "hot" if n % 3 else f"g{rng.integers(20)}",
+            None if n % 13 == 0 else int(rng.integers(5)),
+            n,
+            int(rng.integers(-3, 9)),
+        )
+        for n in range(1500)
+    ]
+    df = spark.createDataFrame(rows, "g string, t long, id long, v long")
+    window = Window.partitionBy("g").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("total", F.sum("v").over(window)).collect()
+    got = ordering.prefix_scan(df, ["g"], ["t", "id"], "total", "v", parts).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    none = ordering.prefix_scan(df.where("false"), ["g"], ["t", "id"], "total", "v", parts)
+    assert none.count() == 0 and none.columns == [*df.columns, "total"]
+
+
 def test_dense_keys_number_distinct_values_once(spark):
     df = spark.createDataFrame([(f"name{n % 700}",) for n in range(1500)], "name string")
     got = ordering.dense_keys(df, "name", "key").collect()
