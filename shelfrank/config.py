@@ -28,13 +28,11 @@ class BprConfig:
     num_negatives: int = 1
     num_candidates: int = 50
     seed: int = 42
-    # How users and books are cut into blocks; the caller raises them for larger data.
-    user_blocks: int = 8
-    item_blocks: int = 1
+    # How users and books are cut into blocks (book blocks are one or an even number); None follows the data.
+    user_blocks: int | None = None
+    item_blocks: int | None = None
     batch_size: int = 256
     weighted: bool = False
-    # Largest step one merged factor row may take in an epoch.
-    max_step_norm: float = 1.0
 
 
 @dataclass(frozen=True)
