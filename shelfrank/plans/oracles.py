@@ -143,6 +143,11 @@ PARTS: dict[str, str] = {
             AND order_date >= TIMESTAMP '2024-01-16' AND order_date < TIMESTAMP '2024-02-01'
         UNION SELECT buyer_id, book_id FROM all_reviews WHERE score >= 4
             AND snapshot_date >= TIMESTAMP '2024-01-16' AND snapshot_date < TIMESTAMP '2024-02-01'""",
+    "halved": "SELECT user_id, book_id FROM scores WHERE user_id % 2 = book_id % 2",
+    "halved_later": """
+        SELECT user_id, book_id FROM truth WHERE user_id % 2 = book_id % 2
+            AND book_id IN (SELECT book_id FROM halved) AND user_id IN (SELECT user_id FROM halved)
+        EXCEPT SELECT user_id, book_id FROM halved""",
     "all_sales": """
         SELECT l_partkey AS book_id, o_custkey AS buyer_id, o_orderdate + INTERVAL 8218 DAY AS order_date,
                CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'pending' END AS item_status
@@ -412,6 +417,14 @@ BODIES: dict[str, str] = {
     "bpr_factors": """
         SELECT DISTINCT 'user' AS kind, user_id AS id, CAST(64 AS BIGINT) AS n_factors, true AS is_finite FROM kept
         UNION ALL SELECT DISTINCT 'item', book_id, 64, true FROM kept""",
+    "bpr_ranking": """
+        SELECT 'learnt' AS pairs, count(*) AS n_pairs, 'PASS' AS status FROM halved
+        WHERE book_id + 1 IN (SELECT book_id FROM halved)
+        UNION ALL SELECT 'later', count(*), 'PASS' FROM halved_later WHERE book_id + 1 IN (SELECT book_id FROM halved)""",
+    "als_ranking": """
+        SELECT 'learnt' AS pairs, count(*) AS n_pairs, 'PASS' AS status FROM halved
+        WHERE book_id + 1 IN (SELECT book_id FROM halved)
+        UNION ALL SELECT 'later', count(*), 'PASS' FROM halved_later WHERE book_id + 1 IN (SELECT book_id FROM halved)""",
     "candidate_lists": """
         SELECT user_id, string_agg(CAST(book_id AS VARCHAR), ',' ORDER BY rank) AS books FROM cands GROUP BY user_id""",
     "candidate_quality": """
@@ -530,6 +543,8 @@ TRAIN_KEYS = {
     "mrr",
     "metric_report",
     "stale_users",
+    "bpr_ranking",
+    "als_ranking",
 }
 
 

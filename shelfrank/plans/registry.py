@@ -619,6 +619,50 @@ def factor_check(users: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+# Share of pairs in the right order from which a trained model passes.
+LEAST_AUC = 0.9
+
+
+def halved(pairs: DataFrame) -> DataFrame:
+    """Pairs of a planted taste: users with an even id keep books with an even id, others the odd ones."""
+    return pairs.where(F.col("user_id") % 2 == F.col("book_id") % 2)
+
+
+def ranking_check(t: Retail, train: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Whether factors learnt before the cut order books as the planted taste does, and better than popularity.
+
+    A pair is a book that the user took and the book with the next id, which is of the other half: pairs that were learnt
+    from, and pairs of the days after the cut whose user and books were seen before it.
+    """
+    known = materialise(halved(train_scores(t)).select("user_id", "book_id", "interaction_score"), "halved")
+    users, items = (materialise(f, "halved-factors") for f in train(known))
+    counts = materialise(interactions.book_counts(known), "halved-counts")
+    next_to = counts.select((F.col("book_id") - 1).alias("book_id"))
+    later = halved(truth(t)).join(known, ["user_id", "book_id"], "left_anti")
+    later = later.join(counts, "book_id", "left_semi").join(known.select("user_id").distinct(), "user_id", "left_semi")
+
+    def judged(name: str, pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select("user_id", "book_id").join(next_to, "book_id", "left_semi")
+        pairs = materialise(pairs.withColumn("other_id", F.col("book_id") + 1), "halved-pairs")
+        found = evaluate.order_auc(pairs, users, items, counts)
+        good = (F.col("factor_auc") >= LEAST_AUC) & (F.col("factor_auc") > F.col("popularity_auc"))
+        return found.select(
+            F.lit(name).alias("pairs"), "n_pairs", F.when(good, "PASS").otherwise("FAIL").alias("status")
+        )
+
+    return judged("learnt", known).unionByName(judged("later", later))
+
+
+@query
+def bpr_ranking(t: Retail) -> DataFrame:
+    return ranking_check(t, lambda pairs: factorization.train_bpr(pairs, BprConfig(factors=16)))
+
+
+@query
+def als_ranking(t: Retail) -> DataFrame:
+    return ranking_check(t, lambda pairs: factorization.train_als(pairs, AlsConfig(rank=16)))
+
+
 @query
 def als_candidates(t: Retail) -> DataFrame:
     kept = stored_kept(t)
