@@ -148,6 +148,9 @@ PARTS: dict[str, str] = {
         SELECT user_id, book_id FROM truth WHERE user_id % 2 = book_id % 2
             AND book_id IN (SELECT book_id FROM halved) AND user_id IN (SELECT user_id FROM halved)
         EXCEPT SELECT user_id, book_id FROM halved""",
+    "all_changes": """
+        SELECT buyer_id AS user_id, order_date AS event_ts FROM all_sales WHERE item_status = 'completed'
+        UNION ALL SELECT buyer_id, snapshot_date FROM all_reviews""",
     "all_sales": """
         SELECT l_partkey AS book_id, o_custkey AS buyer_id, o_orderdate + INTERVAL 8218 DAY AS order_date,
                CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'pending' END AS item_status
@@ -503,6 +506,15 @@ BODIES: dict[str, str] = {
                 '[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')), ''), 'Unknown') AS c
             FROM documents)""",
     "snapshot_valid": "SELECT * FROM stored WHERE expires_at > TIMESTAMP '2024-01-31 12:00:00' AND model_version = 1",
+    "snapshot_store": """
+        SELECT user_id, book_id, rank,
+               CASE WHEN stale THEN TIMESTAMP '2024-01-31 12:00:00' ELSE TIMESTAMP '2024-01-16' END AS generated_at
+        FROM (SELECT *, user_id IN (SELECT user_id FROM all_changes WHERE event_ts > TIMESTAMP '2024-01-16') AS stale FROM cands)
+        WHERE user_id % 7 <> 3 AND rank <= CASE WHEN stale THEN 5 ELSE 10 END""",
+    "stale_lists": """
+        SELECT DISTINCT user_id, TIMESTAMP '2024-01-16' AS generated_at, CAST(1 AS BIGINT) AS n_marks FROM events
+        WHERE event_type IN ('purchase', 'view') AND ts > TIMESTAMP '2024-01-16' AND ts < TIMESTAMP '2024-01-26'
+            AND user_id IN (SELECT user_id FROM scores)""",
     "changed_users": """
         SELECT user_id, max(ts) AS last_event FROM events WHERE event_type IN ('purchase', 'view') GROUP BY user_id""",
     "daily_volume": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events FROM events GROUP BY CAST(ts AS DATE) HAVING count(*) >= 340",
@@ -545,6 +557,7 @@ TRAIN_KEYS = {
     "stale_users",
     "bpr_ranking",
     "als_ranking",
+    "stale_lists",
 }
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.config import AlsConfig, BprConfig, ColdStartConfig, DecayConfig
+from shelfrank.config import AlsConfig, BprConfig, CacheConfig, ColdStartConfig, DecayConfig
 from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import clean_text
 from shelfrank.operators import (
@@ -31,6 +31,7 @@ from shelfrank.session import fresh_path, materialise
 from shelfrank.sources import tables
 from shelfrank.sources.retail import Retail
 from shelfrank.streaming import freshness
+from shelfrank.streaming.store import SnapshotStore
 
 AS_OF = dt.date(2024, 2, 1)
 # Events before this day train, later ones test.
@@ -893,6 +894,25 @@ def stale_users(t: Retail) -> DataFrame:
     return freshness.stale_users(lists, freshness.invalidating_events(t.fact_sales, t.fact_reviews))
 
 
+@query
+def snapshot_store(t: Retail) -> DataFrame:
+    """Lists of ten made at the cut, published; stale users' lists replaced by new ones of five, some users withdrawn."""
+    listed = materialise(candidates_of(t, stored_scores(t)).where(F.col("rank") <= 10), "candidates")
+    listed = as_ranked(listed).select("user_id", "book_id", "rank")
+    store = SnapshotStore(t.spark, fresh_path(t.spark, "snapshot-store"))
+    store.publish(freshness.build_snapshot(listed, F.lit(CUT).cast("timestamp_ntz"), MODEL_VERSION))
+    events = freshness.invalidating_events(t.fact_sales, t.fact_reviews)
+    stale = materialise(freshness.stale_users(store.read(), events), "stale-users")
+    again = listed.where(F.col("rank") <= 5).join(stale, "user_id", "left_semi")
+    now = F.lit(SNAPSHOT_TIME.isoformat(sep=" ")).cast("timestamp_ntz")
+    store.replace(freshness.build_snapshot(again, now, MODEL_VERSION), stale)
+    gone = listed.where(F.col("user_id") % 7 == 3)
+    store.replace(store.read().where("false"), gone)
+    store.compact()
+    store.vacuum(1)
+    return store.read().select("user_id", "book_id", long("rank"), "generated_at")
+
+
 def stream(t: Retail) -> DataFrame:
     return freshness.event_stream(t.spark, t.folder, "events.parquet")
 
@@ -903,6 +923,16 @@ def changed_users(t: Retail) -> DataFrame:
     return marks.withColumn("last_event", F.col("last_event").cast("timestamp_ntz"))
 
 
+@query
+def stale_lists(t: Retail) -> DataFrame:
+    """Lists made at the cut that an event makes stale within ten days, marked once, though every event comes twice."""
+    made = F.lit(CUT).cast("timestamp_ntz")
+    lists = freshness.build_snapshot(train_scores(t), made, MODEL_VERSION, CacheConfig(ttl_seconds=10 * 86400))
+    replayed = stream(t).unionByName(stream(t))
+    marks = freshness.stale_lists(replayed, materialise(lists, "lists"), STREAM_DELAY)
+    return marks.withColumn("generated_at", F.col("generated_at").cast("timestamp_ntz"))
+
+
 @query
 def daily_volume(t: Retail) -> DataFrame:
     volume = freshness.daily_volume(stream(t), STREAM_DELAY)

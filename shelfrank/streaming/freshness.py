@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from shelfrank.config import CacheConfig, DecayConfig
 from shelfrank.functions.scalars import age_in_months
 from shelfrank.operators.interactions import completed
 from shelfrank.session import fresh_path
+from shelfrank.streaming.store import SumStore
 
 DEFAULTS = CacheConfig()
 # Keeps streaming state on the executors' disks, so it may outgrow their memory.
@@ -80,28 +83,15 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", f
     )
 
 
-def run_available(
-    stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame], mode: str = "append"
-) -> DataFrame:
-    """Process what is there and return the sink as (batch_id, ...).
-
-    Each micro-batch overwrites its own folder, so a batch that is repeated after a failure replaces
-    its rows and never doubles them.
-    """
+def run_into(stream: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Process what is there, batch by batch, with state on the executors' disks."""
     spark = stream.sparkSession
-    sink, progress = fresh_path(spark, name), fresh_path(spark, f"{name}-progress")
-    schema = per_batch(stream).schema
-    spark.createDataFrame([], schema).write.parquet(f"{sink}/batch_id=-1")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, DISK_STATE_STORE)
     try:
         running = (
             stream.writeStream.outputMode(mode)
-            .option("checkpointLocation", progress)
+            .option("checkpointLocation", fresh_path(spark, f"{name}-progress"))
             .foreachBatch(write)
             .trigger(availableNow=True)
             .start()
@@ -109,6 +99,23 @@ def run_available(
     finally:
         spark.conf.set(STATE_STORE, before)
     running.awaitTermination()
+
+
+def run_available(
+    stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame], mode: str = "append"
+) -> DataFrame:
+    """Process what is there and return the sink as (batch_id, ...).
+
+    Each micro-batch overwrites its own folder, so a batch that is repeated after a failure replaces
+    its rows and never doubles them.
+    """
+    spark = stream.sparkSession
+    sink = fresh_path(spark, name)
+    schema = per_batch(stream).schema
+    spark.createDataFrame([], schema).write.parquet(f"{sink}/batch_id=-1")
+    run_into(
+        stream, name, lambda batch, n: per_batch(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={n}"), mode
+    )
     return spark.read.schema(f"{schema_ddl(schema)}, batch_id BIGINT").parquet(sink)
 
 
@@ -153,6 +160,49 @@ def changed_users(stream: DataFrame, event_types: tuple[str, ...] = ("purchase",
     return marks.groupBy("user_id").agg(F.max("last_event").alias("last_event"))
 
 
+def stale_marks(
+    stream: DataFrame, lists: DataFrame, delay: str = "1 day", event_types: tuple[str, ...] = ("purchase", "view")
+) -> DataFrame:
+    """A stream of (user_id, generated_at): each stored list that an event makes stale, once.
+
+    ``stream`` has event_id, ts, user_id, event_type; ``lists`` is a stored snapshot with generated_at and expires_at, of
+    which each batch joins the users' newest list. An event counts if it happened after the list was made and before it
+    expires, however late within ``delay`` and however often it comes. The state of a list is one mark, forgotten when the
+    watermark has passed its expiry, so it is bounded by the lists that are alive.
+    """
+    made = lists.groupBy("user_id").agg(F.max(F.struct("generated_at", "expires_at")).alias("list"))
+    made = made.select("user_id", *[F.col(f"list.{c}").cast("timestamp").alias(c) for c in ("generated_at", "expires_at")])
+    hit = (
+        stream.withWatermark("ts", delay)
+        .where(F.col("event_type").isin(*event_types))
+        .join(made, "user_id")
+        .where((F.col("ts") > F.col("generated_at")) & (F.col("ts") < F.col("expires_at")))
+        .select("user_id", "generated_at", "expires_at", "ts")
+    )
+    return hit.groupBy("user_id", "generated_at").applyInPandasWithState(
+        _mark_once, "user_id bigint, generated_at timestamp", "marked boolean", "append", "EventTimeTimeout"
+    )
+
+
+def _mark_once(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The key the first time that it has rows; its mark goes when no row of it can come any more."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    until = max(batch["expires_at"].max() for batch in rows)
+    if not state.exists:
+        state.update((True,))
+        yield pd.DataFrame({"user_id": [key[0]], "generated_at": [key[1]]})
+    # rows before the watermark are dropped, and none behind the expiry counts
+    state.setTimeoutTimestamp(max(int(until.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+
+
+def stale_lists(stream: DataFrame, lists: DataFrame, delay: str = "1 day") -> DataFrame:
+    """(user_id, generated_at, n_marks) of what is there: every stale list with the number of times it was marked."""
+    marks = run_available(stale_marks(stream, lists, delay), "stale-lists", lambda b: b)
+    return marks.groupBy("user_id", "generated_at").agg(F.count("*").alias("n_marks"))
+
+
 def forward_sums(
     scored: DataFrame, cfg: DecayConfig = DecayConfig(), origin: dt.date = DEFAULTS.decay_origin
 ) -> DataFrame:
@@ -184,15 +234,25 @@ def running_scores(
 ) -> DataFrame:
     """Decayed scores from streams of (user_id, book_id, event_ts, base_score) rows.
 
-    A batch writes its partial sums and keeps no state; reading adds them up, because decay to a
-    later day is one common factor.
+    A batch adds its partial sums to a store that merges them level by level and keeps no state; reading adds few runs up,
+    because decay to a later day is one common factor.
     """
-    parts = [
-        run_available(s, "forward-decay", lambda b: forward_sums(b, cfg)).drop("batch_id") for s in streams
-    ]
+    parts = []
+    for stream in streams:
+        store = forward_store(stream.sparkSession, fresh_path(stream.sparkSession, "forward-sums"))
+        run_into(stream, "forward-decay", lambda batch, n, store=store: store.add(forward_sums(batch, cfg), n))
+        found = store.read()
+        parts += [found] if found is not None else []
+    if not parts:
+        return read_forward(forward_sums(streams[0].sparkSession.createDataFrame([], streams[0].schema), cfg), as_of, cfg)
     return read_forward(reduce(DataFrame.unionByName, parts), as_of, cfg)
 
 
+def forward_store(spark: SparkSession, root: str) -> SumStore:
+    """Partial forward sums per user, book and event day."""
+    return SumStore(spark, root, ["user_id", "book_id", "event_day"], "forward_sum")
+
+
 def scored_events(stream: DataFrame, cfg: DecayConfig = DecayConfig()) -> DataFrame:
     """Click and view events as scored cart and review events."""
     stars = F.lit(5) - F.least(F.floor(F.col("value") / 30), F.lit(4).cast("long"))
