@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.config import ColdStartConfig
@@ -12,6 +12,7 @@ from shelfrank.functions.ordering import percent_rank_table, slice_bounds, top_p
 from shelfrank.functions.scalars import full_value
 from shelfrank.operators.interactions import book_counts
 from shelfrank.operators.joins import join_listed
+from shelfrank.session import materialise
 
 DEFAULTS = ColdStartConfig()
 
@@ -158,47 +159,97 @@ def hybrid_blend(
 
 # ---- new books -------------------------------------------------------------------------------
 
-# Slots of a content vector; of a few hundred different terms, few share one.
-CONTENT_DIMS = 1024
+# Scores that differ by less are equal sums in another order.
+SLACK = 1e-9
 
 
-def content_vectors(books: DataFrame, dims: int = CONTENT_DIMS) -> DataFrame:
-    """Hash category, author, title words and rating of each book into one vector.
+def content_terms(books: DataFrame) -> DataFrame:
+    """(book_id, term, weight): category and author weigh 1, a title word 1 / sqrt(title words) as often as it stands."""
+    words = F.split(F.lower(F.trim("title")), r"\s+")
 
-    Dimension 0 holds the rating; every word adds its weight to the dimension its MD5 names. Each
-    row is computed on its own, without a shuffle.
-    """
-    title_words = F.split(F.lower(F.trim("title")), r"\s+")
-
-    def slot(word: Column) -> Column:
-        digits = F.conv(F.substring(F.md5(word), 1, 7), 16, 10).cast("long")
-        return (digits % (dims - 1) + 1).cast("int")
-
-    def weighted(word: Column, weight: Column) -> Column:
-        return F.struct(slot(word).alias("dim"), weight.cast("double").alias("w"))
+    def term(kind: str, value: Column, weight: Column) -> Column:
+        return F.struct(F.concat(F.lit(f"{kind}="), value).alias("term"), weight.alias("weight"))
 
+    one = F.lit(1.0)
     terms = F.concat(
-        F.array(
-            weighted(F.concat(F.lit("category="), F.col("category_name")), F.lit(1.0)),
-            weighted(F.concat(F.lit("author="), F.col("author")), F.lit(1.0)),
-            F.struct(F.lit(0).alias("dim"), ((F.col("rating_avg") - 3) / 4).cast("double").alias("w")),
-        ),
-        F.transform(
-            title_words,
-            lambda t: weighted(F.concat(F.lit("title="), t), F.lit(1.0) / F.sqrt(F.size(title_words))),
+        F.array(term("category", F.col("category_name"), one), term("author", F.col("author"), one)),
+        F.coalesce(
+            F.transform(words, lambda w: term("title", w, one / F.sqrt(F.size(words)))),
+            F.array().cast("array<struct<term:string,weight:double>>"),
         ),
     )
+    rows = books.select("book_id", F.inline(terms)).where(F.col("term").isNotNull())
+    return rows.groupBy("book_id", "term").agg(F.sum("weight").alias("weight"))
 
-    def total(dim: Column) -> Column:
-        return F.aggregate(
-            F.filter("_terms", lambda t: t["dim"] == dim),
-            F.lit(0.0),
-            lambda acc, t: acc + t["w"],
-        ).cast("float")
 
-    # The generator keeps the optimizer from copying the terms into each of the `dims` sums.
-    return books.select(F.col("book_id").alias("id"), F.explode(F.array(terms)).alias("_terms")).select(
-        "id",
-        F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), total).alias("features"),
+def similar_books(books: DataFrame, cold: DataFrame, k: int = 5) -> DataFrame:
+    """(book_id, similar_book_id, similarity, rank): the ``k`` most similar other books of every book of ``cold`` (book_id).
+
+    Similarity is the inner product of the books' terms plus that of their ratings, (rating - 3) / 4; ties go to the smaller
+    id. Exact, and without comparing all books: an inverted index of the other books' terms is read for the rarest term of a
+    cold book first. The k-th best score found there bounds what else can matter: a book with none of the terms that are
+    read scores at most the sum of the largest products of the terms left out and of the ratings, so the most frequent terms
+    are left out as long as that sum stays below the bound. Books that share no term differ by their rating alone, so the
+    k best by it are candidates of every cold book.
+    """
+    rated = books.select("book_id", ((F.coalesce("rating_avg", F.lit(0.0)) - 3) / 4).cast("double").alias("rating"))
+    is_cold = F.coalesce("is_cold", F.lit(False)).alias("is_cold")
+    marked = rated.join(cold.select("book_id").distinct().withColumn("is_cold", F.lit(True)), "book_id", "left")
+    marked = materialise(marked.select("book_id", "rating", is_cold), "content-books")
+    terms = content_terms(books).join(marked.select("book_id", "is_cold"), "book_id")
+    terms = materialise(terms, "content-terms")
+    postings = terms.where(~F.col("is_cold")).select(F.col("book_id").alias("similar_book_id"), "term", "weight")
+    found = postings.groupBy("term").agg(F.count("*").alias("books"), F.max("weight").alias("most"))
+    asked = terms.where("is_cold").select("book_id", "term", "weight").join(found, "term")
+    asked = asked.select("book_id", "term", "books", (F.col("weight") * F.col("most")).alias("most"))
+
+    # one map of terms a book, for the exact score of a pair
+    of_book = F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("terms")
+    whole = marked.join(terms.groupBy("book_id").agg(of_book), "book_id", "left")
+    whole = materialise(whole.select("book_id", "rating", "terms", "is_cold"), "content-whole")
+    left = whole.where("is_cold").select("book_id", F.col("rating").alias("_r"), F.map_entries("terms").alias("_terms"))
+    right = whole.where(~F.col("is_cold")).select(
+        F.col("book_id").alias("similar_book_id"), F.col("rating").alias("_s"), F.col("terms").alias("_map")
     )
 
+    def scored(pairs: DataFrame) -> DataFrame:
+        # one row a book on either side; adaptive execution broadcasts a small one and splits what a hot book makes large
+        both = pairs.join(left, "book_id").join(right, "similar_book_id")
+        common = F.aggregate(
+            F.coalesce("_terms", F.array().cast("array<struct<key:string,value:double>>")),
+            F.lit(0.0),
+            lambda total, t: total + t["value"] * F.coalesce(F.try_element_at("_map", t["key"]), F.lit(0.0)),
+        )
+        score = full_value(common + F.col("_r") * F.col("_s")) + 0.0
+        return both.select("book_id", "similar_book_id", score.alias("similarity"))
+
+    by_rarity = Window.partitionBy("book_id").orderBy((F.col("books") >= k).desc(), "books", "term")
+    first = asked.withColumn("_n", F.row_number().over(by_rarity))
+    seeds = first.where("_n = 1").join(postings.drop("weight"), "term").select("book_id", "similar_book_id")
+    seeded = materialise(scored(seeds), "content-seeded")
+
+    kth = top_per_group(seeded, ["book_id"], [F.desc("similarity")], k).where(F.col("rank") == k)
+    warm = marked.where(~F.col("is_cold"))
+    low, high = warm.agg(F.min("rating"), F.max("rating")).first()
+    rated_most = F.greatest(*[F.col("rating") * F.lit(x or 0.0) for x in (low, high)])
+    least = kth.select("book_id", F.col("similarity").alias("_least"))
+    limits = marked.where("is_cold").join(least, "book_id", "left").select("book_id", "_least", rated_most.alias("_rated"))
+    left_out = F.sum("most").over(Window.partitionBy("book_id").orderBy(F.desc("books"), "term")) + F.col("_rated")
+    rest = first.where("_n > 1").join(limits, "book_id").withColumn("_rest", left_out)
+    needed = rest.where(F.col("_least").isNull() | (F.col("_rest") >= F.col("_least") - SLACK))
+    more = needed.join(postings.drop("weight"), "term").select("book_id", "similar_book_id")
+
+    def best_rated(order: Column, kind: Column) -> DataFrame:
+        top = [r["book_id"] for r in warm.orderBy(order, "book_id").limit(k).collect()]  # k rows
+        ids = F.array(*map(F.lit, top)).cast(f"array<{warm.schema['book_id'].dataType.simpleString()}>")
+        return marked.where(F.col("is_cold") & kind).select("book_id", F.explode(ids).alias("similar_book_id"))
+
+    rating = F.col("rating")
+    by_rating = (
+        best_rated(F.desc("rating"), rating > 0)
+        .unionByName(best_rated(F.asc("rating"), rating < 0))
+        .unionByName(best_rated(F.asc("book_id"), rating == 0))
+    )
+    others = more.unionByName(by_rating).distinct().join(seeded, ["book_id", "similar_book_id"], "left_anti")
+    every = seeded.unionByName(materialise(scored(others), "content-others"))
+    return top_per_group(every, ["book_id"], [F.desc("similarity"), F.asc("similar_book_id")], k)

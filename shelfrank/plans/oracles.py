@@ -213,10 +213,9 @@ PARTS: dict[str, str] = {
         UNION ALL SELECT book_id, 'title=' || unnest(string_split(lower(trim(title)), ' ')),
             1 / sqrt(len(string_split(lower(trim(title)), ' '))) FROM dim_books""",
     "content": """
-        SELECT book_id, dim, CAST(CAST(sum(w) AS FLOAT) AS DOUBLE) AS w FROM (
-            SELECT book_id, CAST('0x' || substr(md5(term), 1, 7) AS BIGINT) % 1023 + 1 AS dim, w
-            FROM content_terms
-            UNION ALL SELECT book_id, 0, (rating_avg - 3) / 4 FROM dim_books) GROUP BY book_id, dim""",
+        SELECT book_id, term, sum(w) AS w FROM (
+            SELECT book_id, term, w FROM content_terms UNION ALL SELECT book_id, 'rating', (rating_avg - 3) / 4 FROM dim_books)
+        GROUP BY book_id, term""",
     "is_cold": """
         SELECT book_id, coalesce(n_users, 0) < 8 AS cold FROM dim_books LEFT JOIN book_n USING (book_id)""",
     "stored": """
@@ -378,7 +377,7 @@ BODIES: dict[str, str] = {
         SELECT book_id, similar_book_id, round(similarity, 6) + 0.0 AS similarity, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY similarity DESC, similar_book_id) AS rank
             FROM (SELECT a.book_id, b.book_id AS similar_book_id, round(sum(a.w * b.w), 12) + 0.0 AS similarity
-                  FROM content a JOIN content b USING (dim)
+                  FROM content a JOIN content b USING (term)
                   WHERE a.book_id IN (SELECT book_id FROM is_cold WHERE cold)
                     AND b.book_id IN (SELECT book_id FROM is_cold WHERE NOT cold)
                   GROUP BY a.book_id, b.book_id)) WHERE rank <= 5""",

@@ -406,16 +406,8 @@ def cold_book_similar(t: Retail) -> DataFrame:
     cold = coldstart.cold_books(table, MIN_BOOK_USERS).select("book_id")
     unsold = t.dim_books.join(interactions.book_counts(table), "book_id", "left_anti")
     cold = cold.unionByName(unsold.select("book_id"))
-    vectors = materialise(coldstart.content_vectors(t.dim_books), "content")
-    key = cold.withColumnRenamed("book_id", "id")
-    best = retrieval.best_scored(
-        vectors.join(key, "id", "left_semi"), vectors.join(key, "id", "left_anti"), 5
-    )
-    return best.select(
-        F.col("user_id").alias("book_id"),
-        F.col("book_id").alias("similar_book_id"),
-        mf6().alias("similarity"),
-        long("rank"),
+    return coldstart.similar_books(t.dim_books, cold).select(
+        "book_id", "similar_book_id", F.round("similarity", 6).alias("similarity"), long("rank")
     )
 
 

@@ -1,7 +1,7 @@
 import hashlib
+import re
 
 import numpy as np
-import pandas as pd
 import pytest
 from helpers import books, rows, scores
 
@@ -94,17 +94,75 @@ def test_blend_by_hand(spark):
     assert got == [(1, 1, 11, 0.66), (1, 2, 10, 0.6), (2, 1, 10, 0.3), (3, 1, 12, 0.35)]
 
 
-def test_content_vectors_favour_shared_attributes(spark):
-    df = books(
-        spark,
-        [
-            (1, "red river", "A", "x", 4.0, 1),
-            (2, "red river", "A", "x", 4.0, 1),
-            (3, "red river", "B", "y", 4.0, 1),
-            (4, "green hill", "C", "z", 4.0, 1),
-        ],
-    )
-    got = {r["id"]: np.array(r["features"]) for r in coldstart.content_vectors(df).collect()}
-    near = [float(got[1] @ got[n]) for n in (2, 3, 4)]
-    assert near[0] > near[1] > near[2]
-    assert pd.Series(near).is_monotonic_decreasing
+def plain_similar(data, cold, k):
+    """All pairs compared."""
+    terms = {}
+    for b, title, author, category, rating, _ in data:
+        own = {}
+        words = re.split(r"\s+", title.strip(" ").lower()) if title is not None else []
+        for t, w in [(f"category={category}", 1.0), (f"author={author}", 1.0), *((f"title={x}", 1 / len(words) ** 0.5) for x in words)]:
+            if not t.endswith("=None"):
+                own[t] = own.get(t, 0.0) + w
+        terms[b] = own, ((rating or 0.0) - 3) / 4
+    out = []
+    for a in cold:
+        found = []
+        for b in terms:
+            if b not in cold:
+                s = sum(w * terms[b][0].get(t, 0.0) for t, w in terms[a][0].items()) + terms[a][1] * terms[b][1]
+                found.append((-round(s, 9) + 0.0, b))
+        out += [(a, b, -s + 0.0, n) for n, (s, b) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out)
+
+
+def similar(df, cold, k=5):
+    found = coldstart.similar_books(df, cold, k).select("book_id", "similar_book_id", "similarity", "rank")
+    return sorted((r[0], r[1], round(r[2], 9) + 0.0, r[3]) for r in found.collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_similar_books_are_those_of_all_pairs(spark, seed):
+    r = np.random.default_rng(seed)
+    words = ["red", "Green", "blue", "river", "hill", "sea", "of", "the"]
+    data = []
+    for b in range(150):
+        title = " ".join(r.choice(words[: 8 if seed else 3], r.integers(1, 5))) if b % 17 else None
+        author = f"A{r.integers(2 if seed == 1 else 30)}" if b % 13 else None
+        data.append((b, title, author, "x" if b % 3 == 0 else f"c{r.integers(6)}", float(r.choice([0.0, 3.0, 3.5, 4.25, 5.0])), 1))
+    data += [(200, "alone in here", "nobody else", "own kind", 3.0, 1), (201, "alone", "none", "other", 2.0, 1), (202, None, None, None, 4.0, 1)]
+    cold = [b for b, *_ in data if b % 10 == 3] + [200, 201, 202]
+    df = books(spark, data)
+    asked = spark.createDataFrame([(b,) for b in cold], "book_id long")
+    assert similar(df, asked) == plain_similar(data, set(cold), 5)
+
+
+def test_similar_books_of_few_or_none(spark):
+    data = [(1, "a b", "A", "x", 4.0, 1), (2, "a", "A", "x", 4.0, 1), (3, "c", "C", "z", 4.0, 1)]
+    df = books(spark, data)
+    one = spark.createDataFrame([(1,), (77,)], "book_id long")
+    assert similar(df, one) == plain_similar(data, {1}, 5)
+    assert similar(df, one.where("false")) == []
+    assert similar(df, df.select("book_id")) == []
+    assert similar(df.where("false"), one) == []
+
+
+def test_frequent_terms_are_left_out(spark):
+    """With a rare author in common, the category of all books cannot change the best books and is not read."""
+    data = [(b, f"w{b % 50}", f"A{b // 8}", "all", 3.0, 1) for b in range(400)]
+    asked = spark.createDataFrame([(b,) for b in range(0, 400, 40)], "book_id long")
+    seen = []
+    stored = coldstart.materialise
+
+    def spy(df, name, *rest):
+        out = stored(df, name, *rest)
+        seen.append((name, out.count()))
+        return out
+
+    coldstart.materialise = spy
+    try:
+        got = similar(books(spark, data), asked)
+    finally:
+        coldstart.materialise = stored
+    assert got == plain_similar(data, set(range(0, 400, 40)), 5)
+    read = dict(seen)
+    assert read["content-seeded"] + read["content-others"] <= 10 * 25  # of 3,900 pairs
