@@ -449,6 +449,10 @@ BODIES: dict[str, str] = {
     "pair_score": """
         SELECT user_id, book_id, round(1 / (1 + exp(-(4 * CAST(common AS DOUBLE) / (both_n - common) - 1))), 6) AS score
         FROM pairs""",
+    "pair_lengths": """
+        SELECT user_id, book_id, least(a, greatest(24 - b, 12)) AS profile_words, least(b, greatest(24 - a, 12)) AS description_words
+        FROM cands JOIN (SELECT user_id, len(regexp_split_to_array(user_profile, '\\s+')) AS a FROM profiles) USING (user_id)
+        JOIN (SELECT book_id, len(regexp_split_to_array(item_description, '\\s+')) AS b FROM descriptions) USING (book_id)""",
     "temporal_split": """
         SELECT user_id, book_id, event_ts, CASE WHEN event_ts < TIMESTAMP '2024-01-08' THEN 'train'
             WHEN event_ts < TIMESTAMP '2024-01-16' THEN 'validation' ELSE 'test' END AS split

@@ -568,6 +568,26 @@ def pair_score(t: Retail) -> DataFrame:
     return scored.select("user_id", "book_id", r6("score"))
 
 
+# Words that a pair may have in the check of cutting.
+PAIR_WORDS = 24
+
+
+@query
+def pair_lengths(t: Retail) -> DataFrame:
+    """Words of profile and description that are left of every candidate pair cut to a budget."""
+    weights = stored_scores(t)
+    candidates = materialise(candidates_of(t, weights), "candidates")
+    users = candidates.select("user_id").distinct()
+    texts = profiles.user_profiles(users, weights, t.fact_sales, t.fact_reviews, t.catalogue)
+    words = [F.size(F.split(c, r"\s+")).cast("long") for c in ("user_profile", "item_description")]
+    listed = as_ranked(candidates)
+    left = texts.select("user_id", words[0].alias("profile_words"))
+    right = profiles.item_descriptions(t.dim_books).select("book_id", words[1].alias("description_words"))
+    pairs = rerank.join_texts(listed.join(left, "user_id"), right, listed)
+    cut = rerank.cut_length_columns(F.col("profile_words"), F.col("description_words"), PAIR_WORDS)
+    return pairs.select("user_id", "book_id", cut[0].alias("profile_words"), cut[1].alias("description_words"))
+
+
 # ---- training --------------------------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@ import numpy as np
 import pandas as pd
 import pytest
 from helpers import at, books, reviews, rows, sales, scores
+from pyspark.sql import functions as F
 
+from shelfrank.functions import scalars
 from shelfrank.functions.scalars import clean_text
 from shelfrank.operators import profiles, rerank
 
@@ -108,6 +110,66 @@ def test_arrow_scorer_sees_batches_of_its_size(spark):
         rerank.score_text_pairs(pairs.drop("user_profile"), load)
 
 
+def cut_one_by_one(a, b, budget):
+    while len(a) + len(b) > budget:
+        if len(a) > len(b):
+            a = a[:-1]
+        else:
+            b = b[:-1]
+    return a, b
+
+
+def test_cut_lengths_are_those_of_cutting_one_by_one(spark):
+    pairs = [(a, b, n) for n in range(9) for a in range(12) for b in range(12)]
+    for a, b, n in pairs:
+        x, y = cut_one_by_one([0] * a, [0] * b, n)
+        assert [int(v[0]) for v in rerank.cut_lengths(np.array([a]), np.array([b]), n)] == [len(x), len(y)]
+    df = spark.createDataFrame([(a, b) for a, b, n in pairs if n == 7], "a long, b long")
+    for r in df.select("a", "b", *rerank.cut_length_columns(F.col("a"), F.col("b"), 7)).collect():
+        x, y = cut_one_by_one([0] * r[0], [0] * r[1], 7)
+        assert (r[2], r[3]) == (len(x), len(y))
+
+
+@pytest.mark.parametrize(("max_length", "marks"), [(16, (7, 8, 9)), (512, (None, None, 9)), (5, (None, None, None))])
+def test_token_pairs_are_cut_and_batched_by_length(spark, max_length, marks):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    r = np.random.default_rng(3)
+    words = ["red", "river", "ünïcode", "of", "12", "antidisestablishment"]
+    texts = [" ".join(r.choice(words, n)) for n in (0, 1, 3, 8, 20, 300)]
+    data = [(a, b) for a in texts for b in texts if (a, b) != ("", "")] + [(None, "x"), (texts[1], None)]
+
+    def load():
+        def logits(ids, mask):
+            assert ids.shape == mask.shape and ids.shape[1] <= max_length and (ids[mask == 0] == 0).all()
+            assert len(ids) <= 8 and (np.diff(mask.sum(axis=1)) >= 0).all()
+            # depends on every id and its place
+            return np.log((ids * mask * np.arange(1, ids.shape[1] + 1)).sum(axis=1) % 997 + 1.0)
+
+        return rerank.TokenPairs(path, logits, max_length, marks)
+
+    df = spark.createDataFrame(data, "user_profile string, item_description string").coalesce(1)
+    tokenizer, want = Tokenizer.from_file(path), {}
+    for a, b in data:
+        ids = [tokenizer.encode(x or "", add_special_tokens=False).ids for x in (a, b)]
+        x, y = cut_one_by_one(*ids, max_length - sum(m is not None for m in marks))
+        row = [*([marks[0]] if marks[0] else []), *x, *([marks[1]] if marks[1] else []), *y, *([marks[2]] if marks[2] else [])]
+        value = sum(v * n for n, v in enumerate(row, 1)) % 997 + 1.0
+        want[a, b] = value / (1 + value)
+    got = {(q["user_profile"], q["item_description"]): q["score"] for q in rerank.score_text_pairs(df, load, 8).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_word_overlap_agrees_with_the_native_score(spark):
+    data = [("Red river, red!", "the RED  sea"), ("", ""), ("a b c", "a b c"), ("...", "x"), ("é1 a", "E1 é"), (None, "a")] * 20
+    df = spark.createDataFrame(data, "user_profile string, item_description string")
+    native = scalars.jaccard(*(scalars.tokens(F.coalesce(c, F.lit(""))) for c in ("user_profile", "item_description")))
+    scored = rerank.score_text_pairs(df, rerank.word_overlap_scorer).withColumn("want", scalars.sigmoid(native * 4.0 - 1.0))
+    assert all(r["score"] == pytest.approx(r["want"]) for r in scored.collect())
+
+
 def test_model_rerank_uses_the_given_scorer(spark, shelf):
     texts = spark.createDataFrame([(1, "p")], "user_id long, user_profile string")
 
