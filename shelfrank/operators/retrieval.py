@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -11,10 +13,14 @@ from shelfrank.functions.ordering import top_per_group
 from shelfrank.functions.scalars import dot
 from shelfrank.functions.vectors import longs, pack, to_matrix
 from shelfrank.operators.grid import Grid, fit_grid
-from shelfrank.operators.joins import frequent_keys, join_hot
+from shelfrank.operators.joins import frequent_keys, join_hot, join_listed
+from shelfrank.session import materialise
 
-# Floats of one user-chunk x book-block score matrix in a task.
+# Floats of one user-chunk x book-chunk score matrix in a task, and books of such a chunk.
 CHUNK_CELLS = 4_000_000
+ITEM_CHUNK = 4096
+# Share by which a bound must lie below a product, whose sum may be rounded.
+SLACK = 1e-9
 
 BEST_SCHEMA = "user_id long, book_id long, mf_score double, seen boolean, rank int"
 
@@ -51,6 +57,50 @@ def _empty_best() -> pa.Table:
     )
 
 
+def top_products(
+    u: np.ndarray, v: np.ndarray, depth: int, seen: tuple[np.ndarray, np.ndarray], skip_seen: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The ``depth`` rows of ``v`` with the largest products per row of ``u``: (places, products, seen, blocks scored).
+
+    Ties go to the smaller place. ``seen`` has pairs (row of u in order, row of v); they are flagged, or with ``skip_seen``
+    come after all others. Rows of ``v`` are scored in blocks from the longest vector on: as no product exceeds the product
+    of the lengths, the rest is left out as soon as that bound lies below the last place of every row of ``u``. Rows past the
+    number of ``v`` have place ``len(v)``.
+    """
+    n = len(v)
+    take = min(depth, n)
+    length_u, length_v = (np.nan_to_num(np.sqrt(np.einsum("ij,ij->i", x, x)), nan=np.inf, posinf=np.inf) for x in (u, v))
+    by_length = np.argsort(-length_v, kind="stable")
+    best = np.full((len(u), take), -np.inf)
+    score, place, flag = best.copy(), np.full((len(u), take), n), np.zeros((len(u), take), dtype=bool)
+    turn = np.empty(n, dtype=np.int64)
+    turn[by_length] = np.arange(n)
+    scored = 0
+    for start in range(0, n, ITEM_CHUNK):
+        own = by_length[start : start + ITEM_CHUNK]
+        bound = length_u * length_v[own[0]]
+        if start >= take and (bound + SLACK * (1.0 + bound) < best[:, -1]).all():
+            break
+        scored += 1
+        # Full values but for the digits in which equal sums differ by their order.
+        new = np.nan_to_num(np.round(u @ v[own].T, 12), nan=-np.inf)
+        mark = np.zeros(new.shape, dtype=bool)
+        here = (turn[seen[1]] >= start) & (turn[seen[1]] < start + len(own))
+        mark[seen[0][here], turn[seen[1][here]] - start] = True
+        every = [np.concatenate([x, y], axis=1) for x, y in ((score, new), (place, np.broadcast_to(own, new.shape)), (flag, mark))]
+        key = np.concatenate([best, np.where(mark, -np.inf, new) if skip_seen else new], axis=1)
+        # All that reach the last place's key, then exactly as many as asked, ties by place.
+        last = np.partition(key, key.shape[1] - take, axis=1)[:, key.shape[1] - take, None]
+        row, column = np.nonzero(key >= last)
+        order = np.lexsort((every[1][row, column], -key[row, column], row))
+        row, column = row[order], column[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, np.arange(len(u)))[row]
+        column = column[nth < take].reshape(len(u), take)
+        score, place, flag = (np.take_along_axis(x, column, 1) for x in every)
+        best = np.take_along_axis(key, column, 1)
+    return place, score, flag, scored
+
+
 def _best_in_cell(depth: int, skip_seen: bool, keep_unseen: int | None):
     """Cell function: the ``depth`` best books of the block for each user of the block.
 
@@ -82,36 +132,19 @@ def _best_in_cell(depth: int, skip_seen: bool, keep_unseen: int | None):
         order = np.argsort(pos_u, kind="stable")
         pos_u, pos_i = pos_u[order], pos_i[order]
 
-        n = len(item_ids)
-        take = min(depth, n)
-        step = max(1, CHUNK_CELLS // n)
+        step = max(1, CHUNK_CELLS // min(len(item_ids), ITEM_CHUNK))
         parts = []
         for start in range(0, len(user_ids), step):
             stop = min(start + step, len(user_ids))
-            # Full values but for the digits in which equal sums differ by their order.
-            score = np.nan_to_num(np.round(u[start:stop] @ v.T, 12), nan=-np.inf)
             lo, hi = np.searchsorted(pos_u, [start, stop])
-            rows, cols = pos_u[lo:hi] - start, pos_i[lo:hi]
-            seen = np.zeros(score.shape, dtype=bool)
-            seen[rows, cols] = True
-            key = np.where(seen, -np.inf, score) if skip_seen else score
-            # All books that reach the last place's score, then exactly as many as asked, ties by id.
-            last = np.partition(key, n - take, axis=1)[:, n - take, None]
-            at_user, at_book = np.nonzero(key >= last)
-            order = np.lexsort((at_book, -key[at_user, at_book], at_user))
-            at_user, at_book = at_user[order], at_book[order]
-            first = np.searchsorted(at_user, np.arange(stop - start))
-            place = np.arange(len(at_user)) - first[at_user]
-            ranked = at_book[place < take].reshape(stop - start, take)
-            scores = np.take_along_axis(score, ranked, 1)
-            flags = np.take_along_axis(seen, ranked, 1)
-            rank = np.tile(np.arange(1, take + 1, dtype=np.int32), (stop - start, 1))
+            places, scores, flags, _ = top_products(u[start:stop], v, depth, (pos_u[lo:hi] - start, pos_i[lo:hi]), skip_seen)
+            rank = np.tile(np.arange(1, places.shape[1] + 1, dtype=np.int32), (stop - start, 1))
             wanted = ~flags if skip_seen else np.ones_like(flags)
             if keep_unseen is not None:
                 rank = np.cumsum(~flags, axis=1, dtype=np.int32)
                 wanted = ~flags & (rank <= keep_unseen)
             owner = np.broadcast_to(user_ids[start:stop, None], flags.shape)
-            columns = [owner, item_ids[ranked], scores, flags, rank]
+            columns = [owner, item_ids[places], scores, flags, rank]
             parts.append(
                 pa.table(
                     [c[wanted] for c in columns],
@@ -123,60 +156,96 @@ def _best_in_cell(depth: int, skip_seen: bool, keep_unseen: int | None):
     return run
 
 
-def best_scored(
-    user_factors: DataFrame,
-    item_factors: DataFrame,
-    depth: int,
-    seen: DataFrame | None = None,
-    skip_seen: bool = False,
-    keep_unseen: int | None = None,
-    grid: Grid | None = None,
-) -> DataFrame:
-    """The ``depth`` best books per user by dot product, exact, with ties by book id.
-
-    Every cell of the user x book grid is one matrix product in one Arrow call; only ``depth`` rows
-    per user and book block leave it. ``seen`` pairs travel with the user blocks: they are flagged,
-    or left out before the cut at ``depth`` with ``skip_seen``, or dropped after it with
-    ``keep_unseen``, which then limits the list. A second pass over users is needed only when there
-    is more than one book block.
-    """
-    grid = grid or fit_grid(user_factors, item_factors)
-    users = pack(user_factors).select(
+def _user_rows(factors: DataFrame, grid: Grid) -> DataFrame:
+    return pack(factors).select(
         grid.user_block("id").alias("ub"),
-        grid.each_item_block().alias("ib"),
         F.lit(0).alias("kind"),
         F.col("id").alias("user_id"),
         F.lit(None).cast("long").alias("book_id"),
         "vec",
     )
+
+
+def _in_cells(
+    user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame | None, grid: Grid, depth: int, skip_seen: bool, keep_unseen: int | None
+) -> DataFrame:
+    """The best books of one book block for every user, one cell a user block."""
+    users = _user_rows(user_factors, grid)
     if seen is not None:
         users = users.unionByName(
             seen.select(
                 grid.user_block("user_id").alias("ub"),
-                grid.item_block("book_id").alias("ib"),
                 F.lit(1).alias("kind"),
                 "user_id",
                 "book_id",
                 F.lit(None).cast("binary").alias("vec"),
             )
         )
-    items = pack(item_factors).select(
-        grid.each_user_block().alias("ub"),
-        grid.item_block("id").alias("ib"),
-        F.col("id").alias("book_id"),
-        "vec",
-    )
-    best = (
-        grid.spread(users)
+    items = pack(item_factors).select(grid.each_user_block().alias("ub"), F.col("id").alias("book_id"), "vec")
+
+    def spread(df: DataFrame) -> DataFrame:
+        return grid.spread(df.withColumn("ib", F.lit(0)))
+
+    return (
+        spread(users)
         .groupBy("ub", "ib")
-        .cogroup(grid.spread(items).groupBy("ub", "ib"))
-        .applyInArrow(
-            _best_in_cell(depth, skip_seen, keep_unseen if grid.item_blocks == 1 else None),
-            BEST_SCHEMA,
-        )
+        .cogroup(spread(items).groupBy("ub", "ib"))
+        .applyInArrow(_best_in_cell(depth, skip_seen, keep_unseen), BEST_SCHEMA)
     )
+
+
+def best_scored(
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    depth: int,
+    seen: DataFrame | None = None,
+    skip_seen: bool = False,
+    keep_unseen: int | None = None,
+    grid: Grid | None = None,
+) -> DataFrame:
+    """The ``depth`` best books per user by dot product, exact, with ties by book id.
+
+    Users are cut into blocks by hash, books into blocks by the length of their vectors. A cell scores its books from the
+    longest on and stops where no further product can be large enough (``top_products``); only ``depth`` rows per user and
+    book block leave it. With several book blocks these follow each other, the longest first, and a block meets only the
+    users whose own length times the block's longest reaches their last place so far. ``seen`` pairs travel with the users:
+    they are flagged, or left out before the cut at ``depth`` with ``skip_seen``, or dropped after it with ``keep_unseen``,
+    which then limits the list.
+    """
+    grid = grid or fit_grid(user_factors, item_factors)
     if grid.item_blocks == 1:
-        return best
+        return _in_cells(user_factors, item_factors, seen, grid, depth, skip_seen, keep_unseen)
+
+    cells = Grid(grid.user_blocks, 1)
+    length = F.sqrt(dot(F.col("features"), F.col("features")))
+    items = materialise(item_factors.select("id", "features", length.alias("_length")), "items-by-length")
+    shares = [k / grid.item_blocks for k in range(1, grid.item_blocks)]
+    bounds = sorted(set(items.approxQuantile("_length", shares, 0.1 / grid.item_blocks)), reverse=True)
+    block = sum((F.when(F.col("_length") < x, 1).otherwise(0) for x in bounds), F.lit(0))
+    items = materialise(items.select("id", "features", "_length", block.cast("int").alias("_block")), "items-by-length")
+    longest = {r["_block"]: r["m"] for r in items.groupBy("_block").agg(F.max("_length").alias("m")).collect()}
+    users = materialise(user_factors.select("id", "features"), "users-by-length")
+    limits = users.select("id", length.alias("_length"), F.lit(None).cast("double").alias("_least"))
+    if seen is not None:
+        of_book = items.select(F.col("id").alias("book_id"), "_block")
+        seen = materialise(join_listed(seen.select("user_id", "book_id"), of_book, ["book_id"], "inner"), "seen-by-length")
+    found = []
+    for n in sorted(longest):
+        reach = F.col("_length") * F.lit(longest[n])
+        limits = limits.where(F.col("_least").isNull() | (reach + SLACK * (1 + reach) >= F.col("_least")))
+        limits = materialise(limits, "users-in-reach")
+        if limits.isEmpty():
+            break
+        active = join_listed(users, limits.select("id"), ["id"], "left_semi")
+        own = None if seen is None else seen.where(F.col("_block") == n)
+        best = _in_cells(active, items.where(F.col("_block") == n).drop("_block"), own, cells, depth, skip_seen, None)
+        found.append(materialise(best, "best-by-length"))
+        # the last place inside one block bounds the last place of all
+        last = found[-1].groupBy("user_id").agg(F.count("*").alias("n"), F.min("mf_score").alias("_last")).where(F.col("n") == depth)
+        limits = limits.join(last.select(F.col("user_id").alias("id"), "_last"), "id", "left").select(
+            "id", "_length", F.greatest("_least", "_last").alias("_least")
+        )
+    best = reduce(DataFrame.unionByName, found) if found else users.sparkSession.createDataFrame([], BEST_SCHEMA)
     best = top_per_group(best.drop("rank"), ["user_id"], by_score(), depth)
     if keep_unseen is not None:
         unseen = best.where(~F.col("seen")).drop("rank")

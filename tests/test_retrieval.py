@@ -89,3 +89,43 @@ def test_requests_with_open_length_and_unknown_user(spark):
 def test_lists_keep_the_rank_order(spark):
     ranked = spark.createDataFrame([(1, 9, 2), (1, 4, 1), (2, 3, 1)], "user_id long, book_id long, rank int")
     assert rows(retrieval.as_lists(ranked)) == [(1, [4, 9]), (2, [3])]
+
+
+def test_short_vectors_are_left_out(monkeypatch):
+    rng = np.random.default_rng(8)
+    u = rng.normal(size=(30, 6))
+    v = rng.normal(size=(2000, 6)) / np.arange(1, 2001)[:, None] ** 1.5
+    v = v[rng.permutation(2000)]
+    v[5] = v[6]
+    monkeypatch.setattr(retrieval, "ITEM_CHUNK", 50)
+    seen = rng.integers(0, 30, 600), rng.integers(0, 2000, 600)
+    mark = np.zeros((30, 2000), dtype=bool)
+    mark[seen] = True
+    product = np.round(u @ v.T, 12)
+    for skip in (False, True):
+        places, scores, flags, blocks = retrieval.top_products(u, v, 10, seen, skip)
+        key = np.where(mark, -np.inf, product) if skip else product
+        want = np.lexsort((np.broadcast_to(np.arange(2000), key.shape), -key), axis=1)[:, :10]
+        assert (places == want).all() and blocks < 20
+        assert (scores == np.take_along_axis(product, want, 1)).all()
+        assert (flags == np.take_along_axis(mark, want, 1)).all()
+    # vectors of one length leave nothing out; more places than rows give all rows
+    even = v / np.linalg.norm(v, axis=1)[:, None]
+    assert retrieval.top_products(u, even, 10, (seen[0][:0], seen[1][:0]))[3] == 40
+    places, *_ = retrieval.top_products(u, v[:7], 10, (seen[0][:0], seen[1][:0]))
+    assert sorted(places[0]) == list(range(7))
+
+
+def test_blocks_of_short_books_meet_no_users(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    long, short = rng.normal(size=(60, 6)) + 3, rng.normal(size=(240, 6)) / 1000
+    v = np.concatenate([short, long])
+    u = np.abs(rng.normal(size=(40, 6))) + 1
+    met = []
+    cells = retrieval._in_cells
+    monkeypatch.setattr(retrieval, "_in_cells", lambda users, *rest: met.append(users.count()) or cells(users, *rest))
+    got = retrieval.best_scored(factors(spark, u), factors(spark, v), 5, grid=Grid(2, 5)).toPandas()
+    assert met == [40]
+    for user in range(40):
+        score = v.astype(np.float32).astype(float) @ u[user].astype(np.float32).astype(float)
+        assert got[got.user_id == user].sort_values("rank").book_id.tolist() == list(np.argsort(-score)[:5])
