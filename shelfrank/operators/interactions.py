@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfrank.config import DecayConfig
 from shelfrank.functions.ordering import exact_quantiles
 from shelfrank.functions.scalars import age_in_months, decayed
 from shelfrank.operators.joins import join_listed
+from shelfrank.session import materialise
 from shelfrank.sources.tables import require_columns
 
 PAIR = ["user_id", "book_id"]
@@ -86,13 +87,23 @@ def validated(interactions: DataFrame) -> DataFrame:
     return interactions.where(F.col("interaction_score") > 0)
 
 
-def quality_counts(interactions: DataFrame) -> DataFrame:
-    score = F.col("interaction_score")
-    return interactions.agg(
-        F.count("*").alias("row_count"),
+def stored_with_counts(interactions: DataFrame, name: str = "interactions") -> tuple[DataFrame, dict[str, int]]:
+    """The stored table, and row_count, null_scores and non_positive_scores counted in the pass that writes it."""
+    score, seen = F.col("interaction_score"), Observation(f"{name}-quality")
+    watched = interactions.observe(
+        seen,
+        F.count(F.lit(1)).alias("row_count"),
         F.count_if(score.isNull()).alias("null_scores"),
         F.count_if(score <= 0).alias("non_positive_scores"),
     )
+    return materialise(watched, name), {k: int(v) for k, v in seen.get.items()}
+
+
+def quality_counts(interactions: DataFrame) -> DataFrame:
+    """One row of counts, taken while the table is stored."""
+    _, counts = stored_with_counts(interactions)
+    names = ("row_count", "null_scores", "non_positive_scores")
+    return interactions.sparkSession.createDataFrame([[counts[n] for n in names]], ", ".join(f"{n} long" for n in names))
 
 
 def user_counts(interactions: DataFrame) -> DataFrame:

@@ -292,6 +292,10 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'fact_cart', count(*) FROM fact_cart
         UNION ALL SELECT 'fact_reviews', count(*) FROM fact_reviews
         UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales""",
+    "published_tables": """
+        SELECT user_id, n_books, n_lines, total FROM user_n JOIN (
+            SELECT buyer_id AS user_id, count(*) AS n_lines, round(sum(line_total), 2) AS total FROM fact_sales
+            GROUP BY buyer_id) USING (user_id)""",
     "preview_rows": "SELECT * FROM catalogue ORDER BY book_id LIMIT 5",
     "source_manifest": """
         SELECT 'lineitem' AS table_name, true AS present, count(*) AS row_count, CAST(11 AS BIGINT) AS column_count FROM lineitem

@@ -7,6 +7,7 @@ that each result is one well-defined table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -253,6 +254,23 @@ def json_seed(t: Retail) -> DataFrame:
     )
 
 
+# Parts of the published tables; a cluster takes a number that suits its larger table.
+BUCKETS = 16
+
+
+@query
+def published_tables(t: Retail) -> DataFrame:
+    """Scores and sale lines published in equal buckets by user, read by qualified name, joined where they lie."""
+    suffix = uuid.uuid4().hex[:12]
+    lines = t.fact_sales.select(F.col("buyer_id").alias("user_id"), "line_total")
+    for name, df in (("scores", scores(t)), ("lines", lines)):
+        tables.publish(df, f"{name}_{suffix}", True, BUCKETS, path=fresh_path(t.spark, name))
+    read = [tables.warehouse_table(t.spark, f"{name}_{suffix}", "spark_catalog", "default") for name in ("scores", "lines")]
+    books = interactions.user_counts(read[0])
+    spent = read[1].groupBy("user_id").agg(F.count("*").alias("n_lines"), F.round(F.sum("line_total"), 2).alias("total"))
+    return books.hint("merge").join(spent, "user_id").select("user_id", "n_books", "n_lines", "total")
+
+
 # ---- filters and interaction scores ----------------------------------------------------------
 
 

@@ -95,12 +95,22 @@ def read_seed(spark: SparkSession, path: str, multi_line: bool = True) -> dict[s
     return {name: seed.select(F.inline(F.col(name))) for name in ("buyers", "sellers", "products")}
 
 
-def publish(df: DataFrame, name: str, table: bool = False, buckets: int | None = None, key: str = "user_id") -> None:
-    """Make an intermediate readable by SQL: a view, or a table bucketed by its join key."""
+def publish(
+    df: DataFrame, name: str, table: bool = False, buckets: int | None = None, key: str = "user_id", path: str | None = None
+) -> None:
+    """Make an intermediate readable by SQL: a view, or a table, in ``path`` if one is given.
+
+    With ``buckets`` the table is stored in as many parts by a hash of its join key, each sorted and written as one file:
+    tables with equal buckets are joined and grouped by the key without a shuffle.
+    """
     if not table:
         df.createOrReplaceTempView(name)
         return
+    if buckets:
+        df = df.repartition(buckets, key)
     writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
     if buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)

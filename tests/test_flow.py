@@ -3,10 +3,11 @@
 import dataclasses
 import datetime as dt
 import json
+import uuid
 
 import numpy as np
 import pytest
-from helpers import AS_OF, at, books, carts, factors, reviews, rows, sales, scores
+from helpers import AS_OF, at, books, carts, factors, plan, reviews, rows, sales, scores
 
 from shelfrank import session
 from shelfrank.config import ColdStartConfig
@@ -14,6 +15,7 @@ from shelfrank.operators import gold
 from shelfrank.operators import interactions as ia
 from shelfrank.plans.recommend import Inputs, recommend
 from shelfrank.sources import tables
+from shelfrank.session import fresh_path
 from shelfrank.streaming import freshness
 
 RNG = np.random.default_rng(4)
@@ -271,3 +273,20 @@ def test_shared_folder_is_the_cluster_setting():
         session.shared_folder(FakeSession(None, "yarn"))
     local = FakeSession(None, "local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_published_tables_are_joined_without_a_shuffle(spark):
+    left = spark.range(500).selectExpr("id % 50 AS user_id", "id AS book_id")
+    right = spark.range(300).selectExpr("id % 60 AS user_id", "id * 2 AS total")
+    names = [f"published_{uuid.uuid4().hex[:8]}" for _ in range(2)]
+    for name, df in zip(names, (left, right), strict=True):
+        tables.publish(df, name, True, 4, path=fresh_path(spark, name))
+    a, b = (tables.warehouse_table(spark, n, "spark_catalog", "default") for n in names)
+    joined = a.groupBy("user_id").count().hint("merge").join(b.groupBy("user_id").agg({"total": "sum"}), "user_id")
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert joined.count() == 50 and joined.agg({"count": "sum"}).first()[0] == 500
+    plain = a.groupBy("book_id").count()
+    assert "Exchange" in plan(plain) and plain.count() == 500
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")

@@ -41,6 +41,9 @@ def test_validation_and_quality_counts(spark):
     df = scores(spark, [(1, 1, 2.0), (1, 2, None), (2, 1, 0.0), (2, 2, -1.0)])
     assert rows(ia.validated(df)) == [(1, 1, 2.0)]
     assert tuple(ia.quality_counts(df).first()) == (4, 1, 2)
+    stored, counts = ia.stored_with_counts(df)
+    assert counts == {"row_count": 4, "null_scores": 1, "non_positive_scores": 2} and rows(stored) == rows(df)
+    assert tuple(ia.quality_counts(df.where("false")).first()) == (0, 0, 0)
     with pytest.raises(ValueError):
         ia.validated(df.drop("interaction_score"))
 
