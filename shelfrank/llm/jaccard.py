@@ -27,10 +27,12 @@ from shelfrank.session import materialise
 WORDS = 5
 #: Similarity, as a fraction, from which two sets link.
 LEAST = (3, 4)
-#: Bits of a signature in the trees, and children of a node. Pairs that the trees leave are looked at with signatures
-#: of two bits an element or more, so that those of large sets do not fill up.
+#: Least bits of a signature, and children of a node. Signatures have two bits an element or more, so that those of large
+#: sets do not fill up.
 BITS = 1024
 FANOUT = 8
+#: Bytes of signatures that one step of a descent compares.
+STEP = 16 << 20
 #: Shingles that are put last in the common order: at most so many, from lists of so many that tasks give for every run
 #: of so many shingles. Any list is right; a good one keeps frequent shingles from making blocks.
 FREQUENT = 65_536
@@ -82,7 +84,7 @@ def first_shingles(n: int) -> int:
 
 
 def width(n: int) -> int:
-    """Bits of the wide signature of a set of n: a power of two, ``BITS`` at least."""
+    """Bits of the signature of a set of n: a power of two, ``BITS`` at least."""
     return max(BITS, 1 << (2 * n - 1).bit_length())
 
 
@@ -99,8 +101,7 @@ def folded(raw: bytes, bits: int) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Rows ``row_no, doc_id, text_key, n, digest, rare, often, bits, wide``: a row's set, its first shingles, and its
-    signatures."""
+    """Rows ``row_no, doc_id, text_key, n, digest, rare, often, bits``: a row's set, its first shingles, its signature."""
     order = np.argsort(frequent)
     kept = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
 
@@ -109,7 +110,7 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for batch in batches:
             row = 0
             for part in _unique(batch.column(3)):
-                size, digest, rare, often, bits, wide = [], [], [], [], [], []
+                size, digest, rare, often, bits = [], [], [], [], []
                 for tokens in part:
                     first = first_shingles(len(tokens)) if len(tokens) else 0
                     a = b = tokens[:0]
@@ -125,8 +126,7 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     digest.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                     rare.append(a.view(np.int64))
                     often.append(b.view(np.int64))
-                    wide.append(signature(tokens, width(len(tokens))))
-                    bits.append(folded(wide[-1], BITS).tobytes())
+                    bits.append(signature(tokens, width(len(tokens))))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(row, len(part)) for k in range(3)),
@@ -135,9 +135,8 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array(rare, pa.list_(pa.int64())),
                         pa.array(often, pa.list_(pa.int64())),
                         pa.array(bits, pa.binary()),
-                        pa.array(wide, pa.binary()),
                     ],
-                    names=["row_no", "doc_id", "text_key", "n", "digest", "rare", "often", "bits", "wide"],
+                    names=["row_no", "doc_id", "text_key", "n", "digest", "rare", "often", "bits"],
                 )
                 row += len(part)
 
@@ -147,7 +146,7 @@ def set_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     ).mapInArrow(
         run,
         f"row_no long, doc_id {kind}, text_key long, n long, digest binary, rare array<long>, often array<long>, "
-        "bits binary, wide binary",
+        "bits binary",
     )
 
 
@@ -200,8 +199,9 @@ class SignatureTree:
             most = np.minimum(common + np.minimum(extra_x, extra_y), np.minimum(high_x, high_y))
         return good & _enough(most, np.maximum(low_x + low_y, 0))
 
-    def pairs(self, other: SignatureTree | None = None, step: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, other: SignatureTree | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places of the pairs that are left after both trees have been descended together; within one tree once each."""
+        step = max(64, STEP // (8 * self.levels[0][0].shape[1]))
         alone = other is None
         other = self if alone else other
         top = max(len(self.levels), len(other.levels)) - 1
@@ -236,8 +236,46 @@ class SignatureTree:
         return nodes * FANOUT, np.minimum(below - nodes * FANOUT, FANOUT)
 
 
-def _bits(column: pa.ChunkedArray, width: int = BITS // 64) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, width)
+def size_class(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each size, and the least size of every class. Similar sets are of one class or of neighbouring ones."""
+    starts = [1]
+    while starts[-1] <= n.max(initial=1):
+        starts.append(LEAST[1] * starts[-1] // LEAST[0] + 1)
+    least = np.array(starts, dtype=np.int64)
+    return np.searchsorted(least, n, side="right") - 1, least
+
+
+def _narrowed(bits: list[bytes], at: np.ndarray, width_: int) -> np.ndarray:
+    return np.stack([folded(bits[k], width_) for k in at])
+
+
+def block_pairs(bits: list[bytes], n: np.ndarray, group: np.ndarray, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of a block that its trees leave; with ``side`` (0 or 1 per row) only those of unlike sides.
+
+    One tree stands for a class of sizes, at the width of its smallest set, and is descended with itself and with that of
+    the next class, so signatures are as wide as the sets they stand for and long sets do not fill them.
+    """
+    kind, least = size_class(n)
+    for c in np.unique(kind):
+        bits_c = width(int(least[c]))
+        trees = {}
+
+        def tree(k: int, s: int | None) -> tuple[SignatureTree, np.ndarray] | None:
+            if (k, s) not in trees:
+                at = np.flatnonzero((kind == k) if s is None else (kind == k) & (side == s))
+                trees[k, s] = (SignatureTree(_narrowed(bits, at, bits_c), n[at], group[at]), at) if len(at) else None
+            return trees[k, s]
+
+        if side is None:
+            meets = [((c, None), (c, None)), ((c, None), (c + 1, None))]
+        else:
+            meets = [((c, 0), (c, 1)), ((c, 0), (c + 1, 1)), ((c + 1, 0), (c, 1))]
+        for x, y in meets:
+            one, other = tree(*x), tree(*y)
+            if one is None or other is None:
+                continue
+            for i, j in one[0].pairs(None if x == y else other[0]):
+                yield one[1][i], other[1][j]
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
@@ -269,16 +307,9 @@ def tree_pairs(members: DataFrame) -> DataFrame:
                 continue
             left, right = table["left"][0].as_py(), table["right"][0].as_py()
             own, rows, group, n = (table[k].to_numpy() for k in ("own", "row_no", "component", "n"))
-            bits = _bits(table["bits"])
-            if left == right:
-                found = ((rows[i], rows[j]) for i, j in SignatureTree(bits, n, group).pairs())
-            else:
-                x, y = own == left, own == right
-                if not x.any() or not y.any():
-                    continue
-                trees = [SignatureTree(bits[k], n[k], group[k]) for k in (x, y)]
-                found = ((rows[x][i], rows[y][j]) for i, j in trees[0].pairs(trees[1]))
-            for a, b in found:
+            side = None if left == right else (own == right).astype(np.int8)
+            for i, j in block_pairs(table["bits"].to_pylist(), n, group, side):
+                a, b = rows[i], rows[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     key = ["token", "left", "right"]
@@ -286,8 +317,8 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sizes and wide signatures, at the narrower one's width, allow enough overlap."""
-    own = sets.select("row_no", "n", "wide")
+    """The pairs ``a, b`` whose sizes and signatures, at the narrower one's width, allow enough overlap."""
+    own = sets.select("row_no", "n", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,14 +333,14 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     alike = (LEAST[1] * F.col("n_a") >= LEAST[0] * F.col("n_b")) & (LEAST[1] * F.col("n_b") >= LEAST[0] * F.col("n_a"))
     sizes = sets.select("row_no", "n")
     pairs = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").where(alike).select("a", "b")
-    joined = pairs.join(own.toDF("a", "n_a", "wide_a"), "a").join(own.toDF("b", "n_b", "wide_b"), "b")
-    return joined.select("a", "b", "n_a", "wide_a", "n_b", "wide_b").mapInArrow(run, "a long, b long")
+    joined = pairs.join(own.toDF("a", "n_a", "bits_a"), "a").join(own.toDF("b", "n_b", "bits_b"), "b")
+    return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar, counted on the whole sets, which are taken anew from the texts needed.
 
-    The result is stored.
+    The result is kept in ``store``.
     """
     work = Scratch(docs.sparkSession, "jaccard-whole-sets")
     rows = work.keep(
@@ -357,7 +388,7 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     joined = pairs.join(tokens.toDF("a", "x"), "a").join(tokens.toDF("b", "y"), "b")
-    out = materialise(joined.select("a", "b", "x", "y").mapInArrow(count, "a long, b long"), "jaccard-links")
+    out = store.keep(joined.select("a", "b", "x", "y").mapInArrow(count, "a long, b long"))
     work.drop()
     return out
 
@@ -395,13 +426,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     starts = blocks.where("first < row_no").groupBy(F.col("row_no").alias("b")).agg(F.min("first").alias("a"))
     near = work.keep(possible(starts.select("a", "b"), distinct))
-    links = linked(near, distinct, docs)
-    known = components(links, "jaccard-first")
+    links = linked(near, distinct, docs, work)
+    work.done(near)
+    known = components(links, "jaccard-first", work)
 
     grouped = blocks.join(known, F.col("row_no") == F.col("node"), "left").select(
         "token", "row_no", F.coalesce("component", "row_no").alias("component")
     )
     grouped = work.keep(grouped)
+    work.done(blocks, known)
     # blocks within one group are settled, and of blocks with the same rows one is enough
     open_ = (
         grouped.groupBy("token")
@@ -418,10 +451,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .select("token", "n_rows")
     )
     members = grouped.join(open_, "token").join(distinct.select("row_no", "n", "bits"), "row_no")
-    left = work.keep(tree_pairs(members))
-    pairs = work.keep(possible(left, distinct))
-    more = linked(pairs, distinct, docs)
-    whole = components(links.unionByName(more), "jaccard-all")
+    pairs = work.keep(tree_pairs(members))
+    work.done(grouped)
+    more = linked(pairs, distinct, docs, work)
+    work.done(pairs)
+    whole = components(links.unionByName(more), "jaccard-all", work)
 
     node = F.coalesce("class", "row_no")
     rows = (

@@ -19,14 +19,23 @@ class Scratch:
     """A folder of stored steps in the shared folder, removed as soon as what follows from them is stored itself."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder, self.stored = spark, fresh_path(spark, name), 0
+        self.spark, self.folder, self.steps = spark, fresh_path(spark, name), []
 
     def keep(self, df: DataFrame) -> DataFrame:
-        self.stored += 1
-        return materialise(df, "step", f"{self.folder}/{self.stored}")
+        out = materialise(df, "step", f"{self.folder}/{len(self.steps)}")
+        self.steps.append(out)
+        return out
+
+    def done(self, *steps: DataFrame) -> None:
+        """Remove steps that nothing will read any more."""
+        for step in steps:
+            self._delete(f"{self.folder}/{next(k for k, own in enumerate(self.steps) if own is step)}")
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._delete(self.folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -61,8 +70,9 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     return out.withColumn(key, text_key(F.col("text"))).dropDuplicates(["doc_id", key]).drop(key)
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
-    """``node, component`` (the smallest node reachable) of all nodes of the links ``a, b`` (two longs), stored.
+def components(links: DataFrame, name: str, store: Scratch | None = None) -> DataFrame:
+    """``node, component`` (the smallest node reachable) of all nodes of the links ``a, b`` (two longs), stored, in ``store``
+    if one is given.
 
     Large-star and small-star steps alternate: nodes hand their larger, then their smaller neighbours to the smallest one
     they know. The minima are aggregated before they are shuffled and joined back, so a node with very many links is no
@@ -80,18 +90,20 @@ def components(links: DataFrame, name: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = large.join(least, "hi")
+        last = pairs
         pairs = work.keep(
             moved.select("hi", F.col("m").alias("lo"))
             .unionByName(moved.where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
             .distinct()
         )
+        work.done(last)
         now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
         if now == seen:
             break
         seen = now
     stars = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     whole = stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
-    out = materialise(whole, name)
+    out = store.keep(whole) if store else materialise(whole, name)
     work.drop()
     return out
 

@@ -78,14 +78,17 @@ def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int,
 
 
 class Prefixes:
-    """Running sums from which the hash of any stretch of the bytes follows at once."""
+    """Running sums from which the hash of any stretch of the bytes follows at once.
 
-    def __init__(self, data: np.ndarray):
+    ``values`` says what a byte counts (A-Z as a-z unless another table is given), ``base`` is any odd multiplier.
+    """
+
+    def __init__(self, data: np.ndarray, base: np.uint64 = BASE, values: np.ndarray = _lower):
         n = len(data)
-        inverse = pow(int(BASE), -1, 1 << 64)
+        inverse = pow(int(base), -1, 1 << 64)
         self.total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_lower[data] * _power("inverse", inverse, n), out=self.total[1:])
-        self.base = _power("base", int(BASE), n + 1)
+        np.cumsum(values[data] * _power(f"inverse {base}", inverse, n), out=self.total[1:])
+        self.base = _power(f"base {base}", int(base), n + 1)
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end] - self.total[start]) * self.base[end])
@@ -132,8 +135,8 @@ def word_forms(data: np.ndarray, start: np.ndarray, end: np.ndarray, words: np.n
     lo, hi = np.searchsorted(kept, start), np.searchsorted(kept, end)
     total = np.zeros(len(kept) + 1, dtype=np.uint64)
     inverse = pow(int(BASE), -1, 1 << 64)
-    np.cumsum(marks[kept] * _power("inverse", inverse, len(kept)), out=total[1:])
-    forms = mix((total[hi] - total[lo]) * _power("base", int(BASE), len(kept) + 1)[hi])
+    np.cumsum(marks[kept] * _power(f"inverse {BASE}", inverse, len(kept)), out=total[1:])
+    forms = mix((total[hi] - total[lo]) * _power(f"base {BASE}", int(BASE), len(kept) + 1)[hi])
     again = np.zeros(len(words), dtype=bool)
     again[1:] = words[1:] == words[:-1]
     again[first[:-1][first[:-1] < len(words)]] = False

@@ -95,6 +95,52 @@ def test_trees_lose_no_pair():
     assert {p for p in similar if (p[0] + p[1]) % 2} <= found
 
 
+def found_pairs(sets, side=None):
+    bits, n = [jaccard.signature(s, jaccard.width(len(s))) for s in sets], np.array([len(s) for s in sets])
+    pairs = jaccard.block_pairs(bits, n, np.arange(len(sets)), side)
+    found = [(min(a, b), max(a, b)) for x, y in pairs for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def test_blocks_of_all_sizes_lose_no_pair():
+    r = np.random.default_rng(4)
+    pool = r.integers(0, 2**63, 40_000).astype(np.uint64)
+    sets = [np.unique(r.choice(pool, n)) for n in (1, 1, 2, 3, 4, 7, 30, 31, 300, 700, 1500, 4000, 9000, 9000)]
+    # subsets just over and just under three quarters
+    sets += [s[: max(1, -(-3 * len(s) // 4) + k)] for s in sets for k in (-1, 0, 3)]
+    similar = {
+        (i, j)
+        for i, j in itertools.combinations(range(len(sets)), 2)
+        if 4 * len(np.intersect1d(sets[i], sets[j])) >= 3 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert len(similar) > 40 and similar <= found_pairs(sets)
+    side = np.arange(len(sets)) % 2
+    assert {p for p in similar if (p[0] + p[1]) % 2} <= found_pairs(sets, side)
+    assert all((a + b) % 2 for a, b in found_pairs(sets, side))
+
+
+@pytest.mark.parametrize("size", [200, 1000, 5000])
+def test_unrelated_sets_of_a_block_are_pruned_whatever_their_size(size):
+    """All share one shingle, none is similar to another."""
+    r = np.random.default_rng(size)
+    sets = [np.unique(np.append(r.integers(0, 2**63, size).astype(np.uint64), np.uint64(7))) for _ in range(300)]
+    assert found_pairs(sets) == set()
+
+
+def test_steps_are_removed_when_read(spark):
+    from shelfrank.llm.tables import Scratch
+
+    work = Scratch(spark, "scratch")
+    kept = [work.keep(spark.range(n)) for n in (3, 4)]
+    path = spark._jvm.org.apache.hadoop.fs.Path(work.folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    work.done(kept[0])
+    assert [f.getPath().getName() for f in files.listStatus(path)] == ["1"] and kept[1].count() == 4
+    work.drop()
+    assert not files.exists(path)
+
+
 def test_hashes_stand_for_words():
     import pyarrow as pa
 
