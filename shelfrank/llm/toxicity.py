@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words are read as classes: insult, threat, target, negation, report, other. Five small transducers read a clause's
-classes side by side: the insult and threat transducers put out weights, the target transducer raises them, the negation
-and reported-speech transducers lower them. They are composed into one table of states, which a clause is run through;
-only clauses with an insult or threat can put anything out, so only those are run. A document's score is a logistic
-function of what its clauses put out.
+classes side by side: the insult and threat transducers mark words that put out their weight, the target transducer marks
+what it raises, the negation and reported-speech transducers what they lower. They are composed into one table of states.
+What bears on a word may stand behind it as well ("idiot, she said"), so the clause is also read from its end by a second
+table, composed of the target, negation and report transducers: outputs stay pending until both readings have marked a word
+and are settled then. Only clauses with an insult or threat can put anything out, so only those are run. A document's score
+is a logistic function of what its clauses put out.
 
 Weights of insults are learnt from labelled rows: whole words and word beginnings whose share among toxic rows is many
 times that among the others. The fixed words below stand with a prior weight until the labels say otherwise.
@@ -12,7 +14,8 @@ times that among the others. The fixed words below stand with a prior weight unt
 
 from __future__ import annotations
 
-import math
+import functools
+import operator
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -42,9 +45,12 @@ LEAST_ROWS = 4
 LEAST_SHARE = 0.015
 #: Bytes of the word beginnings that are tried.
 BEGINNINGS = (3, 4, 5, 6)
-#: Words that a negation or a target reaches, and factors.
+#: Words that a negation or a target reaches, and those that a negation behind them reaches.
 REACH = 3
-NEGATED, REPORTED, TARGETED = 0.25, 0.5, 1.5
+REACH_BACK = 1
+#: Marks of words, and factors: a target nearby, a threat without one, negation, reported speech.
+OUT, NEAR, DENIED, QUOTED = 1, 2, 4, 8
+TARGETED, UNTARGETED, NEGATED, REPORTED = 1.5, 0.5, 0.25, 0.5
 MOST_ROWS = 12_000
 THRESHOLD = 0.5
 
@@ -56,43 +62,35 @@ _ends[list(b".!?;:\n")] = 1
 
 @dataclass(frozen=True)
 class Transducer:
-    """States 0.., and for a state and a class the next state and the factor on what the clause puts out there."""
+    """States 0.., and for a state and a class the next state and the marks of the word read."""
 
     states: int
-    step: Callable[[int, int], tuple[int, float]]
+    step: Callable[[int, int], tuple[int, int]]
 
 
-def _window(opener: int, inside: float, reach: int = REACH) -> Transducer:
-    """After a word of a class, the next words within reach have a factor."""
+def _window(opener: int, mark: int, reach: int = REACH) -> Transducer:
+    """After a word of a class, the next words within reach are marked."""
 
-    def step(state: int, word: int) -> tuple[int, float]:
-        factor = inside if state else 1.0
-        return (reach, factor) if word == opener else (max(0, state - 1), factor)
+    def step(state: int, word: int) -> tuple[int, int]:
+        return (reach if word == opener else max(0, state - 1)), mark if state else 0
 
     return Transducer(reach + 1, step)
 
 
-def _latch(opener: int, inside: float) -> Transducer:
-    """After a word of a class, all words of the clause have a factor."""
-    return Transducer(2, lambda state, word: (1 if state or word == opener else 0, inside if state else 1.0))
+def _latch(opener: int, mark: int) -> Transducer:
+    """After a word of a class, all words of the clause are marked."""
+    return Transducer(2, lambda state, word: (1 if state or word == opener else 0, mark if state else 0))
 
 
-def _emit(kind: int, needs: int | None = None, reach: int = REACH) -> Transducer:
-    """Words of a class are put out; with ``needs`` only near a word of that class before them, else by half."""
-
-    def step(state: int, word: int) -> tuple[int, float]:
-        after = reach if needs is not None and word == needs else max(0, state - 1)
-        if word != kind:
-            return after, 1.0
-        return after, 1.0 if needs is None or state else 0.5
-
-    return Transducer(reach + 1, step)
+def _emit(kind: int, mark: int = OUT) -> Transducer:
+    """Words of a class are marked."""
+    return Transducer(1, lambda state, word: (0, mark if word == kind else 0))
 
 
 def compose(parts: list[Transducer], classes: int = 6) -> tuple[np.ndarray, np.ndarray]:
-    """The product of transducers that read the same words: next states and products of factors, reachable states only."""
+    """The product of transducers that read the same words: next states and all marks, reachable states only."""
     number = {(0,) * len(parts): 0}
-    queue, nexts, factors = [(0,) * len(parts)], [], []
+    queue, nexts, marks = [(0,) * len(parts)], [], []
     for states in queue:
         row, own = [], []
         for word in range(classes):
@@ -102,22 +100,50 @@ def compose(parts: list[Transducer], classes: int = 6) -> tuple[np.ndarray, np.n
                 number[to] = len(number)
                 queue.append(to)
             row.append(number[to])
-            own.append(math.prod(m[1] for m in moved) if word in (INSULT, THREAT) else 0.0)
+            own.append(functools.reduce(operator.or_, (m[1] for m in moved), 0))
         nexts.append(row)
-        factors.append(own)
-    return np.array(nexts), np.array(factors)
+        marks.append(own)
+    return np.array(nexts), np.array(marks)
 
 
-def grammar() -> tuple[list[list[int]], list[list[float]]]:
-    parts = [
-        _emit(INSULT),
-        _emit(THREAT, TARGET),
-        _window(TARGET, TARGETED),
-        _window(NEGATION, NEGATED),
-        _latch(REPORT, REPORTED),
-    ]
-    nexts, factors = compose(parts)
-    return nexts.tolist(), factors.tolist()
+def settled(word: int, marks: int) -> float:
+    """The share of its weight that a word of a class puts out, by its marks from both readings."""
+    if not marks & OUT:
+        return 0.0
+    near = TARGETED if marks & NEAR else UNTARGETED if word == THREAT else 1.0
+    return near * (NEGATED if marks & DENIED else 1.0) * (REPORTED if marks & QUOTED else 1.0)
+
+
+@dataclass(frozen=True)
+class Grammar:
+    """Tables of the readings from the beginning and from the end, and what a class with marks puts out."""
+
+    ahead: tuple[list[list[int]], list[list[int]]]
+    back: tuple[list[list[int]], list[list[int]]]
+    share: list[list[float]]
+
+    def output(self, kinds: list[int], weights: list[float]) -> float:
+        """What one clause puts out."""
+        nexts, marks = self.back
+        state, pending = 0, []
+        for word in reversed(kinds):
+            pending.append(marks[state][word])
+            state = nexts[state][word]
+        nexts, marks = self.ahead
+        state, total = 0, 0.0
+        for word, weight in zip(kinds, weights, strict=True):
+            behind = pending.pop()
+            if weight:
+                total += weight * self.share[word][marks[state][word] | behind]
+            state = nexts[state][word]
+        return total
+
+
+def grammar() -> Grammar:
+    ahead = [_emit(INSULT), _emit(THREAT), _window(TARGET, NEAR), _window(NEGATION, DENIED), _latch(REPORT, QUOTED)]
+    back = [_window(TARGET, NEAR), _window(NEGATION, DENIED, REACH_BACK), _latch(REPORT, QUOTED)]
+    tables = [tuple(t.tolist() for t in compose(parts)) for parts in (ahead, back)]
+    return Grammar(*tables, [[settled(word, marks) for marks in range(16)] for word in range(6)])
 
 
 @dataclass
@@ -192,7 +218,7 @@ def _hash(data: bytes) -> int:
 def clause_evidence(column: pa.Array, lexicon: Lexicon) -> Iterator[tuple[int, float, float, int]]:
     """For every row: clauses that put anything out, the sum and the largest of their outputs, words."""
     keys, kinds, weights, beginnings = lexicon.tables()
-    nexts, factors = grammar()
+    rules = grammar()
     for lo, hi, data, offsets in steps(column):
         if not len(data):
             yield from [(0, 0.0, 0.0, 0)] * (hi - lo)
@@ -226,11 +252,7 @@ def clause_evidence(column: pa.Array, lexicon: Lexicon) -> Iterator[tuple[int, f
             ids, at = np.unique(clause[hot], return_index=True)
             begin, stop = np.searchsorted(clause, ids), np.searchsorted(clause, ids, side="right")
             for b, e, row in zip(begin.tolist(), stop.tolist(), row_of[at].tolist(), strict=True):
-                state, total = 0, 0.0
-                for word, w in zip(kind[b:e].tolist(), weight[b:e].tolist(), strict=True):
-                    if w and factors[state][word]:
-                        total += w * factors[state][word]
-                    state = nexts[state][word]
+                total = rules.output(kind[b:e].tolist(), weight[b:e].tolist())
                 if total > 0:
                     mine = out[row]
                     mine[0] += 1

@@ -1,12 +1,14 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from shelfrank.llm import quality, toxicity
-from tests.llm.frames import frame, odd_rows, prose
+from tests.llm.frames import frame, lower, odd_rows, prose
 
 
 def labelled(spark, n, spoil, label):
@@ -116,19 +118,109 @@ def test_clauses_not_words_are_scored():
     assert evidence(None) == (0, 0.0, 0.0, 0) and evidence("")[0] == 0
 
 
+def test_what_stands_behind_a_word_counts_too():
+    assert evidence("i will kill you")[1] == evidence("you i will kill")[1] == 1.5 * toxicity.PRIOR
+    assert evidence("you idiot, she said")[1] == evidence("she said you idiot")[1] == 0.75 * toxicity.PRIOR
+    assert evidence("du bist dumm nicht")[1] == evidence("du bist nicht dumm")[1] == 0.375 * toxicity.PRIOR
+    assert evidence("idiot, are you")[1] == 1.5 * toxicity.PRIOR and evidence("kill the process")[1] == 0.5 * toxicity.PRIOR
+    assert evidence("idiot. she said")[1] == toxicity.PRIOR
+
+
+def plain_clause(kinds, weights):
+    """What a clause puts out, by looking at all words around each."""
+    total = 0.0
+    for i, (kind, w) in enumerate(zip(kinds, weights, strict=True)):
+        if kind not in (toxicity.INSULT, toxicity.THREAT) or not w:
+            continue
+        near = toxicity.TARGET in kinds[max(0, i - 3) : i] + kinds[i + 1 : i + 4]
+        w *= 1.5 if near else 0.5 if kind == toxicity.THREAT else 1.0
+        w *= 0.25 if toxicity.NEGATION in kinds[max(0, i - 3) : i] + kinds[i + 1 : i + 2] else 1.0
+        total += w * (0.5 if toxicity.REPORT in kinds[:i] + kinds[i + 1 :] else 1.0)
+    return total
+
+
+def test_readings_from_both_ends_settle_clauses():
+    r, rules = random.Random(2), toxicity.grammar()
+    for _ in range(400):
+        kinds = [r.choice([0, 0, 0, 1, 2, 3, 4, 5]) for _ in range(r.randrange(14))]
+        weights = [r.choice([1.0, 2.5]) if k in (1, 2) else 0.0 for k in kinds]
+        assert rules.output(kinds, weights) == pytest.approx(plain_clause(kinds, weights))
+    assert len(rules.ahead[0]) <= 4 * 4 * 2
+
+
 def test_composed_table_equals_transducers_side_by_side():
-    parts = [toxicity._emit(1), toxicity._window(4, 0.25), toxicity._latch(5, 0.5)]
-    nexts, factors = toxicity.compose(parts)
+    parts = [toxicity._emit(1), toxicity._window(4, 4), toxicity._latch(5, 8)]
+    nexts, marks = toxicity.compose(parts)
     r = random.Random(2)
     for _ in range(50):
         states, state = [0] * len(parts), 0
         for word in [r.randrange(6) for _ in range(20)]:
             moved = [p.step(s, word) for p, s in zip(parts, states, strict=True)]
-            want = np.prod([m[1] for m in moved]) if word in (1, 2) else 0.0
-            assert factors[state, word] == want
+            assert marks[state, word] == sum(m[1] for m in moved)
             states, state = [m[0] for m in moved], nexts[state, word]
 
 
+def plain_lexicon(rows):
+    """Insults from labelled rows (text, y), counted word by word."""
+    bad, good = Counter(), Counter()
+    for text, y in rows:
+        for word in set(re.split(r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", lower(text))):
+            (bad if y else good)[word] += 1
+    toxic, clean = sum(y for _, y in rows), sum(not y for _, y in rows)
+    odds = lambda b, g: np.log((b + 0.5) / (toxic + 1)) - np.log((g + 0.5) / (clean + 1))
+    least = max(toxicity.LEAST_ROWS, toxicity.LEAST_SHARE * toxic)
+    fixed = {w: (k, toxicity.PRIOR) for k, text in toxicity.FIXED.items() for w in text.split()}
+    words = {}
+    for word in {*bad, *good}:
+        if len(word) > 1 and bad[word] >= least and odds(bad[word], good[word]) >= toxicity.LEAST_WEIGHT:
+            words[word] = odds(bad[word], good[word])
+        elif fixed.get(word, (0,))[0] == toxicity.INSULT:
+            words[word] = max(0.0, min(toxicity.PRIOR, odds(bad[word], good[word])))
+    starts = {}
+    for n in toxicity.BEGINNINGS:
+        of = {w: w.encode()[:n] for w in {*bad, *good} if len(w.encode()) > n}
+        for start in set(of.values()):
+            b, g = (sum(c[w] for w, x in of.items() if x == start) for c in (bad, good))
+            if b >= 2 * least and odds(b, g) >= toxicity.LEAST_WEIGHT + 1:
+                if not any(start[:k] in starts.get(k, {}) for k in toxicity.BEGINNINGS if k < n):
+                    starts.setdefault(n, {})[start] = min(odds(b, g), 6.0)
+    known = fixed | {w: (toxicity.INSULT, min(v, 6.0)) for w, v in words.items() if fixed.get(w, (toxicity.INSULT,))[0] == toxicity.INSULT}
+    return known, starts
+
+
+def test_lexicon_and_evidence_are_the_plain_ones(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(500):
+        text, bad = prose(i, 25), i % 4 == 0
+        if bad:
+            text = insult(i, text) + r.choice([" you fool.", "! kill them", " said she", ""])
+        elif i % 9 == 0:
+            text += r.choice([" fool the eye", ". Not stupid at all", " ÉCOLE"])
+        rows.append((text, float(bad)))
+    got = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, y double"))
+    known, starts = plain_lexicon(rows)
+    assert {h: (k, pytest.approx(w)) for h, (k, w) in got.words.items()} == {toxicity.stretch_hash(w): v for w, v in known.items()}
+    want = {n: {toxicity._hash(b): v for b, v in own.items()} for n, own in starts.items()}
+    assert got.beginnings.keys() == want.keys() and all(got.beginnings[n] == pytest.approx(want[n]) for n in want)
+    assert any(starts.values())
+    texts = [t for t, _ in rows] + [t for _, t, *_ in odd_rows()] + ["You idiot; I hurt you: fool\nglorpix. not dumb"]
+    for text, found in zip(texts, toxicity.clause_evidence(pa.array(texts, pa.string()), got), strict=True):
+        outs, n = [], 0
+        for clause in re.split(r"[.!?;:\n]+", text or ""):
+            kinds, weights = [], []
+            for word in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower(clause)):
+                kind, w = 0, 0.0
+                for b in [v for k, own in starts.items() for s, v in own.items() if len(word.encode()) > k and word.encode()[:k] == s]:
+                    kind, w = toxicity.INSULT, max(w, b)
+                kind, w = known.get(word, (kind, w))
+                kinds.append(kind)
+                weights.append(w if kind in (toxicity.INSULT, toxicity.THREAT) else 0.0)
+            n += len(kinds)
+            outs += [x for x in [plain_clause(kinds, weights)] if x > 0]
+        assert found == pytest.approx((len(outs), sum(outs), max(outs, default=0.0), n))
+
+
 def test_toxic_rows_go_with_all_their_columns(spark):
     docs, labels, rows, known = labelled(spark, 600, insult, "toxic")
     kept = toxicity.drop_toxic(docs, labels)
