@@ -229,6 +229,18 @@ class SignatureTree:
                 child_a, child_b = child_a[keep], child_b[keep]
             stack += [(level - 1, child_a[i : i + step], child_b[i : i + step]) for i in range(0, len(child_a), step)]
 
+    def bound(self, a: np.ndarray, other: SignatureTree, b: np.ndarray) -> np.ndarray:
+        """The most elements that the sets at places ``a`` share with those of the other tree at places ``b``."""
+        rank_a, rank_b = (np.empty_like(t.order) for t in (self, other))
+        rank_a[self.order], rank_b[other.order] = np.arange(len(self.order)), np.arange(len(other.order))
+        (x, n_x, *_), (y, n_y, *_) = self.levels[0], other.levels[0]
+        step = max(64, STEP // (8 * x.shape[1]))
+        parts = [
+            overlap_bound(x[i], n_x[i], y[j], n_y[j])
+            for i, j in ((rank_a[a[k : k + step]], rank_b[b[k : k + step]]) for k in range(0, len(a), step))
+        ]
+        return np.concatenate([*parts, np.zeros(0, np.int64)])
+
     def _children(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         below = len(self.levels[level - 1][0])
         if below == len(self.levels[level][0]):
@@ -249,8 +261,11 @@ def _narrowed(bits: list[bytes], at: np.ndarray, width_: int) -> np.ndarray:
     return np.stack([folded(bits[k], width_) for k in at])
 
 
-def block_pairs(bits: list[bytes], n: np.ndarray, group: np.ndarray, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the pairs of a block that its trees leave; with ``side`` (0 or 1 per row) only those of unlike sides.
+def block_pairs(
+    bits: list[bytes], n: np.ndarray, group: np.ndarray, side: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of the pairs of a block that its trees leave, and the most elements they can share; with ``side`` (0 or 1 per
+    row) only pairs of unlike sides.
 
     One tree stands for a class of sizes, at the width of its smallest set, and is descended with itself and with that of
     the next class, so signatures are as wide as the sets they stand for and long sets do not fill them.
@@ -275,13 +290,39 @@ def block_pairs(bits: list[bytes], n: np.ndarray, group: np.ndarray, side: np.nd
             if one is None or other is None:
                 continue
             for i, j in one[0].pairs(None if x == y else other[0]):
-                yield one[1][i], other[1][j]
-
-
-def tree_pairs(members: DataFrame) -> DataFrame:
+                yield one[1][i], other[1][j], one[0].bound(i, other[0], j)
+
+
+def forest(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of a block those that tie its groups together, the likeliest first: fewer than it has groups."""
+    a, b, most = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    order = np.lexsort((b, a, -most / (n[a] + n[b] - most)))
+    names, own = np.unique(group, return_inverse=True)
+    above, left, kept = list(range(len(names))), len(names) - 1, []
+
+    def top(k: int) -> int:
+        while above[k] != k:
+            above[k] = above[above[k]]
+            k = above[k]
+        return k
+
+    for k, x, y in zip(order.tolist(), own[a[order]].tolist(), own[b[order]].tolist(), strict=True):
+        x, y = top(x), top(y)
+        if x != y:
+            above[x] = y
+            kept.append(k)
+            left -= 1
+            if not left:
+                break
+    return a[kept], b[kept]
+
+
+def tree_pairs(members: DataFrame, all_pairs: bool = True) -> DataFrame:
     """Pairs ``a, b`` that the trees leave, of block members ``token, row_no, component, n, bits, n_rows``.
 
-    A block larger than a slice is cut into slices by a hash of the row; each pair of slices meets in a task of its own.
+    A block larger than a slice is cut into slices by a hash of the row; each pair of slices meets in a task of its own. With
+    ``all_pairs`` off a task hands on only as many pairs as tie the groups together that it has pairs of, so what leaves it
+    grows with its rows.
     """
     slices = F.ceil(F.col("n_rows") / SLICE).cast("long")
     own = F.pmod(F.xxhash64("row_no"), F.col("slices"))
@@ -308,7 +349,11 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             left, right = table["left"][0].as_py(), table["right"][0].as_py()
             own, rows, group, n = (table[k].to_numpy() for k in ("own", "row_no", "component", "n"))
             side = None if left == right else (own == right).astype(np.int8)
-            for i, j in block_pairs(table["bits"].to_pylist(), n, group, side):
+            found = block_pairs(table["bits"].to_pylist(), n, group, side)
+            if not all_pairs:
+                found = list(found)
+                found = [(*forest(found, n, group), None)] if found else []
+            for i, j, _ in found:
                 a, b = rows[i], rows[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -393,6 +438,29 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -
     return out
 
 
+def open_pairs(blocks: DataFrame, known: DataFrame, sets: DataFrame, all_pairs: bool) -> DataFrame:
+    """Pairs ``a, b`` that the trees leave of sets in one block (``token, row_no``) but in different known components."""
+    grouped = blocks.join(known, F.col("row_no") == F.col("node"), "left").select(
+        "token", "row_no", F.coalesce("component", "row_no").alias("component")
+    )
+    # blocks within one group are settled, and of blocks with the same rows one is enough
+    open_ = (
+        grouped.groupBy("token")
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.count("*").alias("n_rows"),
+            F.sum(F.xxhash64("row_no").cast("decimal(38,0)")).alias("rows_hash"),
+            F.sum(F.xxhash64("row_no", F.lit(1)).cast("decimal(38,0)")).alias("rows_check"),
+        )
+        .where("least < most")
+        .groupBy("n_rows", "rows_hash", "rows_check")
+        .agg(F.min("token").alias("token"))
+        .select("token", "n_rows")
+    )
+    return tree_pairs(grouped.join(open_, "token").join(sets.select("row_no", "n", "bits"), "row_no"), all_pairs)
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept, text_key``.
 
@@ -430,32 +498,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     work.done(near)
     known = components(links, "jaccard-first", work)
 
-    grouped = blocks.join(known, F.col("row_no") == F.col("node"), "left").select(
-        "token", "row_no", F.coalesce("component", "row_no").alias("component")
-    )
-    grouped = work.keep(grouped)
-    work.done(blocks, known)
-    # blocks within one group are settled, and of blocks with the same rows one is enough
-    open_ = (
-        grouped.groupBy("token")
-        .agg(
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.count("*").alias("n_rows"),
-            F.sum(F.xxhash64("row_no").cast("decimal(38,0)")).alias("rows_hash"),
-            F.sum(F.xxhash64("row_no", F.lit(1)).cast("decimal(38,0)")).alias("rows_check"),
-        )
-        .where("least < most")
-        .groupBy("n_rows", "rows_hash", "rows_check")
-        .agg(F.min("token").alias("token"))
-        .select("token", "n_rows")
-    )
-    members = grouped.join(open_, "token").join(distinct.select("row_no", "n", "bits"), "row_no")
-    pairs = work.keep(tree_pairs(members))
-    work.done(grouped)
-    more = linked(pairs, distinct, docs, work)
+    # First the likeliest pairs that tie groups together, fewer than there are rows; what is still apart after that differs
+    # or stands near the limit, and there all pairs that have not been counted yet are.
+    tied = work.keep(open_pairs(blocks, known, distinct, False))
+    more = linked(tied, distinct, docs, work)
+    work.done(known)
+    links = links.unionByName(more)
+    known = components(links, "jaccard-tied", work)
+    pairs = work.keep(open_pairs(blocks, known, distinct, True).join(tied, ["a", "b"], "left_anti"))
+    work.done(blocks, known, tied)
+    rest = linked(pairs, distinct, docs, work)
     work.done(pairs)
-    whole = components(links.unionByName(more), "jaccard-all", work)
+    whole = components(links.unionByName(rest), "jaccard-all", work)
 
     node = F.coalesce("class", "row_no")
     rows = (

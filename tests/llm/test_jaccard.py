@@ -98,7 +98,7 @@ def test_trees_lose_no_pair():
 def found_pairs(sets, side=None):
     bits, n = [jaccard.signature(s, jaccard.width(len(s))) for s in sets], np.array([len(s) for s in sets])
     pairs = jaccard.block_pairs(bits, n, np.arange(len(sets)), side)
-    found = [(min(a, b), max(a, b)) for x, y in pairs for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+    found = [(min(a, b), max(a, b)) for x, y, _ in pairs for a, b in zip(x.tolist(), y.tolist(), strict=True)]
     assert len(found) == len(set(found))
     return set(found)
 
@@ -128,6 +128,26 @@ def test_unrelated_sets_of_a_block_are_pruned_whatever_their_size(size):
     assert found_pairs(sets) == set()
 
 
+def test_a_forest_ties_the_groups_that_pairs_tie():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        size = int(r.integers(2, 30))
+        group, n = r.integers(0, 9, size), r.integers(5, 50, size)
+        a, b = r.integers(0, size, (2, int(r.integers(1, 60))))
+        most = r.integers(1, 5, len(a))
+        x, y = jaccard.forest([(a[:7], b[:7], most[:7]), (a[7:], b[7:], most[7:])], n, group)
+        assert len(x) < len(np.unique(group)) and {*zip(x, y)} <= {*zip(a, b)}
+
+        def parts(p, q):
+            own = {g: g for g in group.tolist()}
+            for i, j in zip(group[p].tolist(), group[q].tolist()):
+                low, high = sorted((own[i], own[j]))
+                own = {g: low if v == high else v for g, v in own.items()}
+            return own
+
+        assert parts(x, y) == parts(a, b)
+
+
 def test_steps_are_removed_when_read(spark):
     from shelfrank.llm.tables import Scratch
 
