@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfrank.llm import exact, jaccard, mixing, packing, toxicity
-from shelfrank.session import materialise
+from shelfrank.llm.tables import Scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    """All stages over ``documents``, each written to the shared folder and read again; what no stage reads any more goes."""
+    docs, work = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
+    for n, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, work.keep(stage(spark, docs, sf_dir))
+        if n:
+            work.done(before)
     return STAGES[-1][1](spark, docs, sf_dir)
