@@ -214,8 +214,13 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """The documents with the passages that are not kept cut out of their texts; by doc_id, which has to be unique."""
-    cuts = passages.where(~F.col("kept")).groupBy("doc_id").agg(
+    """The documents with the passages that are not kept cut out of their texts.
+
+    ``docs`` is the stored table that the passages were found in, read the same way: rows are known by their number in it, so
+    documents may share a doc_id or have none.
+    """
+    number, own_id = spare(docs, "row_no"), spare(docs, "cut_id")
+    cuts = passages.where(~F.col("kept")).groupBy(F.col("row_no").alias("cut_no"), F.col("doc_id").alias(own_id)).agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(spare(docs, "cuts"))
     )
     at = docs.columns.index("text")
@@ -237,4 +242,6 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
             columns[at] = pa.array(out, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return docs.join(cuts, docs["doc_id"] == cuts["doc_id"], "left").drop(cuts["doc_id"]).mapInArrow(run, docs.schema)
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    same = (numbered[number] == cuts["cut_no"]) & numbered["doc_id"].eqNullSafe(cuts[own_id])
+    return numbered.join(cuts, same, "left").drop(cuts["cut_no"], cuts[own_id], numbered[number]).mapInArrow(run, docs.schema)

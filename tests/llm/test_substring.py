@@ -105,6 +105,18 @@ def test_passages_are_cut_out(spark):
     assert np.mean([len(t.split()) for t in texts.values()]) < 90
 
 
+def test_documents_that_share_an_id_or_have_none_are_cut_by_row(spark):
+    rows, passages = planted()
+    same = [(None if i % 8 == 0 else 2, "é ü " * (i % 3) + text) for i, text in rows]
+    docs = frame(spark, same)
+    before, after = ([r.text for r in df.collect()] for df in (docs, substring.remove_passages(docs, substring.repeated_passages(docs))))
+    assert len(after) == len(before) and sum(p in t for t in after for p in passages) == 2
+    assert sum(p in t for t in before for p in passages) >= 10
+    # what is left of a text are words of one of the texts, in their order
+    words = [set(t.split()) for t in before]
+    assert all(any(set(t.split()) <= own for own in words) for t in after)
+
+
 def test_every_chunk_keeps_its_first_place(spark):
     own = [prose(50 + i, 40, 9999) for i in range(9)]
     a, b, c, d = (prose(2000 + k, 60, 9999) for k in range(4))
