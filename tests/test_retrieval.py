@@ -129,3 +129,45 @@ def test_blocks_of_short_books_meet_no_users(spark, monkeypatch):
     for user in range(40):
         score = v.astype(np.float32).astype(float) @ u[user].astype(np.float32).astype(float)
         assert got[got.user_id == user].sort_values("rank").book_id.tolist() == list(np.argsort(-score)[:5])
+
+
+def test_pairs_without_factors_do_not_travel(spark, monkeypatch):
+    """Pairs of unknown users or books cannot change a list, so cells are not sized or filled by them."""
+    met = []
+    cells = retrieval._in_cells
+
+    def spy(users, items, seen, *rest):
+        met.append(seen.count())
+        return cells(users, items, seen, *rest)
+
+    monkeypatch.setattr(retrieval, "_in_cells", spy)
+    known = [s for s in SEEN if s[0] % 2 == 0]
+    unknown = [(u, b) for u in range(900, 920) for b in range(70)] + [(u, b) for u in range(40) for b in range(500, 520)]
+    seen = scores(spark, [(u, b, 1.0) for u, b in known + unknown])
+    got = retrieval.generate_candidates(factors(spark, U), factors(spark, V), seen, k=8).toPandas()
+    assert met == [len(known)]
+    owned = set(known)
+    for user in range(2, 40):
+        want = [b for b, _ in brute(user, 70) if (user, b) not in owned][:8]
+        assert got[got.user_id == user].sort_values("rank").candidate_book_id.tolist() == want
+
+
+def test_single_precision_only_prepares(monkeypatch):
+    """Products that single precision cannot tell apart are ranked by doubles, and few of them are taken in doubles."""
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(900, 8)).astype(np.float32)
+    v[300:] = v[rng.integers(0, 20, 600)]
+    v[300:, 0] = np.nextafter(v[300:, 0], np.float32(9)) + np.float32(0)
+    u = rng.normal(size=(50, 8)).astype(np.float32)
+    monkeypatch.setattr(retrieval, "ITEM_CHUNK", 128)
+    rows = []
+    einsum = np.einsum
+    monkeypatch.setattr(np, "einsum", lambda s, x, y, **kw: rows.append(len(x)) or einsum(s, x, y, **kw))
+    places, scores_, _, _ = retrieval.top_products(u, v, 5, (np.zeros(0, int), np.zeros(0, int)))
+    assert sum(rows) < 50 * 900 / 2
+    product = np.round(u.astype(float) @ v.astype(float).T, 12)
+    want = np.lexsort((np.broadcast_to(np.arange(900), product.shape), -product), axis=1)[:, :5]
+    assert (places == want).all() and np.allclose(scores_, np.take_along_axis(product, want, 1), atol=2e-12)
+    # vectors beyond single precision are taken in doubles throughout
+    huge = retrieval.top_products(u.astype(float) * 1e30, v, 5, (np.zeros(0, int), np.zeros(0, int)))[0]
+    assert (np.take_along_axis(product, huge, 1) == np.take_along_axis(product, want, 1)).all()
