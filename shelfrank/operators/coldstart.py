@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.config import ColdStartConfig
 from shelfrank.functions.ordering import percent_rank_table, slice_bounds, top_per_group
 from shelfrank.functions.scalars import full_value
+from shelfrank.functions.vectors import one_chunk
+from shelfrank.operators.grid import Grid
 from shelfrank.operators.interactions import book_counts
 from shelfrank.operators.joins import join_listed
 from shelfrank.session import materialise
@@ -161,6 +167,10 @@ def hybrid_blend(
 
 # Scores that differ by less are equal sums in another order.
 SLACK = 1e-9
+# Books of a cell that are asked for and that answer, on average.
+COLD_PER_CELL, WARM_PER_CELL = 20_000, 100_000
+# Of the answering books' number, the postings up to which a book's candidates are scored one by one and not all books at once.
+FEW = 1 / 32
 
 
 def content_terms(books: DataFrame) -> DataFrame:
@@ -182,12 +192,82 @@ def content_terms(books: DataFrame) -> DataFrame:
     return rows.groupBy("book_id", "term").agg(F.sum("weight").alias("weight"))
 
 
+def _coded(column: pa.ChunkedArray, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ends of the lists, places of their strings in ``words`` or -1) of a column of lists."""
+    lists = one_chunk(column)
+    codes = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.r_[0, np.cumsum(sizes)], codes
+
+
+def _similar_in_cell(k: int):
+    """Cell function: the ``k`` best books of the block for each asked book with a term to read that a book of it has.
+
+    An asked book has its ``names`` and ``weights``, the terms to ``read`` and, if known, the ``least`` score that matters.
+    """
+
+    def run(asked: pa.Table, books: pa.Table) -> pa.Table:
+        ids = {"book_id": asked.column("book_id"), "similar_book_id": books.column("similar_book_id")}
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        n = books.num_rows
+        if n and asked.num_rows:
+            # ascending ids, so that a place doubles as the tie-break
+            books = books.sort_by("similar_book_id")
+            ids["similar_book_id"] = books.column("similar_book_id")
+            words = pc.unique(one_chunk(books.column("names")).flatten())
+            ends, codes = _coded(books.column("names"), words)
+            order = np.argsort(codes, kind="stable")
+            holder = np.repeat(np.arange(n), np.diff(ends))[order]
+            weight = one_chunk(books.column("weights")).flatten().to_numpy()[order]
+            first = np.r_[0, np.cumsum(np.bincount(codes, minlength=len(words)))]
+            rating = books.column("other_rating").to_numpy()
+            own_ends, own = _coded(asked.column("names"), words)
+            own_weight = one_chunk(asked.column("weights")).flatten().to_numpy()
+            read_ends, read = _coded(asked.column("read"), words)
+            own_rating = asked.column("rating").to_numpy()
+            least = pc.fill_null(asked.column("least"), -math.inf).to_numpy()
+            for row in range(asked.num_rows):
+                terms = [t for t in read[read_ends[row] : read_ends[row + 1]] if t >= 0]
+                if not terms:
+                    continue
+                mine = [(own[x], own_weight[x]) for x in range(own_ends[row], own_ends[row + 1]) if own[x] >= 0]
+                if sum(first[t + 1] - first[t] for t in terms) <= n * FEW:
+                    at = np.unique(np.concatenate([holder[first[t] : first[t + 1]] for t in terms]))
+                    score = np.zeros(len(at))
+                    for t, w in mine:
+                        has = holder[first[t] : first[t + 1]]
+                        near = np.minimum(np.searchsorted(has, at), len(has) - 1)
+                        score += np.where(has[near] == at, w * weight[first[t] + near], 0.0)
+                    score += own_rating[row] * rating[at]
+                else:
+                    at, score = np.arange(n), np.zeros(n)
+                    for t, w in mine:
+                        # a book has a term once
+                        score[holder[first[t] : first[t + 1]]] += w * weight[first[t] : first[t + 1]]
+                    score += own_rating[row] * rating
+                limit = least[row]
+                if limit == -math.inf and len(at) > k:
+                    limit = np.partition(score, len(at) - k)[len(at) - k]
+                good = np.flatnonzero(score >= limit - SLACK)
+                full = np.round(score[good], 12) + 0.0
+                best = np.argsort(-full, kind="stable")[:k]
+                found.append((row, at[good[best]], full[best]))
+        row = np.concatenate([np.full(len(at), r) for r, at, _ in found] or [np.zeros(0, int)])
+        at = np.concatenate([x for _, x, _ in found] or [np.zeros(0, int)])
+        score = np.concatenate([x for _, _, x in found] or [np.zeros(0)])
+        names = ["book_id", "similar_book_id", "similarity"]
+        return pa.table([ids["book_id"].take(row), ids["similar_book_id"].take(at), score], names)
+
+    return run
+
+
 def similar_books(books: DataFrame, cold: DataFrame, k: int = 5) -> DataFrame:
     """(book_id, similar_book_id, similarity, rank): the ``k`` most similar other books of every book of ``cold`` (book_id).
 
     Similarity is the inner product of the books' terms plus that of their ratings, (rating - 3) / 4; ties go to the smaller
-    id. Exact, and without comparing all books: an inverted index of the other books' terms is read for the rarest term of a
-    cold book first. The k-th best score found there bounds what else can matter: a book with none of the terms that are
+    id. Exact, and no pair of books is a row of its own: cold and other books meet in cells of a block of each, where an
+    inverted index of the other books' terms adds up the scores and only ``k`` rows a cold book leave a cell. The index is
+    read for the rarest term of a cold book first. The k-th best score found there bounds what else can matter: a book with none of the terms that are
     read scores at most the sum of the largest products of the terms left out and of the ratings, so the most frequent terms
     are left out as long as that sum stays below the bound. Books that share no term differ by their rating alone, so the
     k best by it are candidates of every cold book.
@@ -223,10 +303,32 @@ def similar_books(books: DataFrame, cold: DataFrame, k: int = 5) -> DataFrame:
         score = full_value(common + F.col("_r") * F.col("_s")) + 0.0
         return both.select("book_id", "similar_book_id", score.alias("similarity"))
 
+    n_cold, n_warm = marked.agg(F.count_if("is_cold"), F.count_if(~F.col("is_cold"))).first()
+    grid = Grid(max(1, math.ceil(n_cold / COLD_PER_CELL)), max(1, math.ceil(n_warm / WARM_PER_CELL)))
+    apart = [F.map_keys("terms").alias("names"), F.map_values("terms").alias("weights")]
+    answering = whole.where(~F.col("is_cold") & F.col("terms").isNotNull()).select(
+        grid.each_user_block().alias("ub"),
+        grid.item_block("book_id").alias("ib"),
+        F.col("book_id").alias("similar_book_id"),
+        F.col("rating").alias("other_rating"),
+        *apart,
+    )
+    kind = marked.schema["book_id"].dataType.simpleString()
+
+    def in_cells(wanted: DataFrame) -> DataFrame:
+        """The best books of every cell that have a term of ``wanted`` (book_id, term, least)."""
+        read = wanted.groupBy("book_id").agg(F.collect_list("term").alias("read"), F.first("least").alias("least"))
+        asking = whole.where("is_cold").join(read, "book_id").select(
+            grid.user_block("book_id").alias("ub"), "book_id", "rating", *apart, "read", "least"
+        )
+        asking = asking.withColumn("ib", grid.each_item_block())
+        cells = grid.spread(asking).groupBy("ub", "ib").cogroup(grid.spread(answering).groupBy("ub", "ib"))
+        return cells.applyInArrow(_similar_in_cell(k), f"book_id {kind}, similar_book_id {kind}, similarity double")
+
     by_rarity = Window.partitionBy("book_id").orderBy((F.col("books") >= k).desc(), "books", "term")
     first = asked.withColumn("_n", F.row_number().over(by_rarity))
-    seeds = first.where("_n = 1").join(postings.drop("weight"), "term").select("book_id", "similar_book_id")
-    seeded = materialise(scored(seeds), "content-seeded")
+    seeds = first.where("_n = 1").select("book_id", "term", F.lit(None).cast("double").alias("least"))
+    seeded = materialise(in_cells(seeds), "content-seeded")
 
     kth = top_per_group(seeded, ["book_id"], [F.desc("similarity")], k).where(F.col("rank") == k)
     warm = marked.where(~F.col("is_cold"))
@@ -237,7 +339,7 @@ def similar_books(books: DataFrame, cold: DataFrame, k: int = 5) -> DataFrame:
     left_out = F.sum("most").over(Window.partitionBy("book_id").orderBy(F.desc("books"), "term")) + F.col("_rated")
     rest = first.where("_n > 1").join(limits, "book_id").withColumn("_rest", left_out)
     needed = rest.where(F.col("_least").isNull() | (F.col("_rest") >= F.col("_least") - SLACK))
-    more = needed.join(postings.drop("weight"), "term").select("book_id", "similar_book_id")
+    more = materialise(in_cells(needed.select("book_id", "term", F.col("_least").alias("least"))), "content-more")
 
     def best_rated(order: Column, kind: Column) -> DataFrame:
         top = [r["book_id"] for r in warm.orderBy(order, "book_id").limit(k).collect()]  # k rows
@@ -250,6 +352,7 @@ def similar_books(books: DataFrame, cold: DataFrame, k: int = 5) -> DataFrame:
         .unionByName(best_rated(F.asc("rating"), rating < 0))
         .unionByName(best_rated(F.asc("book_id"), rating == 0))
     )
-    others = more.unionByName(by_rating).distinct().join(seeded, ["book_id", "similar_book_id"], "left_anti")
-    every = seeded.unionByName(materialise(scored(others), "content-others"))
+    found = seeded.unionByName(more).dropDuplicates(["book_id", "similar_book_id"])
+    others = by_rating.distinct().join(found.drop("similarity"), ["book_id", "similar_book_id"], "left_anti")
+    every = found.unionByName(materialise(scored(others), "content-others"))
     return top_per_group(every, ["book_id"], [F.desc("similarity"), F.asc("similar_book_id")], k)

@@ -166,3 +166,25 @@ def test_frequent_terms_are_left_out(spark):
     assert got == plain_similar(data, set(range(0, 400, 40)), 5)
     read = dict(seen)
     assert read["content-seeded"] + read["content-others"] <= 10 * 25  # of 3,900 pairs
+
+
+@pytest.mark.parametrize("sizes", [(20_000, 100_000), (7, 40)])
+def test_frequent_rarest_terms_make_no_rows_of_pairs(spark, monkeypatch, sizes):
+    """Where even a book's rarest term is frequent, cells still hand on ``k`` rows a cold book each, however they are cut."""
+    monkeypatch.setattr(coldstart, "COLD_PER_CELL", sizes[0])
+    monkeypatch.setattr(coldstart, "WARM_PER_CELL", sizes[1])
+    r = np.random.default_rng(4)
+    data = [(b, f"w{r.integers(3)} w{r.integers(3)}", f"A{r.integers(3)}", f"c{r.integers(2)}", float(r.integers(0, 6)), 1) for b in range(400)]
+    cold = list(range(0, 400, 20))
+    stored, read = coldstart.materialise, {}
+
+    def spy(df, name, *rest):
+        out = stored(df, name, *rest)
+        read[name] = out.count()
+        return out
+
+    monkeypatch.setattr(coldstart, "materialise", spy)
+    got = similar(books(spark, data), spark.createDataFrame([(b,) for b in cold], "book_id long"))
+    assert got == plain_similar(data, set(cold), 5)
+    blocks = -(-380 // sizes[1])
+    assert read["content-seeded"] <= 5 * len(cold) * blocks and read["content-more"] <= 5 * len(cold) * blocks
