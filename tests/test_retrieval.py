@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from helpers import factors, rows, scores
+from pyspark.sql import functions as F
 
 from shelfrank.operators import retrieval
 from shelfrank.operators.grid import Grid
@@ -171,3 +172,13 @@ def test_single_precision_only_prepares(monkeypatch):
     # vectors beyond single precision are taken in doubles throughout
     huge = retrieval.top_products(u.astype(float) * 1e30, v, 5, (np.zeros(0, int), np.zeros(0, int)))[0]
     assert (np.take_along_axis(product, huge, 1) == np.take_along_axis(product, want, 1)).all()
+
+
+@pytest.mark.parametrize("blocks", [8, 13])
+def test_no_two_cells_meet_in_one_task(spark, blocks):
+    rng = np.random.default_rng(3)
+    u, v = rng.standard_normal((300, 4)), rng.standard_normal((20, 4))
+    grid = Grid(blocks, 1)
+    best = retrieval._in_cells(factors(spark, u), factors(spark, v), None, grid, 1, False, None)
+    dealt = best.select(F.spark_partition_id().alias("task"), grid.user_block("user_id").alias("block")).distinct().collect()
+    assert len(dealt) == len({r["task"] for r in dealt}) == len({r["block"] for r in dealt}) == blocks
