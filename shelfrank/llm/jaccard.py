@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.llm.tables import Scratch, components, groups, keep_rows, small, text_key
@@ -40,6 +40,10 @@ LISTED = 4096
 RUN = 2_000_000
 #: Sets of a block that one task compares with each other; larger blocks are cut into slices that meet pairwise.
 SLICE = 1024
+#: Elements that the sets of one part of a region have together; larger regions are cut into parts that meet pairwise.
+ELEMENTS = 1 << 20
+#: Pairs that the trees of a cell leave until their whole sets are compared.
+PAIRS = 1 << 20
 
 
 def _unique(column: pa.Array, size: int = WORDS) -> Iterator[list[np.ndarray]]:
@@ -317,12 +321,12 @@ def forest(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: np.ndarray
     return a[kept], b[kept]
 
 
-def tree_pairs(members: DataFrame, all_pairs: bool = True) -> DataFrame:
-    """Pairs ``a, b`` that the trees leave, of block members ``token, row_no, component, n, bits, n_rows``.
+def tree_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that tie the groups together between which the trees leave pairs, of block members ``token, row_no,
+    component, n, bits, n_rows``.
 
-    A block larger than a slice is cut into slices by a hash of the row; each pair of slices meets in a task of its own. With
-    ``all_pairs`` off a task hands on only as many pairs as tie the groups together that it has pairs of, so what leaves it
-    grows with its rows.
+    A block larger than a slice is cut into slices by a hash of the row; each pair of slices meets in a task of its own, and
+    hands on fewer pairs than it has groups, the likeliest ones.
     """
     slices = F.ceil(F.col("n_rows") / SLICE).cast("long")
     own = F.pmod(F.xxhash64("row_no"), F.col("slices"))
@@ -349,18 +353,81 @@ def tree_pairs(members: DataFrame, all_pairs: bool = True) -> DataFrame:
             left, right = table["left"][0].as_py(), table["right"][0].as_py()
             own, rows, group, n = (table[k].to_numpy() for k in ("own", "row_no", "component", "n"))
             side = None if left == right else (own == right).astype(np.int8)
-            found = block_pairs(table["bits"].to_pylist(), n, group, side)
-            if not all_pairs:
-                found = list(found)
-                found = [(*forest(found, n, group), None)] if found else []
-            for i, j, _ in found:
-                a, b = rows[i], rows[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            found = list(block_pairs(table["bits"].to_pylist(), n, group, side))
+            if found:
+                yield _row_pairs(rows, *forest(found, n, group))
 
     key = ["token", "left", "right"]
     return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
 
 
+def _row_pairs(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    a, b = rows[i], rows[j]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+class WholeSets:
+    """Whole sets numbered among themselves: an element that two of them have is a bit, so overlaps of pairs are exact."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        size = [len(s) for s in sets]
+        _, name, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often > 1
+        kept = shared[name]
+        self.row = np.repeat(np.arange(len(sets)), size)[kept]
+        self.bit = (np.cumsum(shared) - 1)[name[kept]]
+        order = np.argsort(self.bit, kind="stable")
+        self.row, self.bit = self.row[order], self.bit[order]
+        self.rows, self.bits = len(sets), int(shared.sum())
+        #: Bits that are looked at together, and their bitmaps, which one slab after the other fills.
+        self.slab = 64 * max(1, STEP // (8 * self.rows))
+
+    def _slab(self, first: int) -> np.ndarray:
+        last = min(first + self.slab, self.bits)
+        lo, hi = np.searchsorted(self.bit, [first, last])
+        marks = np.zeros((self.rows, -(-(last - first) // 64)), np.uint64)
+        at = self.bit[lo:hi] - first
+        np.add.at(marks, (self.row[lo:hi], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+        return marks
+
+    def similar(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the sets at places ``i`` are similar to those at places ``j``."""
+        both = np.zeros(len(i), np.int64)
+        for first in range(0, self.bits, self.slab):
+            marks = self._slab(first)
+            step = max(64, STEP // (8 * marks.shape[1]))
+            for k in range(0, len(i), step):
+                one = marks[i[k : k + step]]
+                one &= marks[j[k : k + step]]
+                both[k : k + step] += np.bitwise_count(one).sum(axis=1, dtype=np.int64)
+        return _enough(both, n[i] + n[j])
+
+
+def set_links(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of similar sets that tie the groups together which such pairs tie, fewer than there are groups; with
+    ``side`` only pairs of unlike sides count."""
+    n = np.array([len(s) for s in sets], np.int64)
+    whole, found = WholeSets(sets), []
+
+    def decide(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        i, j, most = (np.concatenate(x) for x in zip(*held, strict=True))
+        good = whole.similar(i, j, n)
+        if good.any():
+            tied = forest([(i[good], j[good], most[good])], n, group)
+            found.append((*tied, np.zeros(len(tied[0]), np.int64)))
+
+    held, many = [], 0
+    for part in block_pairs([signature(s, width(len(s))) for s in sets], n, group, side):
+        held.append(part)
+        many += len(part[0])
+        if many >= PAIRS:
+            decide(held)
+            held, many = [], 0
+    if held:
+        decide(held)
+    return forest(found, n, group) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sizes and signatures, at the narrower one's width, allow enough overlap."""
     own = sets.select("row_no", "n", "bits")
@@ -382,18 +449,9 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar, counted on the whole sets, which are taken anew from the texts needed.
-
-    The result is kept in ``store``.
-    """
-    work = Scratch(docs.sparkSession, "jaccard-whole-sets")
-    rows = work.keep(
-        pairs.select(F.col("a").alias("row_no"))
-        .unionByName(pairs.select(F.col("b").alias("row_no")))
-        .distinct()
-        .join(sets.select("row_no", "doc_id", "text_key"), "row_no")
-    )
+def whole_sets(wanted: DataFrame, sets: DataFrame, docs: DataFrame, work: Scratch) -> DataFrame:
+    """Rows ``row_no, tokens`` of the rows wanted (``row_no``, each once), taken anew from their texts and kept in ``work``."""
+    rows = work.keep(wanted.join(sets.select("row_no", "doc_id", "text_key"), "row_no"))
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     ids = small(work.keep(rows.select("doc_id", "text_key").distinct()))
     same = texts["doc_id"].eqNullSafe(ids["doc_id"]) & (texts["text_key"] == ids["text_key"])
@@ -417,12 +475,22 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -
         .mapInArrow(whole, f"_id {kind}, _key long, tokens binary")
         .dropDuplicates(["_id", "_key"])
     )
-    tokens = work.keep(
+    return work.keep(
         rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select(
             "row_no", "tokens"
         )
     )
 
+
+def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar, counted on the whole sets, which are taken anew from the texts needed.
+
+    The result is kept in ``store``.
+    """
+    work = Scratch(docs.sparkSession, "jaccard-whole-sets")
+    wanted = pairs.select(F.col("a").alias("row_no")).unionByName(pairs.select(F.col("b").alias("row_no"))).distinct()
+    tokens = whole_sets(wanted, sets, docs, work)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -438,8 +506,80 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -
     return out
 
 
-def open_pairs(blocks: DataFrame, known: DataFrame, sets: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs ``a, b`` that the trees leave of sets in one block (``token, row_no``) but in different known components."""
+def region_cells(members: DataFrame, work: Scratch) -> DataFrame:
+    """Cells ``region, left, right`` in which the rows of a region meet: ``own, row_no, component`` of every row in them.
+
+    Takes ``region, component, row_no, n``. A region is cut into parts: a component with many rows or elements has parts of its
+    own, the others are dealt out whole. Any two parts meet in one cell, but for parts of the same component, which is settled;
+    so a large component meets the rest and not itself.
+    """
+    members = work.keep(members)
+    sizes = members.groupBy("region", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("elements"))
+    need = F.greatest(F.ceil(F.col("rows") / SLICE), F.ceil(F.col("elements") / ELEMENTS)).cast("long")
+    sizes = work.keep(sizes.withColumn("large", (F.col("rows") > SLICE // 2) | (F.col("elements") > ELEMENTS // 2)))
+    open_ = sizes.groupBy("region").agg(F.count("*").alias("groups")).where("groups > 1").select("region")
+    rest = sizes.where("not large").groupBy("region").agg(F.sum("rows").alias("rows"), F.sum("elements").alias("elements"))
+    # parts of the rest of a region have no owner
+    counts = sizes.where("large").select("region", F.col("component").alias("owner"), need.alias("parts"))
+    counts = counts.unionByName(rest.select("region", F.lit(None).cast("long").alias("owner"), need.alias("parts")))
+    numbers = Window.partitionBy("region").orderBy("owner").rowsBetween(Window.unboundedPreceding, -1)
+    counts = work.keep(
+        counts.join(open_, "region", "left_semi").withColumn("first", F.coalesce(F.sum("parts").over(numbers), F.lit(0)))
+    )
+    large = sizes.where("large").select("region", "component", F.col("component").alias("owner"))
+    placed = (
+        members.join(large, ["region", "component"], "left")
+        .join(small(counts).withColumnsRenamed({"region": "_region", "owner": "_owner"}),
+              (F.col("region") == F.col("_region")) & F.col("owner").eqNullSafe(F.col("_owner")))
+        .withColumn(
+            "own",
+            F.col("first") + F.pmod(F.when(F.col("owner").isNull(), F.xxhash64("component")).otherwise(F.xxhash64("row_no")), F.col("parts")),
+        )
+        .select("region", "owner", "own", "component", "row_no")
+    )
+    other = counts.select(
+        F.col("region").alias("_region"),
+        F.col("owner").alias("_owner"),
+        F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("other"),
+    )
+    other = small(work.keep(other))
+    meets = (F.col("region") == F.col("_region")) & (F.col("owner").isNull() | F.col("_owner").isNull() | (F.col("owner") != F.col("_owner")))
+    return placed.join(other, meets).select(
+        "region", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "component", "row_no"
+    )
+
+
+def region_links(members: DataFrame, sets: DataFrame, docs: DataFrame, store: Scratch) -> DataFrame:
+    """Links ``a, b`` that tie the components of a region together which links tie, of ``region, component, row_no, n``.
+
+    Whole sets come to the cells of their region and are counted there, so no pair leaves a cell but the ties; these are kept
+    in ``store``.
+    """
+    work = Scratch(docs.sparkSession, "jaccard-regions")
+    cells = work.keep(region_cells(members, work))
+    tokens = whole_sets(cells.select("row_no").distinct(), sets, docs, work)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, 3):
+            left, right = table["left"][0].as_py(), table["right"][0].as_py()
+            own, rows, group = (table[k].to_numpy() for k in ("own", "row_no", "component"))
+            if (group == group[0]).all():
+                continue
+            side = None if left == right else (own == right).astype(np.int8)
+            kept = [np.frombuffer(v.as_buffer(), np.uint64) for v in table["tokens"]]
+            a, b = set_links(kept, group, side)
+            if len(a):
+                yield _row_pairs(rows, a, b)
+
+    key = ["region", "left", "right"]
+    dealt = cells.join(tokens, "row_no").select(*key, "own", "row_no", "component", "tokens")
+    out = store.keep(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct())
+    work.drop()
+    return out
+
+
+def open_pairs(blocks: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that tie the known components together between which the trees of a block (``token, row_no``) leave pairs."""
     grouped = blocks.join(known, F.col("row_no") == F.col("node"), "left").select(
         "token", "row_no", F.coalesce("component", "row_no").alias("component")
     )
@@ -458,7 +598,7 @@ def open_pairs(blocks: DataFrame, known: DataFrame, sets: DataFrame, all_pairs:
         .agg(F.min("token").alias("token"))
         .select("token", "n_rows")
     )
-    return tree_pairs(grouped.join(open_, "token").join(sets.select("row_no", "n", "bits"), "row_no"), all_pairs)
+    return tree_pairs(grouped.join(open_, "token").join(sets.select("row_no", "n", "bits"), "row_no"))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -498,17 +638,23 @@ def near_groups(docs: DataFrame) -> DataFrame:
     work.done(near)
     known = components(links, "jaccard-first", work)
 
-    # First the likeliest pairs that tie groups together, fewer than there are rows; what is still apart after that differs
-    # or stands near the limit, and there all pairs that have not been counted yet are.
-    tied = work.keep(open_pairs(blocks, known, distinct, False))
+    # The likeliest pairs that tie groups together, fewer than there are rows. Whatever the trees leave lies within what these
+    # pairs and the links tie, so every pair that may still be one lies in a region of them.
+    tied = work.keep(open_pairs(blocks, known, distinct))
+    work.done(blocks, known)
     more = linked(tied, distinct, docs, work)
-    work.done(known)
+    regions = components(links.unionByName(tied), "jaccard-regions", work)
+    work.done(tied)
     links = links.unionByName(more)
     known = components(links, "jaccard-tied", work)
-    pairs = work.keep(open_pairs(blocks, known, distinct, True).join(tied, ["a", "b"], "left_anti"))
-    work.done(blocks, known, tied)
-    rest = linked(pairs, distinct, docs, work)
-    work.done(pairs)
+    members = (
+        regions.select(F.col("node").alias("row_no"), F.col("component").alias("region"))
+        .join(known.select(F.col("node").alias("row_no"), "component"), "row_no", "left")
+        .join(distinct.select("row_no", "n"), "row_no")
+        .select("region", F.coalesce("component", "row_no").alias("component"), "row_no", "n")
+    )
+    rest = region_links(members, distinct, docs, work)
+    work.done(regions, known)
     whole = components(links.unionByName(rest), "jaccard-all", work)
 
     node = F.coalesce("class", "row_no")

@@ -178,3 +178,65 @@ def test_hashes_stand_for_words():
                     assert seen.setdefault(w, h) == h
                 assert len(np.unique(runs[at[i - lo] : at[i - lo + 1]])) == len(shingles(texts[i]))
         assert len(set(seen.values())) == len(seen)
+
+
+def two_crowds(n, apart):
+    """Two crowds of texts, each of near copies; ``apart`` words lie between the crowds."""
+    words = prose(11, 200).split()
+    other = words[:60] + [f"other{k}" for k in range(apart)] + words[60 + apart :]
+    return [(100 + k, " ".join([*(words, other)[k % 2], f"own{k}"])) for k in range(2 * n)]
+
+
+@pytest.mark.parametrize("apart", [22, 28])
+def test_crowds_near_the_limit_are_not_expanded_into_pairs(spark, apart, monkeypatch):
+    """Between the crowds every pair is left by the signatures: just linked (22) or just not (28)."""
+    rows, seen, whole = two_crowds(40, apart), [], jaccard.linked
+
+    def counted(pairs, *args):
+        seen.append(pairs.count())
+        return whole(pairs, *args)
+
+    monkeypatch.setattr(jaccard, "linked", counted)
+    check(spark, rows)
+    assert sum(seen) < 2 * len(rows)
+
+
+@pytest.mark.parametrize("limits", [{}, {"SLICE": 8}, {"SLICE": 8, "ELEMENTS": 700, "PAIRS": 5, "STEP": 512}])
+def test_links_of_a_region_are_found_in_its_cells(spark, limits, monkeypatch):
+    """Without the links of the pairs that the trees tie first, the cells have to find them."""
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
+    whole, calls = jaccard.linked, []
+
+    def first_only(pairs, *args):
+        calls.append(1)
+        return whole(pairs if len(calls) == 1 else pairs.where("a < 0"), *args)
+
+    monkeypatch.setattr(jaccard, "linked", first_only)
+    rows = two_crowds(12, 22) + [(k + 50, t.replace(" ", " x ", 1)) for k, t in two_crowds(4, 28)] + near_copies(40)
+    check(spark, rows + [(None, None), (7, ""), (7, rows[0][1]), (7, rows[0][1])])
+    assert len(calls) == 2
+
+
+@pytest.mark.parametrize("step", [64, 1 << 20])
+def test_links_between_whole_sets_match_brute_force(step, monkeypatch):
+    monkeypatch.setattr(jaccard, "STEP", step)
+    r = np.random.default_rng(6)
+    pool = r.integers(0, 2**63, 500).astype(np.uint64)
+    sets = [np.unique(r.choice(pool, int(k))) for k in r.integers(1, 60, 30)]
+    sets += [np.unique(np.append(s[: max(1, len(s) - int(k))], r.choice(pool, 2))) for s in sets for k in (0, 2, 5)]
+    n = np.array([len(s) for s in sets])
+    pairs = np.array(list(itertools.combinations(range(len(sets)), 2)))
+    similar = [4 * len(np.intersect1d(sets[i], sets[j])) >= 3 * len(np.union1d(sets[i], sets[j])) for i, j in pairs]
+    assert jaccard.WholeSets(sets).similar(*pairs.T, n).tolist() == similar and 50 < sum(similar) < len(pairs) / 2
+    for group in (np.arange(len(sets)), np.arange(len(sets)) % 9):
+        for side in (None, np.arange(len(sets)) % 2):
+            wanted = [(i, j) for (i, j), good in zip(pairs.tolist(), similar) if good and (side is None or side[i] != side[j])]
+            a, b = jaccard.set_links(sets, group, side)
+            assert {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())} <= set(wanted)
+            assert len(a) < len(set(group.tolist()))
+            names = [group.copy(), group.copy()]
+            for own, links in zip(names, (wanted, zip(a.tolist(), b.tolist()))):
+                for i, j in links:
+                    own[own == max(own[i], own[j])] = min(own[i], own[j])
+            assert (names[0] == names[1]).all()
