@@ -31,8 +31,10 @@ LEAST = (3, 4)
 #: sets do not fill up.
 BITS = 1024
 FANOUT = 8
-#: Bytes of signatures that one step of a descent compares.
-STEP = 16 << 20
+#: Bytes of signatures that one step of a descent compares; a step holds several arrays of that size.
+STEP = 4 << 20
+#: Bytes of text whose shingles are taken in one step; arrays of it are some sixty times as large.
+TEXT_STEP = 1 << 18
 #: Shingles that are put last in the common order: at most so many, from lists of so many that tasks give for every run
 #: of so many shingles. Any list is right; a good one keeps frequent shingles from making blocks.
 FREQUENT = 65_536
@@ -48,7 +50,7 @@ PAIRS = 1 << 20
 
 def _unique(column: pa.Array, size: int = WORDS) -> Iterator[list[np.ndarray]]:
     """Sorted distinct shingles of every row, run by run of rows."""
-    for lo, hi, data, offsets in steps(column):
+    for lo, hi, data, offsets in steps(column, TEXT_STEP):
         words, _, _, first = word_hashes(data, offsets)
         runs, at = shingle_hashes(words, first, size)
         yield [np.unique(runs[at[i] : at[i + 1]]) for i in range(hi - lo)]

@@ -148,6 +148,30 @@ def test_a_forest_ties_the_groups_that_pairs_tie():
         assert parts(x, y) == parts(a, b)
 
 
+def test_a_worker_holds_bounded_steps():
+    """Texts of 4 MB, and a descent that 600 sets of 1,000 elements are left in: what a worker holds besides."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1] >> 20
+        finally:
+            tracemalloc.stop()
+
+    texts = pa.array([prose(k, 400) for k in range(1 << 22 >> 11)])
+    jaccard.word_hashes(np.zeros(1, np.uint8), np.array([0, 1]))  # the tables of powers stay
+    assert peak(lambda: [None for _ in jaccard._unique(texts)]) < 12
+    r = np.random.default_rng(8)
+    base = r.integers(0, 2**63, 1000).astype(np.uint64)
+    sets = [np.unique(np.append(base[150:], r.integers(0, 2**63, 150).astype(np.uint64))) for _ in range(600)]
+    bits, n = [jaccard.signature(x, jaccard.width(len(x))) for x in sets], np.full(600, 1000)
+    assert peak(lambda: [None for _ in jaccard.block_pairs(bits, n, np.arange(600))]) < 32
+
+
 def test_steps_are_removed_when_read(spark):
     from shelfrank.llm.tables import Scratch
 
