@@ -643,12 +643,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     # The likeliest pairs that tie groups together, fewer than there are rows. Whatever the trees leave lies within what these
     # pairs and the links tie, so every pair that may still be one lies in a region of them.
     tied = work.keep(open_pairs(blocks, known, distinct))
-    work.done(blocks, known)
-    more = linked(tied, distinct, docs, work)
+    work.done(blocks)
     regions = components(links.unionByName(tied), "jaccard-regions", work)
     work.done(tied)
-    links = links.unionByName(more)
-    known = components(links, "jaccard-tied", work)
     members = (
         regions.select(F.col("node").alias("row_no"), F.col("component").alias("region"))
         .join(known.select(F.col("node").alias("row_no"), "component"), "row_no", "left")
