@@ -76,27 +76,25 @@ def components(links: DataFrame, name: str, store: Scratch | None = None) -> Dat
 
     Large-star and small-star steps alternate: nodes hand their larger, then their smaller neighbours to the smallest one
     they know. The minima are aggregated before they are shuffled and joined back, so a node with very many links is no
-    single task; every round is written, and rounds grow with the logarithm of the longest path.
+    single task; every step is written, and rounds grow with the logarithm of the longest path.
+
+    A step has three exchanges and reads what the last one stored; a whole round in one plan has nine, which the driver
+    plans again whenever one of them ends.
     """
     pairs = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi > lo").distinct()
     work = Scratch(links.sparkSession, f"{name}-rounds")
     pairs = work.keep(pairs)
     seen = None
     while True:
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-            pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # a node's larger neighbours never are the smallest one it knows
+        least = pairs.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
+        large = pairs.join(least, F.col("lo") == F.col("u"), "left").select("hi", F.coalesce("m", "lo").alias("lo"))
+        large = work.keep(large.distinct())
+        work.done(pairs)
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        moved = large.join(least, "hi")
-        last = pairs
-        pairs = work.keep(
-            moved.select("hi", F.col("m").alias("lo"))
-            .unionByName(moved.where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-            .distinct()
-        )
-        work.done(last)
+        moved = large.join(least, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo"))
+        pairs = work.keep(moved.where("hi > lo").distinct())
+        work.done(large)
         now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
         if now == seen:
             break
