@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import factors, rows, scores
 from pyspark.sql import functions as F
 
+from shelfrank.functions.vectors import to_binary
 from shelfrank.operators import retrieval
 from shelfrank.operators.grid import Grid
 
@@ -182,3 +184,100 @@ def test_no_two_cells_meet_in_one_task(spark, blocks):
     best = retrieval._in_cells(factors(spark, u), factors(spark, v), None, grid, 1, False, None)
     dealt = best.select(F.spark_partition_id().alias("task"), grid.user_block("user_id").alias("block")).distinct().collect()
     assert len(dealt) == len({r["task"] for r in dealt}) == len({r["block"] for r in dealt}) == blocks
+
+
+def like_users(rng, n_groups, n_users, n_books, width=24, apart=0.4):
+    """Users and books around a few directions, of about equal lengths, and users and books with no direction at all."""
+    centres = rng.normal(size=(n_groups, width))
+    u, v = (centres[rng.integers(n_groups, size=n)] + apart * rng.normal(size=(n, width)) for n in (n_users, n_books))
+    u[:3], v[:5] = 0, 0
+    u, v = (x / np.maximum(np.linalg.norm(x, axis=1)[:, None], 1e-9) for x in (u, v))
+    return u.astype(np.float32), v.astype(np.float32)
+
+
+def test_bounds_of_a_direction_and_the_sieve_leave_nothing_out():
+    rng = np.random.default_rng(21)
+    for groups, apart in ((5, 0.4), (30, 0.1), (1, 3.0)):
+        u, v = like_users(rng, groups, 400, 3000, apart=apart)
+        v *= rng.uniform(0.1, 3, size=(3000, 1)).astype(np.float32)
+        product = u.astype(float) @ v.T.astype(float)
+        length, length_v = retrieval._lengths(u), retrieval._lengths(v)
+        centres, nearest = retrieval.directions(u)
+        assert len(nearest) == 400 and np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-5)
+        for n, centre in enumerate(centres):
+            own = np.flatnonzero(nearest == n)
+            limit = retrieval.limits_along(u[own], centre, (v @ centre).astype(float), length_v)
+            assert (product[own] <= length[own][:, None] * limit + 1e-12).all()
+            least = np.sort(product[own], axis=1)[:, -10]
+            passed = retrieval.sieve_for(u[own], v, length_v)(least, np.arange(3000))
+            assert (product[own] >= least[:, None]).any(axis=0)[~passed].sum() == 0
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_a_cell_of_users_of_few_directions_multiplies_few_books(monkeypatch, skip):
+    """Lengths are equal, so only directions can leave books out: the result is that of all products."""
+    rng = np.random.default_rng(22)
+    u, v = like_users(rng, 6, 300, 20_000, apart=0.15)
+    monkeypatch.setattr(retrieval, "ITEM_CHUNK", 256)
+    monkeypatch.setattr(retrieval, "LIKE_USERS", 32)
+    seen = rng.integers(0, 300, 2000), rng.integers(0, 20_000, 2000)
+    mark = np.zeros((300, 20_000), dtype=bool)
+    mark[seen] = True
+    blocks, top = [], retrieval.top_products
+
+    def counted(*args):
+        found = top(*args)
+        blocks.append(found[3] * len(args[0]) * 256)
+        return found
+
+    monkeypatch.setattr(retrieval, "top_products", counted)
+    kind = np.r_[np.zeros(300, int), np.ones(2000, int)]
+    users = pa.table({
+        "kind": kind, "user_id": np.r_[np.arange(300), seen[0]], "book_id": pa.array([None] * 300 + seen[1].tolist(), pa.int64()),
+        "vec": pa.chunked_array([to_binary(u), pa.nulls(2000, pa.binary())]).combine_chunks(),
+    })
+    books = pa.table({"book_id": np.arange(20_000), "vec": to_binary(v)})
+    got = retrieval._best_in_cell(7, skip, None)(users, books).to_pandas().sort_values(["user_id", "rank"])
+    key = np.round(u.astype(float) @ v.T.astype(float), 12)
+    key = np.where(mark, -np.inf, key) if skip else key
+    want = np.lexsort((np.broadcast_to(np.arange(20_000), key.shape), -key), axis=1)[:, :7]
+    assert got.book_id.to_numpy().reshape(300, 7).tolist() == want.tolist()
+    assert sum(blocks) < 300 * 20_000 / 3
+
+
+def test_a_known_last_place_keeps_rows_in_the_cell():
+    rng = np.random.default_rng(23)
+    u, v = like_users(rng, 3, 50, 5000)
+    product = np.round(u.astype(float) @ v.T.astype(float), 12)
+    least = np.sort(product, axis=1)[:, -3]
+    least[7] = np.nan
+    left = pa.table({
+        "kind": np.zeros(50, int), "user_id": np.arange(50), "book_id": pa.nulls(50, pa.int64()), "vec": to_binary(u),
+        "least": pa.array(least, from_pandas=True),
+    })
+    got = retrieval._best_in_cell(9, True, None)(left, pa.table({"book_id": np.arange(5000), "vec": to_binary(v)})).to_pandas()
+    for user in range(3, 50):
+        want = np.lexsort((np.arange(5000), -product[user]))[:9]
+        want = [b for b in want if user == 7 or product[user, b] >= least[user]]
+        assert got[got.user_id == user].sort_values("rank").book_id.tolist() == want
+
+
+def test_later_book_blocks_return_only_what_reaches_the_last_places(spark, monkeypatch):
+    rng = np.random.default_rng(24)
+    u, v = rng.normal(size=(60, 6)), rng.normal(size=(400, 6))
+    rows_, cells = [], retrieval._in_cells
+
+    def counted(*args):
+        found = cells(*args).localCheckpoint()
+        rows_.append(found.count())
+        return found
+
+    monkeypatch.setattr(retrieval, "_in_cells", counted)
+    seen = scores(spark, [(int(a), int(b), 1.0) for a, b in {(a, b) for a, b in zip(rng.integers(0, 60, 900), rng.integers(0, 400, 900))}])
+    got = retrieval.best_scored(factors(spark, u), factors(spark, v), 10, seen, True, grid=Grid(2, 8)).toPandas()
+    owned = {(r["user_id"], r["book_id"]) for r in seen.collect()}
+    assert rows_[0] == 600 and sum(rows_[2:]) < 1000
+    product = (u.astype(np.float32).astype(float) @ v.astype(np.float32).astype(float).T).round(12)
+    for user in range(60):
+        want = [b for b in sorted(range(400), key=lambda b: (-product[user, b], b)) if (user, b) not in owned][:10]
+        assert got[got.user_id == user].sort_values("rank").book_id.tolist() == want
